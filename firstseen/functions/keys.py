@@ -78,5 +78,13 @@ def dedup_key(
     return F.unhex(F.sha2(text, 256))
 
 
+def all_fields(config: DedupConfig) -> list[str]:
+    """Every path any table's key may read, each once."""
+    paths = [*config.key_fields]
+    for fields in config.table_key_fields.values():
+        paths += fields
+    return list(dict.fromkeys(paths))
+
+
 def key_hex(key: Column) -> Column:
     return F.lower(F.hex(key))

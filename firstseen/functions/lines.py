@@ -21,18 +21,54 @@ def is_blank(line: Column) -> Column:
     return line.rlike(r"^\p{javaWhitespace}*\z")
 
 
-def is_json(line: Column) -> Column:
+def parse(line: Column) -> Column:
+    """The line as a VARIANT array: the value, then a hash of the line.
+
+    NULL if the line is no JSON. Spark's parser stops after the first value, so
+    text behind it would go unseen; the hash behind the line shows it.
+    """
+    return F.try_parse_json(F.concat(F.lit("["), line, F.lit(","), F.xxhash64(line).cast("string"), F.lit("]")))
+
+
+def is_whole(parsed: Column, line: Column) -> Column:
     """The line is exactly one JSON value: object, array or scalar.
 
-    Spark's parsers stop after the first value, so ``{"a":1} junk`` passes when
-    parsed alone. Wrapping shows the rest. An unbalanced ``]`` could close an
-    array wrapper early and an unbalanced ``}`` an object wrapper, but the first
-    unbalanced closer cannot be both, so a line that passes in both wrappers has
-    neither; then an array of length one means a single value.
+    Then, and only then, the hash comes second. A line of several values, or one
+    that closes the array early, has something else there or nothing.
     """
-    in_array = F.json_array_length(F.concat(F.lit("["), line, F.lit("]"))) == 1
-    in_object = F.try_parse_json(F.concat(F.lit('{"r":'), line, F.lit("}"))).isNotNull()
-    return F.coalesce(in_array & in_object, F.lit(False))
+    return F.coalesce(F.try_variant_get(parsed, "$[1]", "bigint") == F.xxhash64(line), F.lit(False))
+
+
+def is_json(line: Column) -> Column:
+    return is_whole(parse(line), line)
+
+
+def _steps(dotted: str) -> str:
+    return "".join(f"['{segment}']" for segment in path_segments(dotted))
+
+
+def value_at(parsed: Column, dotted: str) -> Column:
+    """The VARIANT at a dotted path of a parsed line; NULL if it is missing."""
+    return F.try_variant_get(parsed, "$[0]" + _steps(dotted), "variant")
+
+
+def is_container(value: Column) -> Column:
+    """The VARIANT is an object or array."""
+    kind = F.schema_of_variant(value)
+    return F.coalesce(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.lit(False))
+
+
+def value_text(value: Column, line: Column, dotted: str) -> Column:
+    """``path_text`` from a VARIANT already at hand.
+
+    Strings, integers and booleans read the same from either. A VARIANT forgets
+    the field order of objects and how fractions print, so those few are taken
+    from the line again.
+    """
+    kind = F.schema_of_variant(value)
+    return F.when(kind.isin("STRING", "BIGINT", "BOOLEAN"), value.cast("string")).when(
+        kind != "VOID", path_text(line, dotted)
+    )
 
 
 def path_text(line: Column, dotted: str) -> Column:
@@ -41,7 +77,7 @@ def path_text(line: Column, dotted: str) -> Column:
     Only object fields are descended. Objects and arrays come back as compact
     JSON in their own field order.
     """
-    return F.get_json_object(line, "$" + "".join(f"['{s}']" for s in path_segments(dotted)))
+    return F.get_json_object(line, "$" + _steps(dotted))
 
 
 def key_part(line: Column, dotted: str) -> Column:
@@ -52,26 +88,3 @@ def key_part(line: Column, dotted: str) -> Column:
 def effective_table(line: Column, table: Column) -> Column:
     """The table a record names itself, else the table of its file."""
     return F.coalesce(path_text(line, SOURCE_TABLE), table)
-
-
-def is_container_table(line: Column, source_table: Column) -> Column:
-    """``Source.Table`` is an object or array, which names no table.
-
-    ``source_table`` is its text. The first character settles nearly every
-    line; only the rest are parsed again, to tell ``[1]`` from ``"[1]"``.
-    """
-    value = F.try_variant_get(F.try_parse_json(line), "$.Source.Table", "variant")
-    kind = F.schema_of_variant(value)
-    return F.when(
-        source_table.startswith("{") | source_table.startswith("["),
-        kind.startswith("OBJECT") | kind.startswith("ARRAY"),
-    ).otherwise(False)
-
-
-def reject_reason(line: Column, source_table: Column) -> Column:
-    """Why a non-blank line cannot be a record; NULL for a record."""
-    return (
-        F.when(~F.is_valid_utf8(line), INVALID_ENCODING)
-        .when(~is_json(line), INVALID_FORMAT)
-        .when(is_container_table(line, source_table), INVALID_TABLE)
-    )

@@ -264,16 +264,18 @@ def key_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
 def within_batch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First occurrences when nothing is published yet."""
     today = b.events(spark, sf_dir).filter(F.col("role") == "TODAY")
-    return first_seen.survivors(today).select(*PLACE, "raw_line")
+    return first_seen.survivors(today, ["table_name", "raw_line"]).select(*PLACE, "raw_line")
 
 
 def full_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Today's new records: neither published nor seen earlier today."""
-    return first_seen.survivors(b.events(spark, sf_dir)).select(*PLACE, "sequence", "raw_line")
+    kept = first_seen.survivors(b.events(spark, sf_dir), ["table_name", "raw_line"])
+    return kept.select(*PLACE, "sequence", "raw_line")
 
 
 def full_dedup_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return first_seen.survivors(b.lineitems(spark, sf_dir)).select(*PLACE, "sequence", "raw_line")
+    kept = first_seen.survivors(b.lineitems(spark, sf_dir), ["table_name", "raw_line"])
+    return kept.select(*PLACE, "sequence", "raw_line")
 
 
 def duplicate_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
