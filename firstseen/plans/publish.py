@@ -11,13 +11,15 @@ for the next run. *replace* moves the new files in before it removes the old.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections import defaultdict
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from firstseen.config import DedupConfig
+from firstseen.sources.feeds import baseline_files, baseline_lines
 from firstseen.storage import Storage, shared_folder
 
 
@@ -30,17 +32,26 @@ class Published:
     files: tuple[str, ...]
 
 
-def with_output_table(survivors: DataFrame) -> DataFrame:
+def spellings(storage: Storage, output_dir: str) -> dict[str, str]:
+    """Lower-cased name to folder name of what is published; a few per table."""
+    return {name.lower(): name for name in reversed(storage.names(output_dir))}
+
+
+def with_output_table(survivors: DataFrame, published: dict[str, str]) -> DataFrame:
     """Add ``output_table``: one spelling per table and date.
 
-    Names that differ only in case share an output, called like the file with
-    the lowest sequence. The names come from a small grouping, one row per
-    table and date.
+    Names that differ only in case share an output: the folder that is there
+    already, else one called like the file with the lowest sequence. The names
+    come from a small grouping, one row per table and date.
     """
     names = survivors.groupBy("scope_table", "file_date").agg(
         F.min(F.struct("sequence", "file_path", "table_name")).alias("lead")
     )
-    names = names.select("scope_table", "file_date", F.col("lead.table_name").alias("output_table"))
+    name = F.col("lead.table_name")
+    if published:
+        there = F.create_map(*[F.lit(text) for pair in published.items() for text in pair])
+        name = F.coalesce(there[F.col("scope_table")], name)
+    names = names.select("scope_table", "file_date", name.alias("output_table"))
     return survivors.join(F.broadcast(names), ["scope_table", "file_date"])
 
 
@@ -54,75 +65,110 @@ def in_merge_order(survivors: DataFrame) -> DataFrame:
     return survivors.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
-def stage_survivors(survivors: DataFrame) -> str:
-    """Write the lines as text, foldered by table and date; returns the folder."""
-    staging = shared_folder(survivors.sparkSession, "publish")
+def _write_text(lines: DataFrame) -> str:
+    staging = shared_folder(lines.sparkSession, "publish")
     (
-        in_merge_order(with_output_table(survivors))
-        .select("output_table", "file_date", "raw_line")
+        lines.select("output_table", "file_date", "raw_line")
         .write.partitionBy("output_table", "file_date")
         .text(staging)
     )
     return staging
 
 
-def _rewrite_as_one(spark: SparkSession, storage: Storage, sources: list[str], limit: int) -> str | None:
-    """One text part holding the sources in order, or None above the size limit.
+def small_outputs(survivors: DataFrame, output_dir: str, config: DedupConfig) -> DataFrame:
+    """(scope_table, file_date) of outputs that one task may write as one file.
 
-    Only for small tables: a single file has a single writer.
+    Counts what is published already where that has to be rewritten too.
     """
-    if sum(storage.size(path)[1] for path in sources) > limit:
-        return None
-    staging = shared_folder(spark, "single")
-    order = F.create_map(*[F.lit(x) for pair in enumerate_paths(sources) for x in pair])
-    place = order[F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+/[^/]+/[^/]+)$", 1)]
-    lines = spark.read.option("recursiveFileLookup", "true").text(sources).select(
-        "value",
-        place.alias("place"),
-        F.col("_metadata.file_block_start").alias("split_start"),
-        F.monotonically_increasing_id().alias("row_id"),
+    new = survivors.groupBy("scope_table", "file_date").agg(
+        F.sum(F.octet_length("raw_line") + 1).alias("bytes")
     )
-    lines.repartition(1).sortWithinPartitions("place", "split_start", "row_id").select("value").write.text(staging)
-    parts = storage.glob(f"{staging}/part-*")
-    return parts[0] if parts else None
+    if config.publish_mode == "merge":
+        tables, dates = _table_dates(survivors)
+        old = baseline_files(survivors.sparkSession, output_dir, tables, dates).select(
+            F.lower("table_name").alias("scope_table"), "file_date", F.col("file_bytes").alias("bytes")
+        )
+        # Nothing survived for some of the old ones: they are not touched.
+        new = new.unionByName(old.join(new.select("scope_table", "file_date"), ["scope_table", "file_date"], "left_semi"))
+    total = new.groupBy("scope_table", "file_date").agg(F.sum("bytes").alias("bytes"))
+    return total.filter(F.col("bytes") <= config.single_file_max_bytes).select("scope_table", "file_date")
 
 
-def enumerate_paths(paths: list[str]) -> list[tuple[str, int]]:
-    """(last three steps of the path, its place) pairs."""
-    return [("/".join(path.split("/")[-3:]), place) for place, path in enumerate(paths)]
+def _table_dates(survivors: DataFrame) -> tuple[list[str], list[dt.date]]:
+    """The tables and the dates that have survivors: bounded by the allow-list."""
+    rows = survivors.select("scope_table", "file_date").distinct().collect()
+    return sorted({r.scope_table for r in rows}), sorted({r.file_date for r in rows})
 
 
-def publish(survivors: DataFrame, output_dir: str, config: DedupConfig, run_id: str) -> list[Published]:
-    """Write, then move in. Tables without survivors are left as they are."""
-    spark = survivors.sparkSession
-    staging = stage_survivors(survivors)
-    storage = Storage(spark, output_dir)
-    parts: dict[tuple[str, str], list[str]] = defaultdict(list)
+def single_file_lines(survivors: DataFrame, small: DataFrame, output_dir: str, config: DedupConfig) -> DataFrame:
+    """Lines of the small outputs, each output in one partition and in order.
+
+    In merge mode what is published comes first, as it stands.
+    """
+    lines = survivors.join(small, ["scope_table", "file_date"], "left_semi").select(
+        "scope_table",
+        "output_table",
+        "file_date",
+        F.lit(1).alias("role_rank"),
+        "sequence",
+        "file_path",
+        F.lit(0).cast("bigint").alias("split_start"),
+        F.col("line_no").alias("row_id"),
+        "raw_line",
+    )
+    if config.publish_mode == "merge":
+        spark = survivors.sparkSession
+        tables, dates = _table_dates(survivors)
+        spelled = survivors.select("scope_table", "file_date", "output_table").distinct()
+        old = (
+            baseline_lines(spark, output_dir, tables, dates, numbered=False)
+            .withColumn("scope_table", F.lower("table_name"))
+            .join(small, ["scope_table", "file_date"], "left_semi")
+            .join(spelled, ["scope_table", "file_date"])
+            .filter(F.col("table_name") == F.col("output_table"))
+        )
+        lines = lines.unionByName(old.select(*lines.columns))
+    place = ["output_table", "file_date"]
+    return lines.repartition(*place).sortWithinPartitions(
+        *place, "role_rank", "sequence", "file_path", "split_start", "row_id"
+    )
+
+
+def _parts(storage: Storage, staging: str) -> dict[tuple[str, str], list[str]]:
+    """Written part files by table and date, in part order."""
+    found: dict[tuple[str, str], list[str]] = defaultdict(list)
     for part in sorted(storage.glob(f"{staging}/output_table=*/file_date=*/part-*"), key=_file_name):
         table, date = (step.split("=", 1)[1] for step in part.split("/")[-3:-1])
-        parts[table, date].append(part)
+        found[table, date].append(part)
+    return found
+
+
+def publish(survivors: DataFrame, output_dir: str, config: DedupConfig, run_id: str) -> list[Published]:
+    """Write, then move in. Tables without survivors are left as they are."""
+    storage = Storage(survivors.sparkSession, output_dir)
+    survivors = with_output_table(survivors, spellings(storage, output_dir))
+    singles: dict[tuple[str, str], list[str]] = {}
+    if config.single_file:
+        small = small_outputs(survivors, output_dir, config)
+        singles = _parts(storage, _write_text(single_file_lines(survivors, small, output_dir, config)))
+        survivors = survivors.join(small, ["scope_table", "file_date"], "left_anti")
+    parts = _parts(storage, _write_text(in_merge_order(survivors)))
 
     root, outcome = output_dir.rstrip("/"), []
-    for (table, date), new in sorted(parts.items()):
+    for (table, date), new in sorted({**parts, **singles}.items()):
         folder = f"{root}/{table}/{date}"
         old = [f"{folder}/{name}" for name in storage.names(folder) if name.endswith(".json")]
-        single = f"{folder}/MERGED={table}-{date}.json"
-        whole = None
-        if config.single_file:
-            sources = new if config.publish_mode == "replace" else old + new
-            whole = _rewrite_as_one(spark, storage, sources, config.single_file_max_bytes)
-        if whole is not None:
-            moves, gone = [(whole, single)], [path for path in old if path != single]
+        if (table, date) in singles:
+            moves = [(new[0], f"{folder}/MERGED={table}-{date}.json")]
         else:
             moves = [
                 (part, f"{folder}/{part_name(table, date, number, run_id)}")
                 for number, part in enumerate(new, start=len(old))
             ]
-            targets = {target for _, target in moves}
-            gone = [p for p in old if p not in targets] if config.publish_mode == "replace" else []
         storage.move_all(moves)
-        for path in gone:
-            storage.remove_file(path)
+        if config.publish_mode == "replace" or (table, date) in singles:
+            for path in set(old) - {target for _, target in moves}:
+                storage.remove_file(path)
         files = tuple(n for n in storage.names(folder) if n.endswith(".json"))
         outcome.append(Published(table, date, files))
     return outcome
@@ -143,12 +189,14 @@ def output_files(summary: DataFrame, output_dir: str) -> DataFrame:
     """scope_table, file_date, output_file: what to read for each table and date."""
     spark, root = summary.sparkSession, output_dir.rstrip("/")
     storage = Storage(spark, output_dir)
+    published = spellings(storage, output_dir)
+    found = []
     # One row per table and date.
-    found = [
-        (row.table_name.lower(), row.file_date, output_file(row.table_name, str(row.file_date), names))
-        for row in summary.select("table_name", "file_date").collect()
-        for names in [[n for n in storage.names(f"{root}/{row.table_name}/{row.file_date}") if n.endswith(".json")]]
-    ]
+    for row in summary.select("table_name", "file_date").collect():
+        scope, date = row.table_name.lower(), str(row.file_date)
+        table = published.get(scope, row.table_name)
+        names = [n for n in storage.names(f"{root}/{table}/{date}") if n.endswith(".json")]
+        found.append((scope, row.file_date, output_file(table, date, names)))
     return spark.createDataFrame(found, "scope_table STRING, file_date DATE, output_file STRING")
 
 

@@ -1,0 +1,62 @@
+"""A sequential restatement of the rules, for small inputs only."""
+
+from __future__ import annotations
+
+import json
+
+
+def parse(line):
+    def unique(pairs):
+        if len({k for k, _ in pairs}) < len(pairs):
+            raise ValueError("duplicate key")
+        return dict(pairs)
+
+    def no_constant(text):
+        raise ValueError(text)
+
+    return json.loads(line, object_pairs_hook=unique, parse_constant=no_constant)
+
+
+def value(tree, dotted):
+    for step in dotted.split("."):
+        tree = tree.get(step) if isinstance(tree, dict) else None
+    return tree
+
+
+def text(node):
+    if node is None:
+        return "<null>"
+    if isinstance(node, bool):
+        return str(node).lower()
+    if isinstance(node, (dict, list)):
+        return json.dumps(node, separators=(",", ":"), ensure_ascii=False)
+    return str(node)
+
+
+def run(files, fields):
+    """files: (role, table, sequence, path, lines) of one date.
+
+    Returns survivors, duplicates, rejects as lists of tuples.
+    """
+    seen, survivors, duplicates, rejects = {}, [], [], []
+    for role, table, _, path, lines in sorted(files, key=lambda f: (f[0] == "TODAY", f[2], f[3])):
+        for number, line in enumerate(lines, start=1):
+            if not line.strip(" \t"):
+                continue
+            try:
+                tree = parse(line)
+            except ValueError:
+                rejects.append((path, number))
+                continue
+            named = value(tree, "Source.Table")
+            effective = table if named is None else text(named)
+            key = (table.lower(), effective, tuple(text(value(tree, f)) for f in fields))
+            if key not in seen:
+                seen[key] = (role, path, number)
+                if role == "TODAY":
+                    survivors.append((path, number))
+            elif role == "TODAY":
+                first_role, first_path, first_number = seen[key]
+                kind = "baseline" if first_role == "PRIOR" else "same_file" if first_path == path else "cross_file"
+                duplicates.append((path, number, first_path, first_number, kind))
+    return survivors, duplicates, rejects
