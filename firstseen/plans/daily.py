@@ -46,6 +46,12 @@ class DailyResult:
     reports: list[str] = field(default_factory=list)
 
 
+def staged(frame: DataFrame, path: str, *partition_by: str) -> DataFrame:
+    """Write a frame and read it back. The schema is given: there may be no rows."""
+    frame.write.partitionBy(*partition_by).parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def stage_lines(lines: DataFrame, config: DedupConfig, staging: str) -> DataFrame:
     """Prepare unnumbered lines, write them, and give them their line numbers.
 
@@ -54,22 +60,15 @@ def stage_lines(lines: DataFrame, config: DedupConfig, staging: str) -> DataFram
     staged as well: their size is then known, and Spark broadcasts them only
     while they are below ``spark.sql.autoBroadcastJoinThreshold``.
     """
-    spark = lines.sparkSession
     text_needed = (F.col("role_rank") == 1) | (F.col("line_kind") == REJECT)
-    (
-        prepare(lines, config)
-        .withColumn("raw_line", F.when(text_needed, F.col("raw_line")))
-        .write.parquet(f"{staging}/lines")
-    )
-    staged = spark.read.parquet(f"{staging}/lines")
-    split_offsets(staged).write.parquet(f"{staging}/offsets")
-    return number_lines(staged, spark.read.parquet(f"{staging}/offsets"))
+    prepared = prepare(lines, config).withColumn("raw_line", F.when(text_needed, F.col("raw_line")))
+    written = staged(prepared, f"{staging}/lines")
+    return number_lines(written, staged(split_offsets(written), f"{staging}/offsets"))
 
 
 def stage_classified(prepared: DataFrame, config: DedupConfig, staging: str) -> DataFrame:
     """Classify and write, foldered by status: every sink reads just its part."""
-    classify(prepared, config).write.partitionBy("status").parquet(f"{staging}/classified")
-    return prepared.sparkSession.read.parquet(f"{staging}/classified")
+    return staged(classify(prepared, config), f"{staging}/classified", "status")
 
 
 def check_rejects(file_counts: DataFrame, config: DedupConfig) -> None:
@@ -105,8 +104,7 @@ def run_daily(
     prepared = stage_lines(lines, config, staging)
     classified = stage_classified(prepared, config, staging)
     # One row per file, written so that the reports below do not count again.
-    counts.file_counts_of(classified).write.parquet(f"{staging}/file_counts")
-    file_counts = spark.read.parquet(f"{staging}/file_counts")
+    file_counts = staged(counts.file_counts_of(classified), f"{staging}/file_counts")
     check_rejects(file_counts, config)
 
     survivors = classified.filter(F.col("status") == SURVIVOR)

@@ -31,7 +31,7 @@ from firstseen.columns import GROUP, POSITION
 from firstseen.config import DedupConfig
 from firstseen.operators.first_seen import SURVIVOR, classify, duplicates
 from firstseen.operators.prepare import RECORD, REJECT, prepare, records
-from firstseen.plans.daily import stage_lines
+from firstseen.plans.daily import stage_lines, staged
 from firstseen.sources.feeds import (
     UNNUMBERED,
     _keep_today,
@@ -106,10 +106,8 @@ class IncrementalDedup:
         prepared = stage_lines(lines.select(*UNNUMBERED), self.config, work)
         dates = [row.file_date for row in prepared.select("file_date").distinct().collect()]
         both = prepared.unionByName(self._index(number, dates), allowMissingColumns=True)
-        classify(both, self.config).filter(F.col("role_rank") == 1).write.partitionBy("status").parquet(
-            f"{work}/classified"
-        )
-        classified = self.spark.read.parquet(f"{work}/classified")
+        today = classify(both, self.config).filter(F.col("role_rank") == 1)
+        classified = staged(today, f"{work}/classified", "status")
         survivors = classified.filter(F.col("status") == SURVIVOR).select(*SURVIVOR_COLUMNS)
         self._append("survivors", survivors, number)
         self._append("duplicates", duplicates(classified), number)

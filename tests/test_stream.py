@@ -1,0 +1,88 @@
+import pytest
+
+from firstseen.config import DedupConfig
+from firstseen.streaming.incremental import IncrementalDedup
+from tests.conftest import DAY
+from tests.test_daily import CONFIG, feed, lines
+
+
+def job(spark, write, config=CONFIG, **more):
+    return IncrementalDedup(spark, str(write.root / "in"), str(write.root / "state"), config, **more)
+
+
+def finish(stream, max_files=None):
+    query = stream.start(max_files)
+    query.awaitTermination()
+    return stream
+
+
+def kept(stream):
+    return sorted((r.batch, r.file_path[-6], r.line_no, r.raw_line) for r in stream.survivors().collect())
+
+
+def line(key):
+    return f'{{"k":"{key}"}}'
+
+
+def test_one_batch_equals_a_daily_run(spark, write):
+    from firstseen.plans.daily import run_daily
+
+    write(f"out/account/{DAY}/old.json", lines("p1", "p2"))
+    feed(write, "account", 1, "a1", "p1", "a2", "a1")
+    feed(write, "account", 2, "a2", "a3")
+    write(f"in/{DAY}/award/award-{DAY}-1.json", "\nbad\n" + lines("w1", "w1"))
+    stream = finish(job(spark, write, output_dir=str(write.root / "out")))
+    daily = run_daily(spark, str(write.root / "in"), str(write.root / "out"), CONFIG)
+    place = ["file_path", "line_no", "raw_line"]
+    assert sorted(stream.survivors().select(*place).collect()) == sorted(daily.survivors.select(*place).collect())
+    where = ["file_path", "line_no", "first_path", "first_line_no", "dup_kind"]
+    assert sorted(stream.duplicates().select(*where).collect()) == sorted(daily.duplicates.select(*where).collect())
+    assert stream.rejects().select("line_no").collect() == daily.rejects.select("line_no").collect()
+
+
+def test_later_files_meet_earlier_keys(spark, write):
+    feed(write, "account", 2, "a1", "a2")
+    stream = finish(job(spark, write))
+    assert kept(stream) == [(0, "2", 1, line("a1")), (0, "2", 2, line("a2"))]
+    # A lower sequence that arrives later does not win.
+    feed(write, "account", 1, "a2", "a3")
+    finish(stream)
+    assert kept(stream)[2:] == [(1, "1", 2, line("a3"))]
+    found = stream.duplicates().collect()
+    assert [(r.file_path[-6], r.line_no, r.first_path[-6], r.first_line_no) for r in found] == [("1", 1, "2", 2)]
+    # Nothing new: nothing happens.
+    finish(job(spark, write))
+    assert len(kept(stream)) == 3
+
+
+@pytest.mark.parametrize("broken", ["duplicates", "rejects"])
+def test_killed_batch_is_replayed(spark, write, broken):
+    """The job dies after survivors were written; the replay neither loses nor repeats."""
+    feed(write, "account", 1, "a1", "a1", "a2")
+    stream = job(spark, write)
+    append = stream._append
+
+    def dying(name, rows, number):
+        if name == broken:
+            raise OSError("lost")
+        append(name, rows, number)
+
+    stream._append = dying
+    with pytest.raises(Exception):
+        finish(stream)
+    again = finish(job(spark, write))
+    assert kept(again) == [(0, "1", 1, line("a1")), (0, "1", 3, line("a2"))]
+    assert again.duplicates().count() == 1
+    assert again.rejects().count() == 0
+
+
+def test_other_tables_and_dates_are_left_out(spark, write):
+    feed(write, "account", 1, "a1")
+    feed(write, "other", 1, "a1")
+    write(f"in/x/account-2026-03-10-1.json", lines("a1"))
+    stream = finish(job(spark, write))
+    assert len(kept(stream)) == 1
+    every = IncrementalDedup(
+        spark, str(write.root / "in"), str(write.root / "state2"), DedupConfig(key_fields=("k",), tables=["account"])
+    )
+    assert len(kept(finish(every, max_files=1))) == 2
