@@ -22,7 +22,7 @@ from firstseen.operators.first_seen import SURVIVOR, classify, duplicates
 from firstseen.operators.prepare import REJECT, prepare
 from firstseen.plans import reports
 from firstseen.plans.publish import Published, output_files, publish, write_manifest
-from firstseen.sources.feeds import baseline_lines, resolve_tables, today_files, today_lines
+from firstseen.sources.feeds import baseline_lines, has_today_files, resolve_tables, today_lines
 from firstseen.sources.ndjson import number_lines, split_offsets
 from firstseen.storage import Storage, shared_folder
 
@@ -94,7 +94,7 @@ def run_daily(
     started = time.monotonic()
     run_id = re.sub(RUN_ID_UNSAFE, "_", config.run_id) if config.run_id.strip() else DEFAULT_RUN_ID
     tables = resolve_tables(spark, config.tables, config.tables_file)
-    if today_files(spark, input_dir, tables, config.run_dates).isEmpty():
+    if not has_today_files(spark, input_dir, tables, config.run_dates):
         raise FileNotFoundError(f"no input files for the run in {input_dir}")
 
     staging = shared_folder(spark, "run")

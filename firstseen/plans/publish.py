@@ -42,7 +42,7 @@ def with_output_table(survivors: DataFrame, published: dict[str, str]) -> DataFr
 
     Names that differ only in case share an output: the folder that is there
     already, else one called like the file with the lowest sequence. The names
-    come from a small grouping, one row per table and date.
+    are one row per allowed table and run date, and that bounds their broadcast.
     """
     names = survivors.groupBy("scope_table", "file_date").agg(
         F.min(F.struct("sequence", "file_path", "table_name")).alias("lead")
@@ -89,9 +89,12 @@ def small_outputs(survivors: DataFrame, output_dir: str, config: DedupConfig) ->
             F.lower("table_name").alias("scope_table"), "file_date", F.col("file_bytes").alias("bytes")
         )
         # Nothing survived for some of the old ones: they are not touched.
-        new = new.unionByName(old.join(new.select("scope_table", "file_date"), ["scope_table", "file_date"], "left_semi"))
+        touched = F.broadcast(new.select("scope_table", "file_date"))
+        new = new.unionByName(old.join(touched, ["scope_table", "file_date"], "left_semi"))
     total = new.groupBy("scope_table", "file_date").agg(F.sum("bytes").alias("bytes"))
-    return total.filter(F.col("bytes") <= config.single_file_max_bytes).select("scope_table", "file_date")
+    fitting = total.filter(F.col("bytes") <= config.single_file_max_bytes)
+    # One row per table and date. Joined by a shuffle, a table would be one task.
+    return F.broadcast(fitting.select("scope_table", "file_date"))
 
 
 def _table_dates(survivors: DataFrame) -> tuple[list[str], list[dt.date]]:
@@ -124,7 +127,7 @@ def single_file_lines(survivors: DataFrame, small: DataFrame, output_dir: str, c
             baseline_lines(spark, output_dir, tables, dates, numbered=False)
             .withColumn("scope_table", F.lower("table_name"))
             .join(small, ["scope_table", "file_date"], "left_semi")
-            .join(spelled, ["scope_table", "file_date"])
+            .join(F.broadcast(spelled), ["scope_table", "file_date"])
             .filter(F.col("table_name") == F.col("output_table"))
         )
         lines = lines.unionByName(old.select(*lines.columns))

@@ -29,5 +29,7 @@ def local_session(cpus: int | str = "*", app: str = "firstseen", shuffle_partiti
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # Recording the call site of every column costs more than small plans.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     return configure(builder.getOrCreate())

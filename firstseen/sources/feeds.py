@@ -72,8 +72,10 @@ def refuse_hidden(spark: SparkSession, input_dir: str, tables: Sequence[str], da
     """Fail if Spark would silently skip a file of this run.
 
     Its readers ignore names that start with ``_`` or ``.``, and a table may be
-    called ``_x``.
+    called ``_x``. Only then are names listed to find out.
     """
+    if not any(table.startswith("_") for table in tables):
+        return
     storage = Storage(spark, input_dir)
     wanted = re.compile(FILE_NAME_PATTERN)
     chosen = {d.isoformat() for d in dates}
@@ -210,6 +212,14 @@ def _files(spark: SparkSession, paths: Sequence[str], name_glob: str, keep: Colu
 FILE_COLUMNS = ["role", "table_name", "file_date", "sequence", "file_path", "file_name", "file_bytes"]
 
 
+def has_today_files(
+    spark: SparkSession, input_dir: str, tables: Sequence[str], dates: Sequence[dt.date] = ()
+) -> bool:
+    """Whether a run has any raw file; stops at the first."""
+    _check_input(spark, input_dir)
+    return not _files(spark, [input_dir], _name_glob(dates), _keep_today(tables, dates)).isEmpty()
+
+
 def today_files(
     spark: SparkSession, input_dir: str, tables: Sequence[str], dates: Sequence[dt.date] = ()
 ) -> DataFrame:

@@ -19,9 +19,7 @@ and overwrites its own folders only: nothing is lost or kept twice.
 
 from __future__ import annotations
 
-import datetime as dt
 import uuid
-from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +40,10 @@ from firstseen.sources.feeds import (
 )
 from firstseen.storage import Storage
 
+# Keys of a batch are broadcast up to this size, by the rough size of a row.
+KEY_BROADCAST_BYTES = 128 << 20
+KEY_ROW_BYTES = 128
+
 # The number under which the published baseline enters the index.
 BASELINE_BATCH = -1
 
@@ -104,8 +106,7 @@ class IncrementalDedup:
         # Row ids are taken here: a streaming frame cannot have them.
         lines = _today(batch.withColumn("row_id", F.monotonically_increasing_id()))
         prepared = stage_lines(lines.select(*UNNUMBERED), self.config, work)
-        dates = [row.file_date for row in prepared.select("file_date").distinct().collect()]
-        both = prepared.unionByName(self._index(number, dates), allowMissingColumns=True)
+        both = prepared.unionByName(self._index(number, prepared), allowMissingColumns=True)
         today = classify(both, self.config).filter(F.col("role_rank") == 1)
         classified = staged(today, f"{work}/classified", "status")
         survivors = classified.filter(F.col("status") == SURVIVOR).select(*SURVIVOR_COLUMNS)
@@ -133,17 +134,26 @@ class IncrementalDedup:
             return self.spark.createDataFrame([], SURVIVOR_SCHEMA)
         return self.spark.read.schema(SURVIVOR_SCHEMA).parquet(folder)
 
-    def _index(self, number: int, dates: Sequence[dt.date]) -> DataFrame:
+    def _index(self, number: int, prepared: DataFrame) -> DataFrame:
         """Keys and places kept before this batch, as published rows.
 
         Columns are pruned to the key and position; dates are pruned by the
-        statistics of the files, as each batch covers few dates.
+        statistics of the files, as each batch covers few dates. For a small
+        batch its keys are broadcast, so the index is filtered where it is read
+        and hardly any of it is shuffled. A large batch meets the whole index in
+        the shuffle by key.
         """
-        return (
+        dates = [row.file_date for row in prepared.select("file_date").distinct().collect()]
+        index = (
             self._survivor_table()
             .filter((F.col("batch") < number) & F.col("file_date").isin(*dates))
             .select(*GROUP, *POSITION, "table_name")
-            .withColumn("role_rank", F.lit(0))
+        )
+        keys = records(prepared).select(*GROUP)
+        if keys.count() * KEY_ROW_BYTES <= KEY_BROADCAST_BYTES:
+            index = index.join(F.broadcast(keys), GROUP, "left_semi")
+        return (
+            index.withColumn("role_rank", F.lit(0))
             .withColumn("role", F.lit("PRIOR"))
             .withColumn("line_kind", F.lit(RECORD))
         )

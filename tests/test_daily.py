@@ -39,6 +39,24 @@ def test_merge_order_and_one_output_per_table(spark, write):
     assert {p.table_name for p in result.published} == {"account", "award"}
 
 
+def test_order_over_many_parts(spark, write):
+    """Part names run in merge order, inside a table and across its files."""
+    expected = []
+    for number in (1, 2, 10):
+        keys = [f"{number}-{n}" for n in range(40)]
+        feed(write, "account", number, *keys)
+        expected += keys
+    feed(write, "award", 1, *[f"w{n}" for n in range(40)])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        run(spark, write)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    folder = write.root / f"out/account/{DAY}"
+    assert len(list(folder.glob("*.json"))) > 1
+    assert keys_of(folder) == expected
+
+
 def test_file_without_survivors(spark, write):
     feed(write, "account", 1, "a1")
     feed(write, "account", 2, "a1", "a1")

@@ -40,7 +40,9 @@ def test_one_batch_equals_a_daily_run(spark, write):
     assert stream.rejects().select("line_no").collect() == daily.rejects.select("line_no").collect()
 
 
-def test_later_files_meet_earlier_keys(spark, write):
+@pytest.mark.parametrize("limit", [0, 128 << 20])
+def test_later_files_meet_earlier_keys(spark, write, monkeypatch, limit):
+    monkeypatch.setattr("firstseen.streaming.incremental.KEY_BROADCAST_BYTES", limit)
     feed(write, "account", 2, "a1", "a2")
     stream = finish(job(spark, write))
     assert kept(stream) == [(0, "2", 1, line("a1")), (0, "2", 2, line("a2"))]
