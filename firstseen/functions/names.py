@@ -11,21 +11,36 @@ RUN_ID_UNSAFE = r"[^A-Za-z0-9._-]"
 DEFAULT_RUN_ID = "default"
 
 
+def is_input_name(name: Column) -> Column:
+    """The name fits, its date is in the calendar, its sequence is an INT >= 1."""
+    fits = name.rlike(FILE_NAME_PATTERN)
+    return fits & date_of(name).isNotNull() & F.coalesce(sequence_of(name) >= 1, F.lit(False))
+
+
+# Parts of a name that fits. A table has no dash in it, so these need no regular
+# expression: they are taken for every line of a file.
+
+
+def table_of(name: Column) -> Column:
+    return F.substring_index(name, "-", 1)
+
+
+def date_of(name: Column) -> Column:
+    return F.substring_index(F.substring_index(name, "-", 4), "-", -3).try_cast("date")
+
+
+def sequence_of(name: Column) -> Column:
+    return F.substring_index(F.substring_index(name, "-", -1), ".", 1).try_cast("int")
+
+
 def parse_file_name(name: Column) -> Column:
-    """STRUCT<table_name, file_date, sequence>, or NULL if it is not an input name.
-
-    The date must exist in the calendar and the sequence must be an INT >= 1.
-    """
-    date = F.try_to_date(F.regexp_extract(name, FILE_NAME_PATTERN, 2), "yyyy-MM-dd")
-    sequence = F.regexp_extract(name, FILE_NAME_PATTERN, 3).try_cast("int")
-    return F.when(
-        date.isNotNull() & (sequence >= 1),
-        F.struct(
-            F.regexp_extract(name, FILE_NAME_PATTERN, 1).alias("table_name"),
-            date.alias("file_date"),
-            sequence.alias("sequence"),
-        ),
+    """STRUCT<table_name, file_date, sequence>, or NULL if it is not an input name."""
+    parts = F.struct(
+        table_of(name).alias("table_name"),
+        date_of(name).alias("file_date"),
+        sequence_of(name).alias("sequence"),
     )
+    return F.when(is_input_name(name), parts)
 
 
 def merged_file_name(table: Column, date: Column) -> Column:

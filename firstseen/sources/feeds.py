@@ -15,7 +15,13 @@ from pyspark.sql import functions as F
 
 from firstseen.columns import ENVELOPE, PRIOR, TODAY
 from firstseen.config import normalise_tables
-from firstseen.functions.names import FILE_NAME_PATTERN, parse_file_name
+from firstseen.functions.names import (
+    FILE_NAME_PATTERN,
+    date_of,
+    is_input_name,
+    sequence_of,
+    table_of,
+)
 from firstseen.sources.ndjson import read_lines, scan_numbered
 from firstseen.storage import Storage
 
@@ -87,20 +93,20 @@ def refuse_hidden(spark: SparkSession, input_dir: str, tables: Sequence[str], da
 
 
 def _today(lines: DataFrame) -> DataFrame:
+    """Add the columns a file's name gives; names were checked when files were kept."""
+    name = F.col("file_name")
     return (
-        lines.withColumn("_name", parse_file_name(F.col("file_name")))
-        .withColumn("role", F.lit(TODAY))
+        lines.withColumn("role", F.lit(TODAY))
         .withColumn("role_rank", F.lit(1))
-        .withColumn("table_name", F.col("_name.table_name"))
-        .withColumn("file_date", F.col("_name.file_date"))
-        .withColumn("sequence", F.col("_name.sequence"))
-        .drop("_name")
+        .withColumn("table_name", table_of(name))
+        .withColumn("file_date", date_of(name))
+        .withColumn("sequence", sequence_of(name))
     )
 
 
 def _keep_today(tables: Sequence[str], dates: Sequence[dt.date]) -> Column:
-    name = parse_file_name(F.col("_metadata.file_name"))
-    return name.isNotNull() & _selected(name["table_name"], name["file_date"], tables, dates)
+    name = F.col("_metadata.file_name")
+    return _selected(table_of(name), date_of(name), tables, dates) & is_input_name(name)
 
 
 def _check_input(spark: SparkSession, input_dir: str) -> None:
@@ -126,20 +132,16 @@ def today_lines(
     return _today(lines).select(*(ENVELOPE if numbered else UNNUMBERED))
 
 
-def _relative(root: str, path: Column) -> Column:
-    """The path below a root, whatever scheme and host the URI has."""
-    pattern = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/]*)?" + re.escape(root) + r"/+(.*)$"
-    return F.regexp_extract(path, pattern, 1)
-
-
 def _layout(root: str, path: Column) -> tuple[Column, Column]:
-    """(table, date) of a published file; date NULL if the layout is another."""
-    parts = F.split(_relative(root, path), "/")
-    date = F.when(
-        (F.size(parts) >= 3) & F.get(parts, F.lit(1)).rlike(r"^\d{4}-\d{2}-\d{2}$"),
-        F.try_to_date(F.get(parts, F.lit(1)), "yyyy-MM-dd"),
-    )
-    return F.get(parts, F.lit(0)), date
+    """(table, date) of a published file; date NULL if the layout is another.
+
+    Taken for every line, so by position and not by regular expression.
+    """
+    below = F.substring(path, F.locate(root + "/", path) + len(root) + 1, F.length(path))
+    two = F.substring_index(below, "/", 2)
+    day = F.substring_index(two, "/", -1)
+    nested = (two != below) & (F.length(day) == 10)
+    return F.substring_index(below, "/", 1), F.when(nested, day.try_cast("date"))
 
 
 def _published_paths(spark: SparkSession, output_dir: str, dates: Sequence[dt.date]) -> list[str]:

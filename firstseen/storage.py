@@ -33,8 +33,8 @@ class Storage:
         return self.exists(path) and self._fs.getFileStatus(self._path(path)).isDirectory()
 
     def qualified_path(self, path: str) -> str:
-        """The absolute path without scheme and authority."""
-        return self._fs.makeQualified(self._path(path)).toUri().getPath()
+        """The absolute path without scheme and authority, encoded as in a URI."""
+        return self._fs.makeQualified(self._path(path)).toUri().getRawPath()
 
     def glob(self, pattern: str) -> list[str]:
         found = self._fs.globStatus(self._path(pattern))
