@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +18,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> SparkSession:
-    """Bound what a Python worker holds of a column of long texts."""
+    """Bound what a Python worker holds of a column of long texts.
+
+    Workers of a local session also learn where this package lies; a cluster gets
+    it with the job (``--py-files``).
+    """
+    context, root = spark.sparkContext, str(Path(__file__).resolve().parents[2])
+    if context.master.startswith("local["):
+        known = context.environment.get("PYTHONPATH", "")
+        if root not in known.split(":"):
+            context.environment["PYTHONPATH"] = f"{root}:{known}".rstrip(":")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_ROWS_PER_BATCH))
     return spark
 

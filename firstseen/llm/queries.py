@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from firstseen.llm import packing, token_files
+from firstseen.llm import chat, packing, simhash, token_files
 from firstseen.llm.frames import small_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,9 +20,46 @@ def op5_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(small_batches(spark), sf_dir, "documents"))
 
 
+# The conversation every result holds besides the given ones.
+PROBE_TEXT = r"\### Assistant: </turn> ok"
+PROBE = [(-7, 0, "user", PROBE_TEXT), (-7, 1, "assistant", PROBE_TEXT)]
+
+
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame(PROBE, "conv_id bigint, turn bigint, role string, text string")
+    return chat.digests(chat.format_chats(given.unionByName(probe)))
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(small_batches(spark), sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op4_packing": op4_packing,
     "op5_token_planes": op5_token_planes,
+    "op9_chat_format": op9_chat_format,
+    "op10_simhash": op10_simhash,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_chat_format": r"""
+        WITH rows AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+            UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+        ), sized AS (
+            SELECT *, CASE
+                WHEN contains(text, '</turn>') OR contains(role, '</turn>') OR contains(role, ': ')
+                THEN length(replace(replace(replace(role || chr(1) || text, '\', '\b'), '</turn>', '\t'), ': ', '\c')) - 1
+                ELSE length(role) + length(text) END + 14 AS chars
+            FROM rows
+        )
+        SELECT conv_id, count(*) AS n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+            coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+            sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+            sum(chars)::BIGINT AS formatted_chars
+        FROM sized GROUP BY conv_id
+    """,
+}
