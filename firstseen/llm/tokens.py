@@ -8,17 +8,19 @@ per worker; ``tests/llm`` holds that against encoding whole texts.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Sequence
 
 import numpy as np
 
 # Appended to every document.
 END_ID = 1
-# Words a worker remembers; beyond that it forgets all and starts anew.
-WORDS_KEPT = 500_000
-# Letters that lower-case one to one and are already composed, perhaps with one
-# closing mark: the tokenizer cuts such words just there.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!|]?)")
+# Words a worker remembers in each of two generations; one that is met again
+# moves to the young one, and the old one is forgotten when the young one is full.
+WORDS_KEPT = 350_000
+# Letters that lower-case one to one and are already composed, perhaps with
+# closing marks: the tokenizer cuts such words just there.
+_PLAIN = re.compile(r"""([A-Za-zÀ-ÖØ-öø-ÿ]+)([-.,!|*$#%&;:?"()=]*)""")
 
 _ENCODERS: dict[str, WordEncoder] = {}
 
@@ -29,6 +31,14 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def byte_letters() -> list[str]:
+    """The letter that byte-level vocabularies write for each byte: printable
+    Latin-1 characters stand for themselves, the rest follow from 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printable]
+    return [chr(b) if b in printable else chr(256 + others.index(b)) for b in range(256)]
+
+
 class WordEncoder:
     """Encodes texts to little-endian unsigned 32-bit ids, as bytes."""
 
@@ -40,36 +50,48 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        self._model = self._tokenizer.model
+        letters = byte_letters()
+        self._letters = {code: "".join(letters[b] for b in chr(code).encode()) for code in range(256)}
         self._words_kept = words_kept
-        self._known: dict[str, bytes] = {"": b""}
+        self._young: dict[str, bytes] = {"": b""}
+        self._old: dict[str, bytes] = {}
+
+    def _whole(self, part: str) -> bytes:
+        return array("I", self._tokenizer.encode(part, add_special_tokens=False).ids).tobytes()
+
+    def _stem(self, stem: str) -> bytes:
+        """Lower-case letters pass the tokenizer's normalising and cutting as they are."""
+        return array("I", [token.id for token in self._model.tokenize(stem.translate(self._letters))]).tobytes()
 
-    def _encoded(self, words: list[str]) -> list[bytes]:
-        found = self._tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(one.ids, dtype="<u4").tobytes() for one in found]
+    def _part(self, part: str, encode) -> bytes:
+        found = self._young.get(part)
+        if found is None:
+            found = self._old.get(part)
+            if found is None:
+                found = encode(part)
+            self._young[part] = found
+        return found
 
     def _learn(self, words: set[str]) -> None:
-        known = self._known
-        if len(known) + len(words) > self._words_kept:
-            known.clear()
-            known[""] = b""
-        plain = {word: match.groups() for word in words if (match := _PLAIN.fullmatch(word))}
-        parts = {stem.lower() for stem, _ in plain.values()} | {mark for _, mark in plain.values()}
-        odd = words - plain.keys()
-        fresh = [part for part in parts | odd if part not in known]
-        known.update(zip(fresh, self._encoded(fresh), strict=True))
-        for word, (stem, mark) in plain.items():
-            known[word] = known[stem.lower()] + known[mark]
+        for word in words:
+            if word in self._old:
+                self._young[word] = self._old[word]
+            elif match := _PLAIN.fullmatch(word):
+                stem, marks = match.groups()
+                self._young[word] = self._part(stem.lower(), self._stem) + self._part(marks, self._whole)
+            else:
+                self._young[word] = self._whole(word)
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         split = [text.replace("\n", " ").split(" ") for text in texts]
         words: set[str] = set()
         for one in split:
             words.update(one)
-        if fresh := words.difference(self._known):
-            if len(self._known) + len(fresh) > self._words_kept:
-                fresh = words
-            self._learn(fresh)
-        known = self._known.__getitem__
+        if len(self._young) > self._words_kept:
+            self._young, self._old = {"": b""}, self._young
+        self._learn(words.difference(self._young))
+        known = self._young.__getitem__
         return [b"".join(map(known, one)) for one in split]
 
 
