@@ -6,12 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from firstseen.llm import chat, packing, simhash, token_files
+from firstseen.llm import chat, html_text, packing, quality, simhash, token_files
 from firstseen.llm.frames import small_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(small_batches(spark), sf_dir, "pages"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(small_batches(spark), sf_dir, "documents"))
 
@@ -36,6 +45,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality": op1_quality,
+    "op2_html_text": op2_html_text,
     "op4_packing": op4_packing,
     "op5_token_planes": op5_token_planes,
     "op9_chat_format": op9_chat_format,
