@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from firstseen.llm import chat, html_text, packing, quality, simhash, token_files
+from firstseen.llm import chat, html_text, packing, quality, simhash, token_files, vectors
 from firstseen.llm.frames import small_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,14 +30,18 @@ def op5_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(small_batches(spark), sf_dir, "documents"))
 
 
-# The conversation every result holds besides the given ones.
+# Fixed value: what both turns of conversation -7 say.
 PROBE_TEXT = r"\### Assistant: </turn> ok"
-PROBE = [(-7, 0, "user", PROBE_TEXT), (-7, 1, "assistant", PROBE_TEXT)]
 
 
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    probe = spark.createDataFrame(PROBE, "conv_id bigint, turn bigint, role string, text string")
+    probe = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(PROBE_TEXT).alias("text"),
+    )
     return chat.digests(chat.format_chats(given.unionByName(probe)))
 
 
@@ -49,6 +54,7 @@ QUERIES: dict[str, Query] = {
     "op2_html_text": op2_html_text,
     "op4_packing": op4_packing,
     "op5_token_planes": op5_token_planes,
+    "op6_vectors": op6_vectors,
     "op9_chat_format": op9_chat_format,
     "op10_simhash": op10_simhash,
 }
