@@ -30,6 +30,10 @@ def op5_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(small_batches(spark), sf_dir, "documents"))
 
 
+def op6_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(small_batches(spark), sf_dir, "embeddings"))
+
+
 # Fixed value: what both turns of conversation -7 say.
 PROBE_TEXT = r"\### Assistant: </turn> ok"
 
