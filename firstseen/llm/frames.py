@@ -48,3 +48,14 @@ def texts(documents: DataFrame) -> DataFrame:
     return documents.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text")
     )
+
+
+def fresh_names(frame: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until no column of the frame is called so."""
+    taken = {column.lower() for column in frame.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        found.append(name)
+    return found

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from firstseen.llm.frames import staged
+from firstseen.llm.frames import fresh_names, staged
 
 FEATURES = 256
 RIDGE = 1e-3
@@ -236,9 +236,7 @@ def classify(documents: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_good(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``documents``, all columns, whose text scores the threshold or more."""
     model = fit(staged(document_statistics(documents), "statistics"), labels)
-    name = "score_"
-    while name in documents.columns:
-        name += "_"
+    (name,) = fresh_names(documents, "score")
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firstseen.llm import chat, html_text, packing, quality, simhash, token_files, vectors
+from firstseen.llm import chat, decontaminate, html_text, packing, pii, quality, simhash, token_files, vectors
 from firstseen.llm.frames import small_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,10 @@ def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(small_batches(spark), sf_dir, "pages"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(table(small_batches(spark), sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(small_batches(spark), sf_dir, "documents"))
 
@@ -34,6 +38,11 @@ def op6_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(table(small_batches(spark), sf_dir, "embeddings"))
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 # Fixed value: what both turns of conversation -7 say.
 PROBE_TEXT = r"\### Assistant: </turn> ok"
 
@@ -56,9 +65,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_html_text": op2_html_text,
+    "op3_pii": op3_pii,
     "op4_packing": op4_packing,
     "op5_token_planes": op5_token_planes,
     "op6_vectors": op6_vectors,
+    "op8_decontaminate": op8_decontaminate,
     "op9_chat_format": op9_chat_format,
     "op10_simhash": op10_simhash,
 }

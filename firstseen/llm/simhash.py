@@ -16,12 +16,12 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from firstseen.llm.bitslice import classes
 from firstseen.llm.components import components
-from firstseen.llm.frames import staged, texts
+from firstseen.llm.frames import fresh_names, staged, texts
 
 SHINGLE_WORDS = 4
 SEED = 42
@@ -154,3 +154,23 @@ def near_duplicates(documents: DataFrame, radius: int = RADIUS, chunk: int = CHU
     )
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return prints.join(classed, "fp").select("doc_id", hexed, "component_id")
+
+
+def keep_first(documents: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """The rows of ``documents``, all columns, that are the first of their class.
+
+    The smallest doc_id of a class stays. Rows that repeat a doc_id with its text
+    count once; rows without doc_id stay.
+    """
+    first, copy, number = fresh_names(documents, "first", "copy", "number")
+    classed = near_duplicates(documents, radius).filter("doc_id = component_id")
+    classed = classed.select(F.col("doc_id").alias(first)).distinct()
+    once = Window.partitionBy("doc_id", copy).orderBy(copy)
+    joined = documents.join(classed, F.col("doc_id") == F.col(first), "left")
+    return (
+        joined.filter(F.col(first).isNotNull() | F.col("doc_id").isNull())
+        .withColumn(copy, F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()).otherwise(F.xxhash64("text")))
+        .withColumn(number, F.row_number().over(once))
+        .filter(F.col(number) == 1)
+        .select(*documents.columns)
+    )
