@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firstseen.llm import chat, decontaminate, html_text, packing, pii, quality, simhash, token_files, vectors
+from firstseen.llm import chat, decontaminate, html_text, packing, pii, quality, repeats, simhash, token_files, vectors
 from firstseen.llm.frames import small_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,10 @@ def op6_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(table(small_batches(spark), sf_dir, "embeddings"))
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(small_batches(spark), sf_dir, "documents"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -69,6 +73,7 @@ QUERIES: dict[str, Query] = {
     "op4_packing": op4_packing,
     "op5_token_planes": op5_token_planes,
     "op6_vectors": op6_vectors,
+    "op7_repeats": op7_repeats,
     "op8_decontaminate": op8_decontaminate,
     "op9_chat_format": op9_chat_format,
     "op10_simhash": op10_simhash,
