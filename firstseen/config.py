@@ -17,6 +17,12 @@ DEFAULT_KEY_FIELDS = (
 # Fixed value: more malformed lines than this in one published file fail a run.
 PRIOR_REJECT_LIMIT = 1000
 
+# Space and all control characters below it: what is trimmed from a table name.
+CONTROLS = "".join(map(chr, range(33)))
+
+# A hot key takes a key, a scope and a position; with long paths up to 2 KB.
+MAX_HOT_KEYS = 100_000
+
 
 def path_segments(dotted: str) -> list[str]:
     """Split a dotted path; trailing empty segments are dropped."""
@@ -31,12 +37,12 @@ def path_segments(dotted: str) -> list[str]:
     return segments
 
 
-def normalise_tables(names: Sequence[str], comments: bool = False) -> list[str]:
-    """Trimmed, lower-cased, distinct, in order; ``#`` lines dropped if asked."""
+def normalise_tables(names: Sequence[str]) -> list[str]:
+    """Trimmed, lower-cased, distinct, in order."""
     kept: dict[str, None] = {}
     for name in names:
-        text = (name or "").strip().lower()
-        if text and not (comments and text.startswith("#")):
+        text = (name or "").strip(CONTROLS).lower()
+        if text:
             kept.setdefault(text)
     if not kept:
         raise ValueError("the list of allowed tables is empty")
@@ -51,8 +57,8 @@ class DedupConfig:
     is case-sensitive unless ``case_insensitive_overrides`` is set.
     ``publish_mode`` is ``merge`` (new survivors join what is published) or
     ``replace`` (they take its place). ``single_file`` asks for one output file
-    per table and date, up to ``single_file_max_bytes``; beyond that the ordered
-    part files stay.
+    per table and date, whatever its size; ordered part files are the way to scale.
+    ``hot_keys`` bounds a broadcast and has a bound itself.
     """
 
     key_fields: Sequence[str] = DEFAULT_KEY_FIELDS
@@ -66,7 +72,6 @@ class DedupConfig:
     prior_reject_limit: int = PRIOR_REJECT_LIMIT
     publish_mode: str = "merge"
     single_file: bool = False
-    single_file_max_bytes: int = 1 << 30
     hot_min_copies: int = 100_000
     hot_keys: int = 20_000
 
@@ -76,6 +81,10 @@ class DedupConfig:
         for fields in (self.key_fields, *self.table_key_fields.values()):
             for dotted in fields:
                 path_segments(dotted)
+        if not 0 <= self.hot_keys <= MAX_HOT_KEYS:
+            raise ValueError(f"hot_keys is not between 0 and {MAX_HOT_KEYS}")
+        if self.hot_min_copies < 1:
+            raise ValueError("hot_min_copies is less than 1")
         if self.publish_mode not in ("merge", "replace"):
             raise ValueError(f"unknown publish mode {self.publish_mode!r}")
         if self.tables:

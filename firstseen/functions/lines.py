@@ -63,28 +63,33 @@ def value_text(value: Column, line: Column, dotted: str) -> Column:
 
     Strings, integers and booleans read the same from either. A VARIANT forgets
     the field order of objects and how fractions print, so those few are taken
-    from the line again.
+    from the line again. That reading finds the first of repeated fields while the
+    VARIANT has the last: where the two disagree, or where a field repeats inside
+    an object and the line's text has more quotes, the VARIANT's text counts.
     """
     kind = F.schema_of_variant(value)
+    again, own = path_text(line, dotted), F.to_json(value)
+    quotes = lambda text: F.length(text) - F.length(F.replace(text, F.lit('"')))
+    same = (F.to_json(F.try_parse_json(again)) == own) & (quotes(again) == quotes(own))
     return F.when(kind.isin("STRING", "BIGINT", "BOOLEAN"), value.cast("string")).when(
-        kind != "VOID", path_text(line, dotted)
+        kind != "VOID", F.when(same, again).otherwise(own)
     )
 
 
 def path_text(line: Column, dotted: str) -> Column:
     """Text of the value at a dotted path; NULL if it is missing or JSON null.
 
-    Only object fields are descended. Objects and arrays come back as compact
+    Only object fields are descended; of repeated ones it finds the first. Objects and arrays come back as compact
     JSON in their own field order.
     """
     return F.get_json_object(line, "$" + _steps(dotted))
 
 
 def key_part(line: Column, dotted: str) -> Column:
-    """``path_text`` with the fixed text for a missing value."""
-    return F.coalesce(path_text(line, dotted), F.lit(NULL_TEXT))
+    """Text of the value at a path, with the fixed text for a missing one."""
+    return F.coalesce(value_text(value_at(parse(line), dotted), line, dotted), F.lit(NULL_TEXT))
 
 
 def effective_table(line: Column, table: Column) -> Column:
     """The table a record names itself, else the table of its file."""
-    return F.coalesce(path_text(line, SOURCE_TABLE), table)
+    return F.coalesce(value_text(value_at(parse(line), SOURCE_TABLE), line, SOURCE_TABLE), table)

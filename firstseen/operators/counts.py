@@ -1,19 +1,21 @@
 """Counts per file, table and job.
 
 Everything derives from ``file_counts``: one row per file, whatever the number of
-records. It needs no join of records: a file's survivors are counted among the
-first records of all keys.
+records. It reads and parses every line once and joins nothing: lines are counted
+per key and file, and a key's first file is the one its survivor is in.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from firstseen.columns import GROUP, POSITION
 from firstseen.functions.names import merged_file_name
 from firstseen.operators.first_seen import DUPLICATE, PUBLISHED, SURVIVOR
-from firstseen.operators.prepare import BLANK, RECORD, REJECT, records
+from firstseen.operators.prepare import BLANK, RECORD, REJECT
+
+FILE = ["table_name", "file_date", "sequence", "file_path"]
 
 
 def file_counts(prepared: DataFrame) -> DataFrame:
@@ -21,24 +23,26 @@ def file_counts(prepared: DataFrame) -> DataFrame:
 
     For a published file nothing is filtered: all its records count as written.
     """
-    kind = F.col("line_kind")
-    per_file = prepared.groupBy("role", "table_name", "file_date", "sequence", "file_path").agg(
-        F.count_if(kind == RECORD).alias("read_count"),
-        F.count_if(kind == REJECT).alias("skipped_count"),
-        F.count_if(kind == BLANK).alias("blank_count"),
-    )
-    kept = (
-        records(prepared)
-        .groupBy(*GROUP)
-        .agg(F.min(F.struct(*POSITION)).alias("first"))
-        .filter(F.col("first.role_rank") == 1)
-        .groupBy(F.col("first.file_path").alias("file_path"))
-        .agg(F.count("*").alias("kept"))
+    # One row per key and file; lines without key are one per file and kind.
+    keyed = F.col("line_kind") == RECORD
+    per_key = prepared.groupBy("role", "role_rank", *FILE, "line_kind", *GROUP[:2]).agg(
+        F.count("*").alias("lines"), F.min("line_no").alias("line_no")
     )
-    written = F.when(F.col("role") == "TODAY", F.coalesce("kept", F.lit(0))).otherwise(F.col("read_count"))
+    # A key's rows are as many as its files. Lines without key spread by file.
+    together = Window.partitionBy(*GROUP, F.when(~keyed, F.col("file_path"))).orderBy(*POSITION)
+    first = keyed & (F.col("role_rank") == 1) & (F.row_number().over(together) == 1)
+    lines = lambda kind: F.coalesce(F.sum(F.when(F.col("line_kind") == kind, F.col("lines"))), F.lit(0))
+    today = F.col("role") == "TODAY"
     return (
-        per_file.join(kept, "file_path", "left")
-        .withColumn("written_count", written)
+        per_key.withColumn("first", first)
+        .groupBy("role", *FILE)
+        .agg(
+            lines(RECORD).alias("read_count"),
+            lines(REJECT).alias("skipped_count"),
+            lines(BLANK).alias("blank_count"),
+            F.count_if("first").alias("kept"),
+        )
+        .withColumn("written_count", F.when(today, F.col("kept")).otherwise(F.col("read_count")))
         .withColumn("filtered_count", F.col("read_count") - F.col("written_count"))
         .drop("kept")
     )

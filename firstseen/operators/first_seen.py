@@ -38,15 +38,18 @@ def baseline_index(prepared: DataFrame) -> DataFrame:
     )
 
 
-def survivors(prepared: DataFrame, payload: Sequence[str] = PAYLOAD) -> DataFrame:
+def survivors(
+    prepared: DataFrame, payload: Sequence[str] = PAYLOAD, place: Sequence[str] = POSITION
+) -> DataFrame:
     """Today's records that are the first of their key, published ones included.
 
     One shuffle. The smallest (role, sequence, path, line) of a key wins and
     carries its payload along; positions are unique, so the payload never
-    decides. Published rows only compete, their payload stays behind.
+    decides. Published rows only compete, their payload stays behind. ``place``
+    names the columns of the position where lines have no numbers yet.
     """
     carried = [F.when(F.col("role_rank") == 1, F.col(c)).alias(c) for c in payload]
-    first = F.min(F.struct(*POSITION, *carried)).alias("first")
+    first = F.min(F.struct(*place, *carried)).alias("first")
     return (
         records(prepared)
         .groupBy(*GROUP)

@@ -20,7 +20,6 @@ from firstseen.columns import ENVELOPE, role_rank
 from firstseen.config import DedupConfig
 from firstseen.operators.prepare import prepare
 from firstseen.sources.generate import feed_path, published_path, write_feed
-from firstseen.sources.ndjson import split_bound
 from firstseen.storage import shared_folder
 
 EVENT_CONFIG = DedupConfig(key_fields=("k",), tables=("view", "error", "signup", "click", "purchase"))
@@ -40,18 +39,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(spark: SparkSession, sf_dir: str, name: str, rows: DataFrame, by: str) -> DataFrame:
-    """Hand the rows of a table with too few splits for the cores to all cores.
-
-    Parsing is the work here, and the test tables have one row group each, which
-    one task would parse alone. A table of many splits is left where it is.
-    """
-    cores = spark.sparkContext.defaultParallelism
-    if split_bound(spark, [f"{sf_dir}/{name}.parquet"]) >= 4 * cores:
-        return rows
-    return rows.repartition(cores, by)
-
-
 def _day(date: Column) -> Column:
     return F.date_format(date, "yyyy-MM-dd")
 
@@ -77,7 +64,7 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.when(F.col("value") < 1, damaged).when(F.col("value") < 2, "  ").otherwise(F.col("props"))
     columns = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value", "props")
     return _with_place(
-        spread(spark, sf_dir, "events", columns, "event_id").select(
+        columns.select(
             _role().alias("role"),
             F.col("event_type").alias("table_name"),
             F.to_date("ts").alias("file_date"),
@@ -176,7 +163,7 @@ def lineitem_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag"
     )
     return _with_place(
-        spread(spark, sf_dir, "lineitem", columns, "l_orderkey").select(
+        columns.select(
             F.when(F.col("l_linenumber") <= 2, "PRIOR").otherwise("TODAY").alias("role"),
             F.col("l_returnflag").alias("table_name"),
             F.lit("2024-01-01").cast("date").alias("file_date"),

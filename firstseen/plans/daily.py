@@ -2,7 +2,9 @@
 
 The raw text is read once. Parsed, keyed lines are staged as Parquet in the
 shared folder; later stages read only the columns they need from there, and a
-lost executor costs a re-read of staged files, not of the feed.
+lost executor costs a re-read of staged files, not of the feed. The text itself
+goes through one shuffle by key, with the survivors, and one by output order.
+Line numbers and provenance work on keys and places alone.
 """
 
 from __future__ import annotations
@@ -18,10 +20,10 @@ from pyspark.sql import functions as F
 from firstseen.config import DedupConfig
 from firstseen.functions.names import DEFAULT_RUN_ID, RUN_ID_UNSAFE
 from firstseen.operators import counts
-from firstseen.operators.first_seen import SURVIVOR, classify, duplicates
+from firstseen.operators.first_seen import classify, duplicates, survivors
 from firstseen.operators.prepare import REJECT, prepare
 from firstseen.plans import reports
-from firstseen.plans.publish import Published, output_files, publish, write_manifest
+from firstseen.plans.publish import Published, finish_open, output_files, publish, write_manifest
 from firstseen.sources.feeds import baseline_lines, has_today_files, resolve_tables, today_lines
 from firstseen.sources.ndjson import number_lines, split_offsets
 from firstseen.storage import Storage, shared_folder
@@ -31,9 +33,17 @@ class TooManyRejects(RuntimeError):
     """A file has more malformed lines than the settings allow."""
 
 
+class WrongCount(RuntimeError):
+    """What is published is not what the run counted."""
+
+
 @dataclass
 class DailyResult:
-    """Frames over the staged files of a finished run, and what it wrote."""
+    """Frames over the staged files of a finished run, and what it wrote.
+
+    As a context manager it removes the staged files at the end; the frames are
+    then gone, what was published stays.
+    """
 
     survivors: DataFrame
     duplicates: DataFrame
@@ -45,6 +55,19 @@ class DailyResult:
     manifests: list[str] = field(default_factory=list)
     reports: list[str] = field(default_factory=list)
 
+    def remove_staging(self) -> None:
+        Storage(self.summary.sparkSession, self.staging).remove_folder(self.staging)
+
+    def __enter__(self) -> DailyResult:
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.remove_staging()
+
+
+# Where a line stands before it has a number. Rows count up within a split.
+PLACE = ["role_rank", "sequence", "file_path", "split_start", "row_id"]
+
 
 def staged(frame: DataFrame, path: str, *partition_by: str) -> DataFrame:
     """Write a frame and read it back. The schema is given: there may be no rows."""
@@ -52,8 +75,8 @@ def staged(frame: DataFrame, path: str, *partition_by: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
-def stage_lines(lines: DataFrame, config: DedupConfig, staging: str) -> DataFrame:
-    """Prepare unnumbered lines, write them, and give them their line numbers.
+def stage_lines(lines: DataFrame, config: DedupConfig, staging: str) -> tuple[DataFrame, DataFrame]:
+    """Prepare unnumbered lines and write them; the lines and their splits' offsets.
 
     Published lines only compete by key, so their text stays behind unless it is
     malformed. Split offsets come from three columns of the staged files, and are
@@ -63,12 +86,25 @@ def stage_lines(lines: DataFrame, config: DedupConfig, staging: str) -> DataFram
     text_needed = (F.col("role_rank") == 1) | (F.col("line_kind") == REJECT)
     prepared = prepare(lines, config).withColumn("raw_line", F.when(text_needed, F.col("raw_line")))
     written = staged(prepared, f"{staging}/lines")
-    return number_lines(written, staged(split_offsets(written), f"{staging}/offsets"))
+    return written, staged(split_offsets(written), f"{staging}/offsets")
 
 
-def stage_classified(prepared: DataFrame, config: DedupConfig, staging: str) -> DataFrame:
-    """Classify and write, foldered by status: every sink reads just its part."""
-    return staged(classify(prepared, config), f"{staging}/classified", "status")
+def numbered_keys(written: DataFrame, offsets: DataFrame) -> DataFrame:
+    """Staged lines with their numbers, without their text."""
+    return number_lines(written.drop("raw_line"), offsets)
+
+
+def check_counts(counted: DataFrame, expected: DataFrame, summary: DataFrame) -> None:
+    """Raise where the published lines are not as many as old and new ones make."""
+    scope = ["scope_table", "file_date"]
+    of_run = summary.select(F.lower("table_name").alias("scope_table"), "file_date")
+    both = of_run.join(expected.withColumnRenamed("output_count", "expected"), scope, "left").join(counted, scope, "left")
+    found, due = (F.coalesce(c, F.lit(0)) for c in ("output_count", "expected"))
+    wrong = both.filter(found != due).orderBy(*scope).first()
+    if wrong is not None:
+        raise WrongCount(
+            f"{wrong.scope_table} of {wrong.file_date}: {wrong.output_count} lines are published, {wrong.expected} are due"
+        )
 
 
 def check_rejects(file_counts: DataFrame, config: DedupConfig) -> None:
@@ -97,26 +133,32 @@ def run_daily(
     if not has_today_files(spark, input_dir, tables, config.run_dates):
         raise FileNotFoundError(f"no input files for the run in {input_dir}")
 
+    # A run that died while it published is completed first: its files are baseline.
+    finish_open(Storage(spark, output_dir), output_dir)
     staging = shared_folder(spark, "run")
     lines = today_lines(spark, input_dir, tables, config.run_dates, numbered=False).unionByName(
         baseline_lines(spark, output_dir, tables, config.run_dates, numbered=False)
     )
-    prepared = stage_lines(lines, config, staging)
-    classified = stage_classified(prepared, config, staging)
+    written, offsets = stage_lines(lines, config, staging)
+    # Foldered by status: every sink reads just its part.
+    classified = staged(classify(numbered_keys(written, offsets), config), f"{staging}/classified", "status")
     # One row per file, written so that the reports below do not count again.
     file_counts = staged(counts.file_counts_of(classified), f"{staging}/file_counts")
     check_rejects(file_counts, config)
 
-    survivors = classified.filter(F.col("status") == SURVIVOR)
-    published = publish(survivors, output_dir, config, f"{run_id}-{uuid.uuid4().hex[:8]}")
+    kept = staged(survivors(written, place=PLACE), f"{staging}/survivors")
+    published = publish(kept, output_dir, config, f"{run_id}-{uuid.uuid4().hex[:8]}")
 
-    left = counts.published_from_counts(file_counts, config.publish_mode)
     per_table = counts.table_summary(file_counts)
-    summary = counts.with_output(per_table, left, output_files(per_table, output_dir))
+    there = baseline_lines(spark, output_dir, tables, config.run_dates, numbered=False)
+    counted = staged(counts.published_counts(there), f"{staging}/published_counts")
+    check_counts(counted, counts.published_from_counts(file_counts, config.publish_mode), per_table)
+    summary = counts.with_output(per_table, counted, output_files(per_table, output_dir))
+    malformed = number_lines(written.filter(F.col("line_kind") == REJECT), offsets)
     result = DailyResult(
-        survivors=survivors,
+        survivors=number_lines(kept, offsets),
         duplicates=duplicates(classified),
-        rejects=classified.filter(F.col("status") == REJECT).select(
+        rejects=malformed.select(
             "role", "table_name", "file_date", "file_path", "line_no", "raw_line", "reason"
         ),
         file_counts=file_counts,

@@ -198,13 +198,13 @@ FROM c WHERE role = 'TODAY' AND table_name IN {MESSY} GROUP BY ALL"""),
     ),
     "allowed_tables": """
 WITH l AS (
-  SELECT c_custkey + 1 AS line_no, CASE WHEN c_nationkey < 3 THEN '   '
-      WHEN c_nationkey < 8 THEN '# ' || c_mktsegment
-      WHEN c_acctbal < 0 THEN '  ' || lower(c_mktsegment) || ' '
+  SELECT c_custkey + 1 AS line_no, CASE WHEN c_nationkey < 3 THEN ' ' || chr(9) || ' '
+      WHEN c_nationkey < 8 THEN chr(9) || '# ' || c_mktsegment
+      WHEN c_acctbal < 0 THEN chr(9) || ' ' || lower(c_mktsegment) || ' ' || chr(9)
       ELSE c_mktsegment || '_' || c_nationkey END AS value
-  FROM customer)
-SELECT lower(trim(value)) AS table_name, min(line_no) AS position FROM l
-WHERE trim(value) <> '' AND trim(value) NOT LIKE '#%' GROUP BY 1""",
+  FROM customer), t AS (SELECT line_no, trim(value, ' ' || chr(9)) AS value FROM l)
+SELECT lower(value) AS table_name, min(line_no) AS position FROM t
+WHERE value <> '' AND value NOT LIKE '#%' GROUP BY 1""",
     "allowed_rows": _events(
         f"SELECT table_name, file_date, count(*) AS line_count FROM e WHERE table_name IN {MESSY} GROUP BY ALL"
     ),
@@ -252,10 +252,27 @@ SELECT o_orderkey, millis, CASE
     WHEN millis >= 60000 THEN printf('%dm %d.%03ds', millis // 60000, millis % 60000 // 1000, millis % 1000)
     ELSE printf('%d.%03ds', millis // 1000, millis % 1000) END AS duration
 FROM m""",
-    "throughput": """
-SELECT event_type, CAST(ts AS DATE) AS day,
-       round(CAST(count(*) AS DOUBLE) / greatest(1, max(event_id) - min(event_id)), 6) AS per_second
-FROM events GROUP BY ALL""",
+    "throughput": _events("""
+SELECT file_path, round(CAST(read_count AS DOUBLE) / greatest(1, sequence), 6) AS per_second
+FROM per_file WHERE role = 'TODAY'"""),
+    "repeated_fields": """
+SELECT c_custkey AS custkey, true AS is_json, CAST(c_custkey AS VARCHAR) AS n,
+       CAST(CAST(floor(abs(c_acctbal)) AS BIGINT) AS VARCHAR) || '.5' AS balance,
+       '{"key":' || c_nationkey || '}' AS nation, CAST(c_nationkey AS VARCHAR) AS nation_key
+FROM customer""",
+    "run_date_files": _changes("""
+SELECT role, file_date, CAST(row_number() OVER (PARTITION BY role, file_date
+         ORDER BY table_name, sequence, file_path) AS INTEGER) AS place, file_path
+FROM (SELECT DISTINCT role, file_date, table_name, sequence, file_path FROM c WHERE day(file_date) <= 15)"""),
+    "run_date_lines": _changes("""
+SELECT role, table_name, file_date, file_path, line_no, raw_line FROM c WHERE day(file_date) <= 15"""),
+    "publish_single_merge": _changes("""
+SELECT table_name, file_date, 'MERGED=' || table_name || '-' || day || '.json' AS file_name,
+       row_number() OVER (PARTITION BY table_name, file_date
+         ORDER BY role_rank, sequence, file_path, line_no) AS merge_position, raw_line
+FROM (SELECT table_name, file_date, day, role_rank, sequence, file_path, line_no, raw_line FROM kept
+      UNION ALL
+      SELECT table_name, file_date, day, role_rank, sequence, file_path, line_no, raw_line FROM c WHERE role = 'PRIOR')"""),
     "baseline_index": _events("""
 SELECT table_name AS scope_table, file_date, dedup_key, file_path AS first_path, line_no AS first_line_no
 FROM (SELECT *, row_number() OVER (PARTITION BY table_name, file_date, dedup_key
@@ -328,7 +345,7 @@ SELECT file_date, table_name, count(*) AS line_count FROM c WHERE role = 'TODAY'
 GROUP BY ROLLUP (file_date, table_name)"""),
     "reject_threshold": _events("""
 SELECT table_name, file_date, file_path, skipped_count FROM per_file
-WHERE role = 'PRIOR' AND skipped_count > 1"""),
+WHERE role = 'PRIOR' AND skipped_count > 0"""),
     "merged_output": _changes("""
 SELECT table_name, file_date, row_number() OVER (PARTITION BY table_name, file_date
          ORDER BY sequence, file_path, line_no) AS merge_position, raw_line
@@ -349,13 +366,12 @@ UNION ALL
 SELECT 'reject', 'Line ' || line_no || ' in ' || file_path || ' has been rejected due to invalid data/format'
 FROM e WHERE line_kind = 'reject'"""),
     "summary_report": _events(f"""
-SELECT table_name, file_date, unnest(range(0, 6)) AS line_no, unnest([
+SELECT table_name, file_date, unnest(range(0, 5)) AS line_no, unnest([
     table_name || ':',
     chr(9) || 'Total Records processed: ' || total_processed,
     chr(9) || 'Total Rejected: ' || total_rejected,
     chr(9) || 'Total Duplicates: ' || total_duplicates,
-    chr(9) || 'Files: output/' || table_name || '/' || strftime(file_date, '%Y-%m-%d') || '/' || output_file,
-    chr(9) || 'Duration: 0.000s']) AS line
+    chr(9) || 'Files: output/' || table_name || '/' || strftime(file_date, '%Y-%m-%d') || '/' || output_file]) AS line
 FROM ({_SUMMARY_ROWS})"""),
     "stream_dedup": _changes(
         "SELECT table_name, file_date, sequence, file_path, line_no, raw_line FROM kept"

@@ -1,17 +1,22 @@
 """Survivors to ``<output>/<table>/<date>/``, in merge order.
 
 Spark cannot overwrite a folder it is reading, and the published files are also
-the baseline. So survivors are written to a staging folder first and moved in
-afterwards, by renames only.
-
-*merge* adds files next to the published ones and rewrites nothing. A run that
-dies half-way loses nothing and repeats nothing: what it moved in is baseline
-for the next run. *replace* moves the new files in before it removes the old.
+the baseline. So survivors are written to a staging folder below the output root,
+on the same file system, and moved in by renames.
+
+Before the first rename an intent is written: every move and every removal of
+the run. A run that dies before has changed nothing. One that dies later is
+completed by the next, which first carries out any open intent: moves whose
+source is still there, then removals. So *replace* never ends with old and new
+side by side, and a single file never gives way before its successor is whole.
+One run at a time may publish below an output root.
 """
 
 from __future__ import annotations
 
-import datetime as dt
+import json
+import re
+import uuid
 from collections import defaultdict
 from dataclasses import dataclass
 
@@ -19,9 +24,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from firstseen.config import DedupConfig
-from firstseen.sources.feeds import baseline_files, baseline_lines
-from firstseen.storage import Storage, shared_folder
+from firstseen.sources.feeds import baseline_lines
+from firstseen.storage import Storage
+
+# Lines of an output by place; within a split, rows count up.
+ORDER = ["sequence", "file_path", "split_start", "row_id"]
 
+# Below the output root. The name hides it from every reader of published files.
+WORK = "_firstseen"
 
 @dataclass(frozen=True)
 class Published:
@@ -56,125 +66,140 @@ def with_output_table(survivors: DataFrame, published: dict[str, str]) -> DataFr
 
 
 def in_merge_order(survivors: DataFrame) -> DataFrame:
-    """Range-partitioned and sorted: table, date, sequence, path, line.
+    """Range-partitioned and sorted: table, date, sequence, path, place in the file.
 
     Ranges are cut by the whole position, so one big table spreads over many
     tasks and the part numbers run in merge order.
     """
-    order = ["output_table", "file_date", "sequence", "file_path", "line_no"]
+    order = ["output_table", "file_date", *ORDER]
     return survivors.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
-def _write_text(lines: DataFrame) -> str:
-    staging = shared_folder(lines.sparkSession, "publish")
+def _write_text(lines: DataFrame, staging: str) -> None:
+    """One part per task and output, whatever limit the cluster sets on records."""
     (
         lines.select("output_table", "file_date", "raw_line")
-        .write.partitionBy("output_table", "file_date")
+        .write.option("maxRecordsPerFile", 0)
+        .partitionBy("output_table", "file_date")
         .text(staging)
     )
-    return staging
-
-
-def small_outputs(survivors: DataFrame, output_dir: str, config: DedupConfig) -> DataFrame:
-    """(scope_table, file_date) of outputs that one task may write as one file.
-
-    Counts what is published already where that has to be rewritten too.
-    """
-    new = survivors.groupBy("scope_table", "file_date").agg(
-        F.sum(F.octet_length("raw_line") + 1).alias("bytes")
-    )
-    if config.publish_mode == "merge":
-        tables, dates = _table_dates(survivors)
-        old = baseline_files(survivors.sparkSession, output_dir, tables, dates).select(
-            F.lower("table_name").alias("scope_table"), "file_date", F.col("file_bytes").alias("bytes")
-        )
-        # Nothing survived for some of the old ones: they are not touched.
-        touched = F.broadcast(new.select("scope_table", "file_date"))
-        new = new.unionByName(old.join(touched, ["scope_table", "file_date"], "left_semi"))
-    total = new.groupBy("scope_table", "file_date").agg(F.sum("bytes").alias("bytes"))
-    fitting = total.filter(F.col("bytes") <= config.single_file_max_bytes)
-    # One row per table and date. Joined by a shuffle, a table would be one task.
-    return F.broadcast(fitting.select("scope_table", "file_date"))
 
 
-def _table_dates(survivors: DataFrame) -> tuple[list[str], list[dt.date]]:
-    """The tables and the dates that have survivors: bounded by the allow-list."""
-    rows = survivors.select("scope_table", "file_date").distinct().collect()
-    return sorted({r.scope_table for r in rows}), sorted({r.file_date for r in rows})
+def single_file_lines(survivors: DataFrame, output_dir: str, config: DedupConfig) -> DataFrame:
+    """Lines of the outputs that have survivors, each output in one partition and in order.
 
-
-def single_file_lines(survivors: DataFrame, small: DataFrame, output_dir: str, config: DedupConfig) -> DataFrame:
-    """Lines of the small outputs, each output in one partition and in order.
-
-    In merge mode what is published comes first, as it stands.
+    In merge mode what is published comes first, as it stands. One file means one
+    writer: its task sorts the whole output, on disk where it is large.
     """
-    lines = survivors.join(small, ["scope_table", "file_date"], "left_semi").select(
+    lines = survivors.select(
         "scope_table",
         "output_table",
         "file_date",
         F.lit(1).alias("role_rank"),
-        "sequence",
-        "file_path",
-        F.lit(0).cast("bigint").alias("split_start"),
-        F.col("line_no").alias("row_id"),
+        *ORDER,
         "raw_line",
     )
     if config.publish_mode == "merge":
-        spark = survivors.sparkSession
-        tables, dates = _table_dates(survivors)
+        # One row per table and date: bounded by the allow-list and the dates.
         spelled = survivors.select("scope_table", "file_date", "output_table").distinct()
+        rows = spelled.collect()
+        tables, dates = sorted({r.scope_table for r in rows}), sorted({r.file_date for r in rows})
         old = (
-            baseline_lines(spark, output_dir, tables, dates, numbered=False)
+            baseline_lines(survivors.sparkSession, output_dir, tables, dates, numbered=False)
             .withColumn("scope_table", F.lower("table_name"))
-            .join(small, ["scope_table", "file_date"], "left_semi")
             .join(F.broadcast(spelled), ["scope_table", "file_date"])
             .filter(F.col("table_name") == F.col("output_table"))
         )
         lines = lines.unionByName(old.select(*lines.columns))
     place = ["output_table", "file_date"]
-    return lines.repartition(*place).sortWithinPartitions(
-        *place, "role_rank", "sequence", "file_path", "split_start", "row_id"
-    )
+    return lines.repartition(*place).sortWithinPartitions(*place, "role_rank", *ORDER)
+
+
+def part_number(path: str) -> tuple[int, str]:
+    """Parts sort by number: names have five digits only up to 99 999 tasks."""
+    name = path.rsplit("/", 1)[-1]
+    number = re.match(r"part-(\d+)", name)
+    return int(number[1]) if number else -1, name
 
 
 def _parts(storage: Storage, staging: str) -> dict[tuple[str, str], list[str]]:
     """Written part files by table and date, in part order."""
     found: dict[tuple[str, str], list[str]] = defaultdict(list)
-    for part in sorted(storage.glob(f"{staging}/output_table=*/file_date=*/part-*"), key=_file_name):
+    for part in sorted(storage.glob(f"{staging}/output_table=*/file_date=*/part-*"), key=part_number):
         table, date = (step.split("=", 1)[1] for step in part.split("/")[-3:-1])
         found[table, date].append(part)
     return found
 
 
+def _carry_out(storage: Storage, path: str) -> None:
+    """Do what an intent says and is not done yet, then drop it."""
+    intent = json.loads(storage.read_text(path))
+
+    def place(move: list[str]) -> None:
+        source, target = move
+        if storage.exists(source):
+            storage.replace(source, target)
+        elif not storage.exists(target):
+            raise OSError(f"neither {source} nor {target} is there")
+
+    storage.each(place, intent["moves"])
+    storage.each(storage.remove_file, intent["removals"])
+    storage.remove_file(path)
+    storage.remove_folder(intent["staging"])
+
+
+def finish_open(storage: Storage, output_dir: str) -> int:
+    """Complete what a run that died was about to publish; how many there were.
+
+    Staging folders without an intent belong to runs that changed nothing.
+    """
+    work = f"{output_dir.rstrip('/')}/{WORK}"
+    names = storage.names(work)
+    intents = [name for name in names if name.endswith(".json")]
+    for name in intents:
+        _carry_out(storage, f"{work}/{name}")
+    for name in names:
+        if not name.endswith(".json"):
+            storage.remove_folder(f"{work}/{name}")
+    return len(intents)
+
+
 def publish(survivors: DataFrame, output_dir: str, config: DedupConfig, run_id: str) -> list[Published]:
     """Write, then move in. Tables without survivors are left as they are."""
     storage = Storage(survivors.sparkSession, output_dir)
+    root = output_dir.rstrip("/")
     survivors = with_output_table(survivors, spellings(storage, output_dir))
-    singles: dict[tuple[str, str], list[str]] = {}
+    name = uuid.uuid4().hex
+    staging = f"{root}/{WORK}/{name}"
     if config.single_file:
-        small = small_outputs(survivors, output_dir, config)
-        singles = _parts(storage, _write_text(single_file_lines(survivors, small, output_dir, config)))
-        survivors = survivors.join(small, ["scope_table", "file_date"], "left_anti")
-    parts = _parts(storage, _write_text(in_merge_order(survivors)))
-
-    root, outcome = output_dir.rstrip("/"), []
-    for (table, date), new in sorted({**parts, **singles}.items()):
-        folder = f"{root}/{table}/{date}"
-        old = [f"{folder}/{name}" for name in storage.names(folder) if name.endswith(".json")]
-        if (table, date) in singles:
-            moves = [(new[0], f"{folder}/MERGED={table}-{date}.json")]
+        _write_text(single_file_lines(survivors, output_dir, config), staging)
+    else:
+        _write_text(in_merge_order(survivors), staging)
+
+    outputs = sorted(_parts(storage, staging).items())
+    folders = [f"{root}/{table}/{date}" for (table, date), _ in outputs]
+    moves, removals = [], []
+    for ((table, date), new), folder, names in zip(outputs, folders, storage.each(storage.names, folders), strict=True):
+        old = [f"{folder}/{n}" for n in names if n.endswith(".json")]
+        if config.single_file:
+            if len(new) != 1:
+                raise RuntimeError(f"{len(new)} files were written for the one file of {table} {date}")
+            targets = [f"{folder}/MERGED={table}-{date}.json"]
         else:
-            moves = [
-                (part, f"{folder}/{part_name(table, date, number, run_id)}")
-                for number, part in enumerate(new, start=len(old))
-            ]
-        storage.move_all(moves)
-        if config.publish_mode == "replace" or (table, date) in singles:
-            for path in set(old) - {target for _, target in moves}:
-                storage.remove_file(path)
-        files = tuple(n for n in storage.names(folder) if n.endswith(".json"))
-        outcome.append(Published(table, date, files))
-    return outcome
+            targets = [f"{folder}/{part_name(table, date, k, run_id)}" for k in range(len(old), len(old) + len(new))]
+        moves += zip(new, targets, strict=True)
+        if config.publish_mode == "replace" or config.single_file:
+            removals += sorted(set(old) - set(targets))
+    intent = f"{root}/{WORK}/{name}.json"
+    storage.write_text(f"{intent}.new", json.dumps({"staging": staging, "moves": moves, "removals": removals}))
+    # The intent is there whole or not at all.
+    storage.move(f"{intent}.new", intent)
+    _carry_out(storage, intent)
+    listed = storage.each(storage.names, folders)
+    return [
+        Published(table, date, tuple(n for n in names if n.endswith(".json")))
+        for ((table, date), _), names in zip(outputs, listed, strict=True)
+    ]
 
 
 def part_name(table: str, date: str, number: int, run_id: str) -> str:
@@ -193,20 +218,17 @@ def output_files(summary: DataFrame, output_dir: str) -> DataFrame:
     spark, root = summary.sparkSession, output_dir.rstrip("/")
     storage = Storage(spark, output_dir)
     published = spellings(storage, output_dir)
-    found = []
     # One row per table and date.
-    for row in summary.select("table_name", "file_date").collect():
-        scope, date = row.table_name.lower(), str(row.file_date)
-        table = published.get(scope, row.table_name)
-        names = [n for n in storage.names(f"{root}/{table}/{date}") if n.endswith(".json")]
-        found.append((scope, row.file_date, output_file(table, date, names)))
+    rows = summary.select("table_name", "file_date").collect()
+    tables = [published.get(row.table_name.lower(), row.table_name) for row in rows]
+    listed = storage.each(storage.names, [f"{root}/{t}/{row.file_date}" for t, row in zip(tables, rows, strict=True)])
+    found = [
+        (row.table_name.lower(), row.file_date, output_file(table, str(row.file_date), [n for n in names if n.endswith(".json")]))
+        for row, table, names in zip(rows, tables, listed, strict=True)
+    ]
     return spark.createDataFrame(found, "scope_table STRING, file_date DATE, output_file STRING")
 
 
-def _file_name(path: str) -> str:
-    return path.rsplit("/", 1)[-1]
-
-
 def write_manifest(manifest: DataFrame, output_dir: str, folder: str = "triggerFile", extension: str = ".trg") -> list[str]:
     """One ``<date>.trg`` per date with ``table,file,count`` lines.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -100,13 +101,41 @@ def baseline_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _early_weeks(spark: SparkSession, sf_dir: str) -> list[dt.date]:
+    """Dates of the change feed in the first half of a month: a handful per year."""
+    day = F.col("file_date")
+    rows = b.change_lines(spark, sf_dir).select(day).distinct().filter(F.dayofmonth(day) <= 15)
+    return sorted(row.file_date for row in rows.collect())
+
+
+def run_date_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw and published files of given dates, numbered in the order of a run."""
+    dates = _early_weeks(spark, sf_dir)
+    today = feeds.today_files(spark, b.change_feed(spark, sf_dir), TABLES, dates)
+    published = feeds.baseline_files(spark, b.change_published(spark, sf_dir), TABLES, dates)
+    place = F.row_number().over(Window.partitionBy("role", "file_date").orderBy(F.lower("table_name"), "sequence", "file_path"))
+    return today.unionByName(published).select(
+        "role", "file_date", place.alias("place"), b.short_path(F.col("file_path")).alias("file_path")
+    )
+
+
+def run_date_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of given dates, of both roles."""
+    dates = _early_weeks(spark, sf_dir)
+    today = feeds.today_lines(spark, b.change_feed(spark, sf_dir), TABLES, dates)
+    published = feeds.baseline_lines(spark, b.change_published(spark, sf_dir), TABLES, dates)
+    return today.unionByName(published).select(
+        "role", "table_name", "file_date", b.short_path(F.col("file_path")).alias("file_path"), "line_no", "raw_line"
+    )
+
+
 def allowed_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A list with repeats, cases, comments and blanks, one line per customer."""
     segment = F.col("c_mktsegment")
     value = (
-        F.when(F.col("c_nationkey") < 3, "   ")
-        .when(F.col("c_nationkey") < 8, F.concat(F.lit("# "), segment))
-        .when(F.col("c_acctbal") < 0, F.concat(F.lit("  "), F.lower(segment), F.lit(" ")))
+        F.when(F.col("c_nationkey") < 3, " \t ")
+        .when(F.col("c_nationkey") < 8, F.concat(F.lit("\t# "), segment))
+        .when(F.col("c_acctbal") < 0, F.concat(F.lit("\t "), F.lower(segment), F.lit(" \t")))
         .otherwise(F.concat_ws("_", segment, "c_nationkey"))
     )
     listed = b.table(spark, sf_dir, "customer").select(
@@ -182,6 +211,26 @@ def key_part_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def repeated_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields that repeat: numbers, fractions and objects; the last one counts."""
+    line = F.format_string(
+        '{"Data":{"n":0,"balance":1.25,"nation":{"key":-1},"n":%d,"balance":%d.5,"nation":{"key":%d}}}',
+        "c_custkey",
+        F.floor(F.abs("c_acctbal")).cast("bigint"),
+        "c_nationkey",
+    )
+    rows = b.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("custkey"), line.alias("raw_line"))
+    line = F.col("raw_line")
+    return rows.select(
+        "custkey",
+        lines.is_json(line).alias("is_json"),
+        lines.key_part(line, "Data.n").alias("n"),
+        lines.key_part(line, "Data.balance").alias("balance"),
+        lines.key_part(line, "Data.nation").alias("nation"),
+        lines.key_part(line, "Data.nation.key").alias("nation_key"),
+    )
+
+
 def effective_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     effective = lines.effective_table(F.col("raw_line"), F.col("table_name"))
     return b.customer_lines(spark, sf_dir).select("custkey", effective.alias("effective_table"))
@@ -231,13 +280,11 @@ def duration_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records of an event type per second of its time span on each day."""
-    span = (F.max("event_id") - F.min("event_id")).cast("bigint")
-    per_day = b.table(spark, sf_dir, "events").groupBy("event_type", F.to_date("ts").alias("day")).agg(
-        F.count("*").alias("read_count"), span.alias("span")
-    )
-    rate = names.throughput(F.col("read_count"), F.col("span"))
-    return per_day.select("event_type", "day", F.round(rate, 6).alias("per_second"))
+    """Records read per second, of every file of the feed."""
+    per_file = counts.file_summary(_event_counts(spark, sf_dir))
+    # A file of hour h arrives in h seconds.
+    rate = names.throughput(F.col("read_count"), F.col("sequence").cast("bigint"))
+    return per_file.select("file_path", F.round(rate, 6).alias("per_second"))
 
 
 # --- first occurrences -----------------------------------------------------
@@ -263,7 +310,7 @@ def key_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def within_batch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First occurrences when nothing is published yet."""
-    today = b.events(spark, sf_dir).filter(F.col("role") == "TODAY")
+    today = b.prepare(b.event_lines(spark, sf_dir).filter(F.col("role") == "TODAY"), b.EVENT_CONFIG)
     return first_seen.survivors(today, ["table_name", "raw_line"]).select(*PLACE, "raw_line")
 
 
@@ -337,8 +384,8 @@ def input_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reject_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Published files with more than one malformed line."""
-    return counts.reject_threshold(_event_counts(spark, sf_dir), 1)
+    """Published files with any malformed line."""
+    return counts.reject_threshold(_event_counts(spark, sf_dir), 0)
 
 
 # --- whole runs over written files -----------------------------------------
@@ -347,8 +394,8 @@ def reject_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _run(spark: SparkSession, sf_dir: str, **settings) -> str:
     """A daily run over the change feed; returns the output root."""
     published = b.change_published(spark, sf_dir)
-    run_daily(spark, b.change_feed(spark, sf_dir), published, replace(b.CHANGE_CONFIG, **settings))
-    return published
+    with run_daily(spark, b.change_feed(spark, sf_dir), published, replace(b.CHANGE_CONFIG, **settings)):
+        return published
 
 
 def merged_output(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -375,6 +422,14 @@ def publish_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _published_lines(spark, _run(spark, sf_dir, publish_mode="merge"))
 
 
+def publish_single_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file per table and date, old lines first; their place in it."""
+    root = _run(spark, sf_dir, publish_mode="merge", single_file=True)
+    placed = feeds.baseline_lines(spark, root, TABLES)
+    name = F.element_at(F.split("file_path", "/"), -1).alias("file_name")
+    return placed.select("table_name", "file_date", name, F.col("line_no").alias("merge_position"), "raw_line")
+
+
 def completion_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lines of the written manifests, with their place."""
     root = _run(spark, sf_dir, publish_mode="merge", single_file=True)
@@ -393,7 +448,7 @@ def summary_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     per_file = _event_counts(spark, sf_dir)
     left = counts.published_from_counts(per_file, "merge")
     summary = counts.with_output(counts.table_summary(per_file), left)
-    return reports.summary_lines(summary, "output", "0.000s").withColumn("line_no", F.col("line_no").cast("bigint"))
+    return reports.summary_lines(summary, "output").withColumn("line_no", F.col("line_no").cast("bigint"))
 
 
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -423,6 +478,8 @@ QUERIES: dict[str, Query] = {
         file_name_parse,
         today_files,
         baseline_scan,
+        run_date_files,
+        run_date_lines,
         allowed_tables,
         allowed_rows,
         generate_feed,
@@ -431,6 +488,7 @@ QUERIES: dict[str, Query] = {
         json_rejects,
         json_path_extract,
         key_part_text,
+        repeated_fields,
         effective_table,
         key_fields_by_table,
         dedup_key,
@@ -455,6 +513,7 @@ QUERIES: dict[str, Query] = {
         merged_output,
         publish_replace,
         publish_merge,
+        publish_single_merge,
         completion_manifest,
         detail_report,
         summary_report,

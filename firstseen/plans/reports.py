@@ -59,8 +59,11 @@ def write_details(details: DataFrame, folder: str) -> None:
     details.repartitionByRange(*order).sortWithinPartitions(*order).select("line").write.mode("overwrite").text(folder)
 
 
-def summary_block(run_duration: str) -> Column:
-    """The lines of one table in the summary report, as an array."""
+def summary_block() -> Column:
+    """The lines of one table in the summary report, as an array.
+
+    One Spark job does all tables, so a table has no duration of its own.
+    """
     number = lambda name: F.col(name).cast("string")
     path = F.concat_ws("/", "output_dir", "table_name", F.date_format("file_date", "yyyy-MM-dd"), "output_file")
     return F.array(
@@ -69,21 +72,20 @@ def summary_block(run_duration: str) -> Column:
         F.concat(F.lit("\tTotal Rejected: "), number("total_rejected")),
         F.concat(F.lit("\tTotal Duplicates: "), number("total_duplicates")),
         F.concat(F.lit("\tFiles: "), path),
-        F.lit(f"\tDuration: {run_duration}"),
     )
 
 
-def summary_lines(summary: DataFrame, output_dir: str, run_duration: str) -> DataFrame:
+def summary_lines(summary: DataFrame, output_dir: str) -> DataFrame:
     """table_name, file_date, line_no, line: the body of the summary report."""
     return summary.withColumn("output_dir", F.lit(output_dir)).select(
-        "table_name", "file_date", F.posexplode(summary_block(run_duration)).alias("line_no", "line")
+        "table_name", "file_date", F.posexplode(summary_block()).alias("line_no", "line")
     )
 
 
 def summary_report(summary: DataFrame, date: str, run_id: str, output_dir: str, run_duration: str) -> str:
     """The summary text of one date. A few lines per table; the driver holds them."""
     day = summary.filter(F.col("file_date") == F.lit(date).cast("date"))
-    body = summary_lines(day, output_dir, run_duration).orderBy(F.lower("table_name"), "line_no").collect()
+    body = summary_lines(day, output_dir).orderBy(F.lower("table_name"), "line_no").collect()
     total = day.agg(F.coalesce(F.sum("total_processed"), F.lit(0)).alias("n")).first().n
     lines = [f"Run ID: {run_id or DEFAULT_RUN_ID}", f"Run Date: {date}", "", "Data Processed Summary:"]
     lines += [row.line for row in body]

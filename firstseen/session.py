@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A repeated field is no error in JSON; its last value counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,8 +25,7 @@ from firstseen.functions.names import (
 from firstseen.sources.ndjson import read_lines, scan_numbered
 from firstseen.storage import Storage
 
-# How deep below the input root names Spark would hide are looked for.
-HIDDEN_DEPTH = 5
+DAY_GLOB = "[0-9]*-[0-9]*-[0-9]*"
 
 UNNUMBERED = [c for c in ENVELOPE if c != "line_no"] + ["split_start", "row_id"]
 
@@ -37,7 +36,7 @@ def allowed_tables(lines: DataFrame) -> DataFrame:
     Trimmed, lower-cased, without blank and ``#`` lines; a repeated name keeps
     its first position.
     """
-    name = F.lower(F.trim("value"))
+    name = F.lower(F.regexp_replace("value", r"^[\x00-\x20]+|[\x00-\x20]+$", ""))
     return (
         lines.select("line_no", name.alias("table_name"))
         .filter((F.col("table_name") != "") & ~F.col("table_name").startswith("#"))
@@ -74,22 +73,47 @@ def _name_glob(dates: Sequence[dt.date]) -> str:
     return "*-{" + ",".join(d.isoformat() for d in dates) + "}-*.json"
 
 
-def refuse_hidden(spark: SparkSession, input_dir: str, tables: Sequence[str], dates: Sequence[dt.date]) -> None:
-    """Fail if Spark would silently skip a file of this run.
+def _hidden(storage: Storage, tops: Sequence[str]) -> Iterator[str]:
+    """Files ending in ``.json`` below the given patterns that Spark's readers skip.
 
-    Its readers ignore names that start with ``_`` or ``.``, and a table may be
-    called ``_x``. Only then are names listed to find out.
+    They ignore every file and folder whose name starts with ``_`` or ``.``. Each
+    level of folders is one call on names alone, down to the last level there is.
     """
-    if not any(table.startswith("_") for table in tables):
-        return
-    storage = Storage(spark, input_dir)
+    for top in tops:
+        level = top.rstrip("/")
+        while True:
+            yield from storage.glob(f"{level}/[._]*.json")
+            below = f"{level}/[._]*"
+            while storage.any(f"{below}/*"):
+                yield from storage.glob(f"{below}/*.json")
+                below += "/*"
+            level += "/*"
+            if not storage.any(level):
+                break
+
+
+def refuse_hidden(spark: SparkSession, input_dir: str, tables: Sequence[str], dates: Sequence[dt.date]) -> None:
+    """Fail if Spark would silently skip a raw file of this run."""
     wanted = re.compile(FILE_NAME_PATTERN)
     chosen = {d.isoformat() for d in dates}
-    for depth in range(HIDDEN_DEPTH):
-        for path in storage.glob(input_dir.rstrip("/") + "/*" * depth + "/_*.json"):
-            match = wanted.match(path.rsplit("/", 1)[-1])
-            if match and match[1].lower() in tables and (not chosen or match[2] in chosen):
-                raise ValueError(f"Spark does not read files that start with an underscore: {path}")
+    for path in _hidden(Storage(spark, input_dir), [input_dir]):
+        match = wanted.match(path.rsplit("/", 1)[-1])
+        if match and match[1].lower() in tables and (not chosen or match[2] in chosen):
+            raise ValueError(f"Spark does not read below names that start with _ or a dot: {path}")
+
+
+def refuse_hidden_published(
+    spark: SparkSession, output_dir: str, tables: Sequence[str], dates: Sequence[dt.date]
+) -> None:
+    """Fail if Spark would silently skip a published file that a run must know."""
+    storage, root = Storage(spark, output_dir), output_dir.rstrip("/")
+    day = "{" + ",".join(d.isoformat() for d in dates) + "}" if dates else DAY_GLOB
+    for path in _hidden(storage, [f"{root}/*/{day}"] if storage.any(f"{root}/*/{day}") else []):
+        if path.split(storage.qualified_path(output_dir).rstrip("/") + "/", 1)[-1].split("/")[0].lower() in tables:
+            raise ValueError(f"Spark does not read below names that start with _ or a dot: {path}")
+    for path in storage.glob(f"{root}/[._]*/{day}"):
+        if path.split("/")[-2].lower() in tables:
+            raise ValueError(f"Spark does not read below names that start with _ or a dot: {path}")
 
 
 def _today(lines: DataFrame) -> DataFrame:
@@ -152,7 +176,7 @@ def _published_paths(spark: SparkSession, output_dir: str, dates: Sequence[dt.da
         return []
     if not storage.is_directory(output_dir):
         raise NotADirectoryError(f"not a directory: {output_dir}")
-    day = "{" + ",".join(d.isoformat() for d in dates) + "}" if dates else "[0-9]*-[0-9]*-[0-9]*"
+    day = "{" + ",".join(d.isoformat() for d in dates) + "}" if dates else DAY_GLOB
     pattern = f"{root}/*/{day}"
     return [pattern] if storage.glob(pattern) else []
 
@@ -177,6 +201,7 @@ def baseline_lines(
     paths = _published_paths(spark, output_dir, dates)
     if not paths:
         return _empty(spark, numbered)
+    refuse_hidden_published(spark, output_dir, tables, dates)
     root = Storage(spark, output_dir).qualified_path(output_dir)
     table, date = _layout(root, F.col("_metadata.file_path"))
     keep = date.isNotNull() & _selected(table, date, tables, dates)

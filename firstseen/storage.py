@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JError
 from pyspark.sql import SparkSession
 
 # Renames in flight. Each is one metadata call.
@@ -21,6 +23,7 @@ class Storage:
 
     def __init__(self, spark: SparkSession, root: str):
         self._jvm = spark.sparkContext._jvm
+        self._gateway = spark.sparkContext._gateway
         self._path = self._jvm.org.apache.hadoop.fs.Path
         conf = spark.sparkContext._jsc.hadoopConfiguration()
         self._fs = self._path(root).getFileSystem(conf)
@@ -40,6 +43,11 @@ class Storage:
         found = self._fs.globStatus(self._path(pattern))
         return [] if found is None else [status.getPath().toString() for status in found]
 
+    def any(self, pattern: str) -> bool:
+        """Whether anything matches; the matches stay in the JVM."""
+        found = self._fs.globStatus(self._path(pattern))
+        return found is not None and len(found) > 0
+
     def names(self, directory: str) -> list[str]:
         """Names inside a directory, sorted; empty if there is none."""
         if not self.exists(directory):
@@ -60,21 +68,59 @@ class Storage:
             stream.close()
 
     def move(self, source: str, target: str) -> None:
-        """Rename, creating the parent and replacing a file of that name."""
+        """Rename, creating the parent. A file of that name is an error."""
         target_path = self._path(target)
         self._fs.mkdirs(target_path.getParent())
         if self._fs.exists(target_path):
-            self._fs.delete(target_path, False)
+            raise FileExistsError(target)
         if not self._fs.rename(self._path(source), target_path):
             raise OSError(f"could not move {source} to {target}")
 
-    def move_all(self, moves: list[tuple[str, str]]) -> None:
+    def replace(self, source: str, target: str) -> None:
+        """Rename over a file of that name, in one step where the file system can.
+
+        Where it cannot, the old file goes first; callers keep a record of what is
+        to be done, and the source stays until it has the new name.
+        """
+        target_path = self._path(target)
+        self._fs.mkdirs(target_path.getParent())
+        if not self._fs.exists(target_path):
+            self.move(source, target)
+            return
+        hadoop = self._jvm.org.apache.hadoop.fs
+        try:
+            context = hadoop.FileContext.getFileContext(self._fs.getUri(), self._fs.getConf())
+            options = self._gateway.new_array(hadoop.Options.Rename, 1)
+            options[0] = getattr(hadoop, "Options$Rename").OVERWRITE
+            context.rename(self._fs.makeQualified(self._path(source)), self._fs.makeQualified(target_path), options)
+        except Py4JError as error:
+            if "UnsupportedFileSystemException" not in str(error):
+                raise
+            self._fs.delete(target_path, False)
+            self.move(source, target)
+
+    def each(self, task: Callable, items: Iterable) -> list:
+        """Run metadata calls side by side; the results in order."""
         with ThreadPoolExecutor(RENAME_THREADS) as pool:
-            list(pool.map(lambda pair: self.move(*pair), moves))
+            return list(pool.map(task, items))
+
+    def move_all(self, moves: list[tuple[str, str]]) -> None:
+        self.each(lambda pair: self.move(*pair), moves)
+
+    def read_text(self, path: str) -> str:
+        """A small file whole."""
+        stream = self._fs.open(self._path(path))
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
 
     def remove_file(self, path: str) -> None:
         self._fs.delete(self._path(path), False)
 
+    def remove_folder(self, path: str) -> None:
+        self._fs.delete(self._path(path), True)
+
 
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A new path below the folder every executor can reach.

@@ -8,17 +8,22 @@ later; within a batch the order is the usual (sequence, path, line).
 State folder::
 
     checkpoint/              Spark's own progress
-    survivors/batch=<n>/     records kept by batch n (their keys are the index)
+    survivors/batch=<n>/     records kept by batch n
+    keys/batch=<n>/          their keys and places, foldered by date: the index
+    keys/through=<n>/        the index of all batches up to n, now and then
     duplicates/batch=<n>/    what it dropped, and why
     rejects/batch=<n>/       malformed lines
     work/                    staged lines, a new folder for every attempt
 
 A batch that died is replayed by Spark with the same number and the same files,
-and overwrites its own folders only: nothing is lost or kept twice.
+and overwrites its own folders only: nothing is lost or kept twice. Every
+``COMPACT_BATCHES`` batches the index is written together; a batch reads the last
+of these that lies before it and the few batches since.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,23 +32,39 @@ from pyspark.sql.streaming import StreamingQuery
 
 from firstseen.columns import GROUP, POSITION
 from firstseen.config import DedupConfig
-from firstseen.operators.first_seen import SURVIVOR, classify, duplicates
-from firstseen.operators.prepare import RECORD, REJECT, prepare, records
-from firstseen.plans.daily import stage_lines, staged
+from firstseen.operators.first_seen import SURVIVOR, classify, duplicates, survivors
+from firstseen.operators.prepare import RECORD, REJECT, records
+from firstseen.operators import counts
+from firstseen.plans.daily import PLACE, check_rejects, numbered_keys, stage_lines, staged
 from firstseen.sources.feeds import (
     UNNUMBERED,
     _keep_today,
     _name_glob,
     _today,
     baseline_lines,
+    refuse_hidden,
     resolve_tables,
 )
+from firstseen.sources.ndjson import number_lines
 from firstseen.storage import Storage
 
 # Keys of a batch are broadcast up to this size, by the rough size of a row.
 KEY_BROADCAST_BYTES = 128 << 20
 KEY_ROW_BYTES = 128
 
+# After each so many batches the index is written together.
+COMPACT_BATCHES = 8
+
+# Files are never too old: one that arrives late with an old time is read too.
+# Spark then remembers the names of all files it has read.
+MAX_FILE_AGE = "36500d"
+
+KEY_COLUMNS = [*GROUP, *POSITION, "table_name"]
+KEY_SCHEMA = (
+    "dedup_key BINARY, scope_table STRING, role_rank INT, sequence INT, file_path STRING, line_no BIGINT, "
+    "table_name STRING, file_date DATE"
+)
+
 # The number under which the published baseline enters the index.
 BASELINE_BATCH = -1
 
@@ -78,6 +99,7 @@ class IncrementalDedup:
         reader = (
             self.spark.readStream.option("recursiveFileLookup", "true")
             .option("pathGlobFilter", _name_glob(self.config.run_dates))
+            .option("maxFileAge", MAX_FILE_AGE)
         )
         if max_files:
             reader = reader.option("maxFilesPerTrigger", max_files)
@@ -91,6 +113,7 @@ class IncrementalDedup:
 
     def start(self, max_files: int | None = None) -> StreamingQuery:
         """Process everything that is there, then stop; call again for more."""
+        refuse_hidden(self.spark, self.input_dir, self.tables, self.config.run_dates)
         self._load_baseline()
         return (
             self.read(max_files)
@@ -105,19 +128,30 @@ class IncrementalDedup:
         work = f"{self.state}/work/{number}-{uuid.uuid4().hex[:8]}"
         # Row ids are taken here: a streaming frame cannot have them.
         lines = _today(batch.withColumn("row_id", F.monotonically_increasing_id()))
-        prepared = stage_lines(lines.select(*UNNUMBERED), self.config, work)
-        both = prepared.unionByName(self._index(number, prepared), allowMissingColumns=True)
+        written, offsets = stage_lines(lines.select(*UNNUMBERED), self.config, work)
+        prepared = numbered_keys(written, offsets)
+        index = self._index(number, prepared)
+        both = prepared.unionByName(index, allowMissingColumns=True)
         today = classify(both, self.config).filter(F.col("role_rank") == 1)
         classified = staged(today, f"{work}/classified", "status")
-        survivors = classified.filter(F.col("status") == SURVIVOR).select(*SURVIVOR_COLUMNS)
-        self._append("survivors", survivors, number)
+        # Nothing of a batch that breaks the limits is kept; it is replayed as it is.
+        check_rejects(counts.file_counts_of(classified), self.config)
+        # Keys of earlier batches win by their role, wherever they stand.
+        earlier = index.withColumns({"split_start": F.lit(0).cast("bigint"), "row_id": F.col("line_no")})
+        kept = survivors(written.unionByName(earlier.drop("line_no"), allowMissingColumns=True), place=PLACE)
+        kept = number_lines(staged(kept, f"{work}/survivors"), offsets).withColumn("role_rank", F.lit(1))
+        self._append("survivors", kept.select(*SURVIVOR_COLUMNS), number)
+        new_keys = classified.filter(F.col("status") == SURVIVOR).select(*KEY_COLUMNS)
+        self._write_keys(new_keys, f"batch={number}")
         self._append("duplicates", duplicates(classified), number)
-        rejects = classified.filter(F.col("status") == REJECT)
+        rejects = number_lines(written.filter(F.col("line_kind") == REJECT), offsets)
         self._append("rejects", rejects.select("table_name", "file_date", "file_path", "line_no", "raw_line", "reason"), number)
+        if number % COMPACT_BATCHES == COMPACT_BATCHES - 1:
+            self._compact(number)
 
     def survivors(self) -> DataFrame:
-        """Everything kept so far, the baseline left out."""
-        return self._survivor_table().filter(F.col("batch") > BASELINE_BATCH)
+        """Everything kept so far."""
+        return self._survivor_table()
 
     def duplicates(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.state}/duplicates")
@@ -137,18 +171,14 @@ class IncrementalDedup:
     def _index(self, number: int, prepared: DataFrame) -> DataFrame:
         """Keys and places kept before this batch, as published rows.
 
-        Columns are pruned to the key and position; dates are pruned by the
-        statistics of the files, as each batch covers few dates. For a small
+        The index has keys and positions only, and folders of other dates are not
+        opened, as each batch covers few dates. For a small
         batch its keys are broadcast, so the index is filtered where it is read
         and hardly any of it is shuffled. A large batch meets the whole index in
         the shuffle by key.
         """
         dates = [row.file_date for row in prepared.select("file_date").distinct().collect()]
-        index = (
-            self._survivor_table()
-            .filter((F.col("batch") < number) & F.col("file_date").isin(*dates))
-            .select(*GROUP, *POSITION, "table_name")
-        )
+        index = self._keys_before(number).filter(F.col("file_date").isin(*dates))
         keys = records(prepared).select(*GROUP)
         if keys.count() * KEY_ROW_BYTES <= KEY_BROADCAST_BYTES:
             index = index.join(F.broadcast(keys), GROUP, "left_semi")
@@ -158,11 +188,51 @@ class IncrementalDedup:
             .withColumn("line_kind", F.lit(RECORD))
         )
 
+    def _write_keys(self, keys: DataFrame, name: str) -> None:
+        keys.write.mode("overwrite").partitionBy("file_date").parquet(f"{self.state}/keys/{name}")
+
+    def index_folders(self, number: int) -> list[str]:
+        """Folders with the keys kept before a batch: one compacted, then batches."""
+        storage, folder = Storage(self.spark, self.state), f"{self.state}/keys"
+        found = [re.fullmatch(r"(batch|through)=(-?\d+)", name) for name in storage.names(folder)]
+        named = [(m[1], int(m[2])) for m in found if m and int(m[2]) < number]
+        whole = [n for kind, n in named if kind == "through" and storage.exists(f"{folder}/through={n}/_SUCCESS")]
+        last = max(whole, default=None)
+        batches = sorted(n for kind, n in named if kind == "batch" and (last is None or n > last))
+        return [f"{folder}/through={last}"] * (last is not None) + [f"{folder}/batch={n}" for n in batches]
+
+    def _keys_before(self, number: int) -> DataFrame:
+        keys = self.spark.createDataFrame([], KEY_SCHEMA).select(*KEY_COLUMNS)
+        for folder in self.index_folders(number):
+            keys = keys.unionAll(self.spark.read.schema(KEY_SCHEMA).parquet(folder).select(*KEY_COLUMNS))
+        return keys
+
+    def _compact(self, number: int) -> None:
+        """Write the index up to a batch together; drop what two of these ago held.
+
+        The one before stays, for a replay of this batch.
+        """
+        before = self.index_folders(number)
+        self._write_keys(self._keys_before(number + 1).hint("rebalance", "file_date"), f"through={number}")
+        storage, folder = Storage(self.spark, self.state), f"{self.state}/keys"
+        if before and "through=" in before[0]:
+            last = int(before[0].rsplit("=", 1)[1])
+            for name in storage.names(folder):
+                kind, _, old = name.partition("=")
+                if (kind == "batch" and int(old) <= last) or (kind == "through" and int(old) < last):
+                    storage.remove_folder(f"{folder}/{name}")
+
     def _load_baseline(self) -> None:
         """Bring the published keys into the index, once."""
-        folder = f"{self.state}/survivors/batch={BASELINE_BATCH}"
-        if self.output_dir is None or Storage(self.spark, folder).exists(f"{folder}/_SUCCESS"):
+        storage, folder = Storage(self.spark, self.state), f"{self.state}/keys"
+        if self.output_dir is None or any(
+            storage.exists(f"{folder}/{name}/_SUCCESS")
+            for name in storage.names(folder)
+            if name == f"batch={BASELINE_BATCH}" or name.startswith("through=")
+        ):
             return
-        lines = baseline_lines(self.spark, self.output_dir, self.tables, self.config.run_dates)
-        rows = records(prepare(lines, self.config)).withColumn("raw_line", F.lit(None).cast("string"))
-        rows.select(*SURVIVOR_COLUMNS).write.mode("overwrite").parquet(folder)
+        work = f"{self.state}/work/baseline-{uuid.uuid4().hex[:8]}"
+        lines = baseline_lines(self.spark, self.output_dir, self.tables, self.config.run_dates, numbered=False)
+        prepared = numbered_keys(*stage_lines(lines, self.config, work))
+        check_rejects(counts.file_counts(prepared), self.config)
+        self._write_keys(records(prepared).select(*KEY_COLUMNS), f"batch={BASELINE_BATCH}")

@@ -1,10 +1,13 @@
+import shutil
 from dataclasses import replace
 
 import pytest
 
 from firstseen.config import DedupConfig
 from firstseen.plans import daily
-from firstseen.plans.daily import TooManyRejects, run_daily
+from firstseen.plans.daily import TooManyRejects, WrongCount, run_daily
+from firstseen.plans.publish import finish_open, part_number, publish
+from firstseen.storage import Storage
 from tests import brute
 from tests.conftest import DAY
 
@@ -88,14 +91,30 @@ def test_publish_modes(spark, write, mode, single):
     assert result.summary.count() == 2
 
 
-def test_large_outputs_stay_in_parts(spark, write):
-    config = replace(CONFIG, single_file=True, single_file_max_bytes=40)
-    feed(write, "account", 1, *[f"a{n}" for n in range(50)])
-    feed(write, "award", 1, "w1")
+def test_single_file_whatever_its_size(spark, write):
+    config = replace(CONFIG, single_file=True)
+    keys = [f"a{n}" for n in range(500)]
+    feed(write, "account", 1, *keys[:250])
     run(spark, write, config)
-    assert [p.name for p in (write.root / f"out/award/{DAY}").glob("*.json")] == [f"MERGED=award-{DAY}.json"]
-    assert not (write.root / f"out/account/{DAY}/MERGED=account-{DAY}.json").exists()
-    assert keys_of(write.root / f"out/account/{DAY}") == [f"a{n}" for n in range(50)]
+    feed(write, "account", 2, *keys[250:])
+    result = run(spark, write, config)
+    assert [p.name for p in (write.root / f"out/account/{DAY}").glob("*.json")] == [f"MERGED=account-{DAY}.json"]
+    assert keys_of(write.root / f"out/account/{DAY}") == keys
+    assert result.summary.first().output_count == 500
+
+
+@pytest.mark.parametrize("single", [False, True])
+def test_a_limit_on_records_per_file_loses_nothing(spark, write, single):
+    """Clusters set it; every part has to be published."""
+    write(f"out/account/{DAY}/old.json", lines("old"))
+    feed(write, "account", 1, *[f"a{n}" for n in range(10)])
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "4")
+    try:
+        result = run(spark, write, replace(CONFIG, single_file=single))
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert sorted(keys_of(write.root / f"out/account/{DAY}")) == sorted(["old", *[f"a{n}" for n in range(10)]])
+    assert result.summary.first().output_count == 11
 
 
 def test_second_run_keeps_nothing(spark, write):
@@ -110,29 +129,129 @@ def test_second_run_keeps_nothing(spark, write):
     assert {r.dup_kind for r in second.duplicates.collect()} == {"baseline"}
 
 
-def test_half_published_run_is_completed(spark, write, monkeypatch):
-    """A run that dies while moving files in: the next one adds what is missing."""
-    feed(write, "account", 1, "a1", "a2")
+class Lost(RuntimeError):
+    pass
+
+
+def survivors_frame(spark, *keys):
+    rows = [("account", "account", DAY, 1, "f", 0, n, f'{{"k":"{k}"}}') for n, k in enumerate(keys)]
+    rows.append(("award", "award", DAY, 1, "g", 0, 0, '{"k":"w1"}'))
+    return spark.createDataFrame(
+        rows,
+        "scope_table STRING, table_name STRING, file_date DATE, sequence INT, file_path STRING, "
+        "split_start BIGINT, row_id BIGINT, raw_line STRING",
+    )
+
+
+@pytest.mark.parametrize("single", [False, True])
+@pytest.mark.parametrize("mode", ["merge", "replace"])
+def test_dying_at_any_step_of_publishing(spark, write, monkeypatch, mode, single):
+    """Whatever call is the last, what is published is as before or becomes whole."""
+    config = replace(CONFIG, publish_mode=mode, single_file=single)
+    write(f"start/account/{DAY}/MERGED=account-{DAY}.json", lines("o1", "o2"))
+    write(f"start/account/{DAY}/older.json", lines("o3"))
+    old, new = ["o1", "o2", "o3"], ["n1", "n2"]
+    after = sorted([*(old if mode == "merge" else []), *new])
+    steps = ["write_text", "move", "replace", "remove_file", "remove_folder"]
+    originals = {name: getattr(Storage, name) for name in steps}
+    outcomes, last = [], 0
+    while True:
+        last += 1
+        target, done = write.root / f"out{last}", []
+        shutil.copytree(write.root / "start", target)
+
+        def step(name):
+            def call(self, *args):
+                done.append(name)
+                if len(done) == last:
+                    raise Lost(name)
+                return originals[name](self, *args)
+
+            return call
+
+        for name in steps:
+            monkeypatch.setattr(Storage, name, step(name))
+        try:
+            publish(survivors_frame(spark, *new), str(target), config, "run")
+        except Lost:
+            pass
+        finally:
+            monkeypatch.undo()
+        between = sorted(keys_of(target / f"account/{DAY}"))
+        assert set(between) >= set(old) or set(between) >= set(after), (last, done)
+        opened = finish_open(Storage(spark, str(target)), str(target))
+        found = sorted(keys_of(target / f"account/{DAY}"))
+        assert found == (after if opened or found != sorted(old) else sorted(old)), (last, done)
+        assert (found == after) == (target / f"award/{DAY}").exists()
+        assert not list((target / "_firstseen").iterdir())
+        outcomes.append(found == after)
+        if len(done) < last:
+            break
+    assert outcomes[-1] and not outcomes[0] and len(outcomes) >= 5
+
+
+def test_a_run_completes_the_one_that_died(spark, write, monkeypatch):
+    write(f"out/account/{DAY}/old.json", lines("o1"))
+    feed(write, "account", 1, "n1", "n2")
     feed(write, "award", 1, "w1")
-    moved = []
 
-    def failing(self, moves):
-        if moved:
-            raise OSError("lost")
-        moved.append(moves)
-        for pair in moves:
-            self.move(*pair)
+    def lost(self, *args):
+        raise Lost
 
-    monkeypatch.setattr("firstseen.storage.Storage.move_all", failing)
-    with pytest.raises(OSError):
-        run(spark, write)
+    monkeypatch.setattr(Storage, "remove_file", lost)
+    with pytest.raises(Lost):
+        run(spark, write, replace(CONFIG, publish_mode="replace"))
     monkeypatch.undo()
-    result = run(spark, write)
-    assert result.survivors.count() == 1
-    assert keys_of(write.root / f"out/account/{DAY}") == ["a1", "a2"]
+    result = run(spark, write, replace(CONFIG, publish_mode="replace"))
+    assert result.survivors.count() == 0
+    assert keys_of(write.root / f"out/account/{DAY}") == ["n1", "n2"]
     assert keys_of(write.root / f"out/award/{DAY}") == ["w1"]
 
 
+def test_a_wrong_count_is_found(spark, write, monkeypatch):
+    feed(write, "account", 1, "a1", "a2")
+    monkeypatch.setattr("firstseen.plans.publish._carry_out", lambda *args: None)
+    with pytest.raises(WrongCount, match="account"):
+        run(spark, write)
+
+
+def test_part_order_beyond_five_digits():
+    names = [f"x/part-{n:05d}-c000.txt" for n in (100001, 99999, 7, 100000)]
+    assert [part_number(n)[0] for n in sorted(names, key=part_number)] == [7, 99999, 100000, 100001]
+
+
+def test_staging_is_removed(spark, write):
+    feed(write, "account", 1, "a1", "a1")
+    with run(spark, write) as result:
+        assert Storage(spark, result.staging).exists(result.staging)
+        assert result.duplicates.count() == 1
+    assert not Storage(spark, result.staging).exists(result.staging)
+
+
+def test_no_join_carries_the_text(spark, write):
+    """Text is shuffled by key with the survivors and by output order, nowhere else."""
+    feed(write, "account", 1, *[f"a{n}" for n in range(20)], "a1")
+    plans = []
+    original = daily.staged
+
+    def seen(frame, path, *partition_by):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        plans.append((path.rsplit("/", 1)[-1], "\n".join(line for line in plan if "Relation [" not in line)))
+        return original(frame, path, *partition_by)
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(daily, "staged", seen)
+            run(spark, write)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    joined = [(name, plan) for name, plan in plans if "Join" in plan]
+    assert joined and all("raw_line" not in plan for _, plan in joined)
+    grouped = [name for name, plan in plans if "Aggregate" in plan and "raw_line" in plan]
+    assert grouped == ["survivors"]
+
+
 def test_names_that_differ_in_case(spark, write):
     """One scope, one output. The key holds the table a record names, exact case."""
 

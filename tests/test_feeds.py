@@ -1,3 +1,5 @@
+import datetime as dt
+
 import random
 
 import pytest
@@ -90,12 +92,40 @@ def test_missing_input(spark, write):
         feeds.today_files(spark, str(write.root / "none"), ["account"], [DAY])
 
 
-def test_hidden_files_are_refused(spark, write):
-    write("in/d/_x-2026-03-11-1.json", "{}\n")
+@pytest.mark.parametrize(
+    "path", ["in/_t-2026-03-11-1.json", "in/a/b/c/d/e/f/_t-2026-03-11-1.json", "in/_batch/t-2026-03-11-1.json", "in/x/.y/z/t-2026-03-11-1.json"]
+)
+def test_hidden_files_are_refused(spark, write, path):
+    """Spark skips every name that starts with _ or a dot; a run must not."""
+    write("in/t-2026-03-11-2.json", "{}\n")
+    write(path, "{}\n")
     root = str(write.root / "in")
-    with pytest.raises(ValueError, match="underscore"):
-        feeds.today_files(spark, root, ["_x"], [DAY])
-    assert names_of(feeds.today_files(spark, root, ["x"], [DAY])) == []
+    with pytest.raises(ValueError, match="does not read"):
+        feeds.today_files(spark, root, ["_t", "t"], [DAY])
+    with pytest.raises(ValueError, match="does not read"):
+        feeds.today_lines(spark, root, ["_t", "t"])
+    # Files of other tables and dates are none of this run's.
+    assert feeds.today_files(spark, root, ["other"], [DAY]).count() == 0
+    assert feeds.today_files(spark, root, ["_t", "t"], [dt.date(2026, 3, 12)]).count() == 0
+
+
+def test_files_deep_down_are_read(spark, write):
+    write("in/1/2/3/4/5/6/7/8/t-2026-03-11-1.json", "{}\n")
+    assert feeds.today_lines(spark, str(write.root / "in"), ["t"], [DAY]).count() == 1
+
+
+@pytest.mark.parametrize("path", ["out/account/2026-03-11/_old.json", "out/account/2026-03-11/_x/old.json", "out/_t/2026-03-11/old.json"])
+def test_hidden_published_files_are_refused(spark, write, path):
+    write("out/account/2026-03-11/seen.json", "{}\n")
+    write("out/account/2026-03-11/.seen.json.crc", "")
+    write("out/_firstseen/1/output_table=account/file_date=2026-03-11/part-0.txt", "{}\n")
+    root = str(write.root / "out")
+    assert feeds.baseline_lines(spark, root, ["account", "_t"], [DAY]).count() == 1
+    write(path, "{}\n")
+    for dates in ([DAY], []):
+        with pytest.raises(ValueError, match="does not read"):
+            feeds.baseline_lines(spark, root, ["account", "_t"], dates)
+    assert feeds.baseline_lines(spark, root, ["account", "_t"], [dt.date(2026, 3, 12)]).count() == 0
 
 
 def test_baseline(spark, write):
@@ -134,7 +164,9 @@ def test_allowed_tables(spark, write):
     path = write("tables.txt", "account\n# comment\n award \ncore_PlasticHistory\naccount\n\n")
     assert feeds.resolve_tables(spark, ["other"], str(path)) == ["account", "award", "core_plastichistory"]
     assert feeds.resolve_tables(spark, [" account ", "Award", "", "award"], None) == ["account", "award"]
-    assert normalise_tables(["", "# x", " account "], comments=True) == ["account"]
+    tabs = write("tabs.txt", "\taccount\r\n\t# note\n\x0b award\t\n")
+    assert feeds.resolve_tables(spark, [], str(tabs)) == ["account", "award"]
+    assert normalise_tables(["", "\taccount \x01"]) == ["account"]
     with pytest.raises(ValueError):
         feeds.resolve_tables(spark, [" "], None)
     with pytest.raises(ValueError):

@@ -27,7 +27,17 @@ MALFORMED = [
     "\u00a0",
     "\ufeff{}",
     '{"a":"x\ty"}',
-    '{"a":1,"a":2}',
+]
+# A repeated field is valid JSON; its last value counts, wherever it stands.
+REPEATED = [
+    ('{"a":{"b":1,"b":2}}', "2"),
+    ('{"a":{"b":"x"},"a":{"b":"y"}}', "y"),
+    ('{"a":{"b":1.5,"b":2.5}}', "2.5"),
+    ('{"a":{"b":{"z":1},"b":{"z":2}}}', '{"z":2}'),
+    ('{"a":{"b":{"z":1,"z":2}}}', '{"z":2}'),
+    ('{"a":{"b":[1],"b":[2,3]}}', "[2,3]"),
+    ('{"a":{"b":{"c":1},"b":7}}', "7"),
+    ('{"a":{"b":7,"b":null}}', "<null>"),
 ]
 
 
@@ -81,6 +91,10 @@ def test_key_parts(spark):
         return F.coalesce(text, F.lit("<null>"))
 
     assert column(spark, values, from_variant) == expected
+    values = [line for line, _ in REPEATED]
+    assert column(spark, values, lines.is_json) == [True] * len(values)
+    assert column(spark, values, from_variant) == [part for _, part in REPEATED]
+    assert column(spark, values, lambda c: lines.key_part(c, "a.b")) == [part for _, part in REPEATED]
 
 
 def test_paths():

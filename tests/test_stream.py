@@ -1,6 +1,11 @@
+import os
+import time
+from dataclasses import replace
+
 import pytest
 
 from firstseen.config import DedupConfig
+from firstseen.plans.daily import TooManyRejects
 from firstseen.streaming.incremental import IncrementalDedup
 from tests.conftest import DAY
 from tests.test_daily import CONFIG, feed, lines
@@ -88,3 +93,52 @@ def test_other_tables_and_dates_are_left_out(spark, write):
         spark, str(write.root / "in"), str(write.root / "state2"), DedupConfig(key_fields=("k",), tables=["account"])
     )
     assert len(kept(finish(every, max_files=1))) == 2
+
+
+def test_limits_hold_in_a_stream(spark, write):
+    write(f"in/{DAY}/account/account-{DAY}-1.json", lines("a1") + "bad\n")
+    with pytest.raises(Exception, match="malformed"):
+        finish(job(spark, write, replace(CONFIG, skip_malformed=False)))
+    stream = finish(job(spark, write))
+    assert len(kept(stream)) == 1 and stream.rejects().count() == 1
+
+
+def test_published_rejects_stop_a_stream(spark, write):
+    write(f"out/account/{DAY}/old.json", "bad\nbad\n")
+    feed(write, "account", 1, "a1")
+    with pytest.raises(TooManyRejects):
+        job(spark, write, replace(CONFIG, prior_reject_limit=1), output_dir=str(write.root / "out")).start()
+
+
+def test_an_old_file_that_arrives_late_is_read(spark, write):
+    feed(write, "account", 1, "a1")
+    stream = finish(job(spark, write))
+    feed(write, "account", 2, "a2")
+    old = time.time() - 30 * 86400
+    os.utime(write.root / f"in/{DAY}/account/account-{DAY}-2.json", (old, old))
+    assert len(kept(finish(stream))) == 2
+
+
+def test_a_hidden_file_stops_a_stream(spark, write):
+    feed(write, "account", 1, "a1")
+    feed(write, "_batch/account", 2, "a2")
+    (write.root / f"in/{DAY}/_batch/account").rename(write.root / f"in/{DAY}/_batch/x")
+    write(f"in/_batch/account-{DAY}-3.json", lines("a3"))
+    with pytest.raises(ValueError, match="does not read"):
+        job(spark, write).start()
+
+
+def test_the_index_stays_small(spark, write, monkeypatch):
+    """Over many batches, a batch reads one compacted index and a few folders."""
+    monkeypatch.setattr("firstseen.streaming.incremental.COMPACT_BATCHES", 3)
+    stream = job(spark, write)
+    for number in range(9):
+        feed(write, "account", number + 1, "same", f"a{number}")
+        finish(stream)
+        folders = stream.index_folders(number + 1)
+        assert len(folders) <= 3 + 1
+    assert [r.raw_line for r in stream.survivors().orderBy("batch", "line_no").collect()] == [
+        line("same"), *[line(f"a{n}") for n in range(9)]
+    ]
+    names = sorted(p.name for p in (write.root / "state/keys").iterdir() if "=" in p.name)
+    assert "through=8" in names and "through=2" not in names and "batch=0" not in names
