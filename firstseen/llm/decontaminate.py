@@ -34,8 +34,9 @@ K1, B = 1.2, 0.75
 THRESHOLD = 0.6
 SHINGLE_WORDS = 5
 OVERLAP = 0.8
-# Least share of the question's and of the answer's shingles.
-PART_OVERLAP = 0.5
+# Least share of the question's and of the answer's shingles: a few changed words
+# may fall into a short answer, but some of it has to be there.
+PART_OVERLAP = 0.25
 STRIDE = 64
 BLOCKS = 100
 # Items of one index, and bytes of items sent to the workers at once; a larger

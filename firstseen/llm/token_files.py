@@ -210,7 +210,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     return (
         segments.select("part", "start_in_part", "content")
         .mapInArrow(_read, DOCUMENT_SCHEMA)
-        .join(F.broadcast(offsets), "part")
+        .join(offsets, "part")
         .select("doc_id", (F.col("before") + F.col("start_in_part")).alias("start"), "n_tokens", "ids_crc32")
     )
 

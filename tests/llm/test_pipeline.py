@@ -1,0 +1,145 @@
+"""The pipeline stage by stage, and the registered queries, on the given tables."""
+
+from __future__ import annotations
+
+import os
+import zlib
+
+import duckdb
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+import __spark_entry__ as entry_points
+import corpus_pipeline
+from firstseen.llm import decontaminate, pii, quality
+from firstseen.llm.frames import staged, table
+from firstseen.llm.queries import ORACLES, QUERIES
+from firstseen.llm.tokens import default_vocabulary
+from tests.llm.test_decontaminate import brute as contaminated
+from tests.llm.test_simhash import closure, one
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables here")
+
+
+def rows(frame):
+    return {r.doc_id: r for r in frame.collect()}
+
+
+def test_stages(spark):
+    """Each stage on all its predecessor kept, against its brute-force version."""
+    docs = table(spark, SF_DIR, "documents")
+    before = rows(docs)
+    names = [name for name, _ in corpus_pipeline.STAGES]
+    assert names == ["quality", "near duplicates", "decontamination", "personal data", "packing"]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = staged(stage(spark, docs, SF_DIR), "test")
+        assert docs.columns == COLUMNS
+        after = rows(docs)
+        assert len(after) == docs.count()
+        if name == "quality":
+            scores = quality.classify(table(spark, SF_DIR, "documents"), table(spark, SF_DIR, "labels")).collect()
+            assert set(after) == {r.doc_id for r in scores if r.score >= 0.3}
+        elif name == "near duplicates":
+            ids = sorted(before)
+            prints = np.array([one(before[i].text or "") for i in ids], np.uint64)
+            labels = closure(np.bitwise_count(prints[:, None] ^ prints[None, :]) <= 4, ids)
+            assert set(after) == set(labels.tolist())
+        elif name == "decontamination":
+            tests = [(r.item_id, r.text) for r in table(spark, SF_DIR, "benchmark").collect()]
+            held = {d for d, _ in contaminated(tests, [(i, r.text) for i, r in before.items()])}
+            assert held and set(after) == set(before) - held
+        else:
+            assert set(after) == set(before)
+            for i, row in before.items():
+                # No base span is left; texts without digits and at signs are as they were.
+                assert not pii.base_spans(after[i].text)
+                if not pii._ANCHOR.search(row.text):
+                    assert after[i] == row
+                assert after[i].n_chars == len(after[i].text)
+        before = after
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR).toPandas()
+    tokenizer = Tokenizer.from_file(default_vocabulary())
+    for i, own in packed.groupby("doc_id"):
+        ids = np.array([*tokenizer.encode(before[i].text, add_special_tokens=False).ids, 1], "<u4").tobytes()
+        at = 0
+        for r in own.sort_values("start").itertuples():
+            assert (r.start, r.ids_crc32) == (at, zlib.crc32(ids[4 * at : 4 * (at + r.length)]))
+            at += r.length
+        assert at == len(ids) // 4 == own["doc_tokens"].iloc[0]
+    assert set(packed["doc_id"]) == set(before)
+    for _, sequence in packed.sort_values("offset").groupby("sequence_id"):
+        ends = (sequence["offset"] + sequence["length"]).tolist()
+        assert sequence["offset"].tolist() == [0, *ends[:-1]] and ends[-1] <= 2048
+
+
+def test_clean_and_planted(spark):
+    """Decisions take effect: an exact copy and a leaked item go, their likes stay."""
+    docs = table(spark, SF_DIR, "documents")
+    first = docs.filter("length(text) > 500").orderBy("doc_id").first()
+    item = table(spark, SF_DIR, "benchmark").first()
+    planted = spark.createDataFrame(
+        [(10**9, first.text, "en", "x", 1), (10**9 + 1, first.text[:300] + " " + item.text + " " + first.text[300:500], "en", "x", 1)], docs.schema
+    )
+    once = corpus_pipeline.drop_near_duplicates(spark, docs.unionByName(planted), SF_DIR)
+    kept = rows(once)
+    assert 10**9 not in kept and 10**9 + 1 in kept
+    clean = rows(corpus_pipeline.drop_contaminated(spark, once, SF_DIR))
+    assert 10**9 + 1 not in clean
+    assert {decontaminate.words(r.text)[0] for r in clean.values() if r.text.strip()}
+
+
+@pytest.mark.parametrize("name", [n for n in QUERIES if n in ORACLES])
+def test_query_against_sql(spark, name):
+    duck = duckdb.connect()
+    for t in ("documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
+        duck.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_DIR}/{t}.parquet'")
+    frame = entry_points.queries()[name](spark, SF_DIR)
+    cursor = duck.execute(entry_points.oracle_sql()[name])
+    named = [d[0] for d in cursor.description]
+    expected = sorted(map(repr, cursor.fetchall()))
+    assert sorted(repr(tuple(r[c] for c in named)) for r in frame.collect()) == expected
+
+
+COLUMNS_OF = {
+    "op1_quality": "doc_id held_out score predicted",
+    "op2_html_text": "page_id url text n_chars",
+    "op3_pii": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
+    "op4_packing": "doc_id start length ids_crc32 doc_tokens sequence_id offset",
+    "op5_token_planes": "doc_id start n_tokens ids_crc32",
+    "op6_vectors": "vec_id n_links component_id kept",
+    "op7_repeats": "doc_id n_bytes n_removed n_spans kept_sha256",
+    "op8_decontaminate": "doc_id item_id",
+    "op9_chat_format": "conv_id n_turns turns_sha256 loss_chars loss_sha256 formatted_chars",
+    "op10_simhash": "doc_id fingerprint component_id",
+}
+
+
+def test_every_operator_is_registered():
+    assert set(COLUMNS_OF) == set(QUERIES) and "pipeline" in entry_points.queries()
+
+
+@pytest.mark.parametrize("name", ["op7_repeats", "op10_simhash", "op6_vectors"])
+def test_query_against_brute_force(spark, name):
+    from tests.llm.test_repeats import brute as repeated
+    from tests.llm.test_vectors import unit
+
+    found = entry_points.queries()[name](spark, SF_DIR)
+    assert set(COLUMNS_OF[name].split()) <= set(found.columns)
+    docs = [(r.doc_id, r.text) for r in table(spark, SF_DIR, "documents").collect()]
+    if name == "op7_repeats":
+        assert sorted(map(tuple, found.collect()), key=str) == repeated(docs)
+    elif name == "op10_simhash":
+        ids = [d for d, _ in docs]
+        prints = np.array([one(t) for _, t in docs], np.uint64)
+        labels = closure(np.bitwise_count(prints[:, None] ^ prints[None, :]) <= 4, ids)
+        assert {tuple(r) for r in found.collect()} == {(d, f"{int(p):016x}", int(c)) for d, p, c in zip(ids, prints, labels, strict=True)}
+    else:
+        vectors = table(spark, SF_DIR, "embeddings").toPandas().sort_values("vec_id")
+        units = unit(np.stack(vectors["embedding"].to_numpy()).astype(float))
+        link = units @ units.T >= 0.95
+        np.fill_diagonal(link, False)
+        assert found.toPandas().sort_values("vec_id")["n_links"].tolist() == link.sum(axis=1).tolist()

@@ -1,0 +1,91 @@
+"""Statistics, calibration, and accuracy on documents never learnt from."""
+
+from __future__ import annotations
+
+import os
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from firstseen.llm import quality
+from firstseen.llm.frames import small_batches, table
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001").replace("sf0.001", "sf0.01")
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 9), st.floats(0, 1)), max_size=25))
+def test_isotonic_is_the_closest_nondecreasing(pairs):
+    weights, means = np.array([w for w, _ in pairs], float), np.array([m for _, m in pairs], float)
+    found = quality.isotonic(weights, means)
+    assert (np.diff(found) >= -1e-12).all() and len(found) == len(pairs)
+    # The least of upper averages is the largest of lower ones.
+    for k in range(len(pairs)):
+        lower = [min(np.average(means[a : b + 1], weights=weights[a : b + 1]) for b in range(k, len(pairs))) for a in range(k + 1)]
+        assert found[k] == pytest.approx(max(lower))
+
+
+def test_normal_equations_are_those_of_all_rows(spark):
+    small_batches(spark)
+    random = np.random.default_rng(5)
+    stats = random.normal(size=(300, len(quality.STATISTICS)))
+    labels = random.integers(0, 2, 300).astype(float)
+    rows = [([float(x) for x in s], float(y)) for s, y in zip(stats, labels, strict=True)]
+    frame = spark.createDataFrame(rows, "stats array<double>, label double").repartition(7)
+    size = 16
+    model = quality.Model(
+        np.zeros(stats.shape[1]), np.ones(stats.shape[1]), random.normal(size=(stats.shape[1], size)),
+        random.uniform(size=size), np.zeros(size + 1), np.array([0.0, 1.0]), np.array([0.5, 0.5]),
+    )
+    gram, target, n = quality._normal_equations(frame, model)
+    z = model.features(stats)
+    assert np.allclose(gram, z.T @ z) and np.allclose(target, z.T @ labels) and n == 300
+
+
+def test_cosines_approximate_a_gaussian_kernel():
+    random = np.random.default_rng(6)
+    size = 20_000
+    model = quality.Model(
+        np.zeros(4), np.ones(4), random.normal(size=(4, size)) / 2.0, random.uniform(0, 2 * np.pi, size),
+        np.zeros(size + 1), np.zeros(2), np.zeros(2),
+    )
+    x = random.normal(size=(6, 4))
+    z = model.features(x)[:, :-1]
+    exact = np.exp(-((x[:, None] - x[None]) ** 2).sum(axis=2) / (2 * 2.0**2))
+    assert np.abs(z @ z.T - exact).max() < 0.05
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables here")
+def test_documents_never_learnt_from(spark):
+    small_batches(spark)
+    documents, labels = table(spark, SF_DIR, "documents"), table(spark, SF_DIR, "labels")
+    found = quality.classify(documents, labels).toPandas()
+    assert len(found) == documents.count() and found["score"].between(0, 1).all()
+    assert (found["held_out"] == [zlib.crc32(str(d).encode()) % 5 == 0 for d in found["doc_id"]]).all()
+    assert (found["predicted"] == (found["score"] >= 0.3)).all()
+    judged = found[found["held_out"]].merge(labels.toPandas(), on="doc_id")
+    right = judged["predicted"] == judged["quality"]
+    assert len(judged) > 40 and right[judged["quality"] == 1].mean() > 0.97 and right[judged["quality"] == 0].mean() > 0.9
+    # Other labels of held-out documents change nothing.
+    flipped = labels.selectExpr("doc_id", f"CASE WHEN crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 5 = 0 THEN 1 - quality ELSE quality END AS quality")
+    again = quality.classify(documents, flipped).toPandas()
+    assert np.allclose(found.sort_values("doc_id")["score"], again.sort_values("doc_id")["score"])
+    kept = {r.doc_id for r in quality.keep_good(documents, labels).collect()}
+    assert kept == set(found[found["predicted"] == 1]["doc_id"])
+
+
+def test_odd_rows(spark):
+    small_batches(spark)
+    schema = "doc_id bigint, text string, score string, stats string"
+    rows = [(1, None, "a", None), (2, "", "b", None), (None, "x", "c", None), (3, "word " * 40_000, "d", None), (3, "!!", "e", None)]
+    documents = spark.createDataFrame(rows, schema)
+    labels = spark.createDataFrame([(1, None), (None, 1), (2, 1), (2, 1)], "doc_id bigint, quality int")
+    for given_labels in (labels, labels.limit(0)):
+        found = quality.classify(documents, given_labels).collect()
+        assert len(found) == 5 and all(0 <= r.score <= 1 for r in found)
+        assert quality.keep_good(documents, given_labels).columns == documents.columns
+    assert quality.classify(documents.limit(0), labels).count() == 0
+    assert quality.keep_good(documents.limit(0), labels.limit(0)).count() == 0
