@@ -354,6 +354,9 @@ FROM kept"""),
     "publish_merge": _changes("""
 SELECT table_name, file_date, raw_line FROM kept
 UNION ALL SELECT table_name, file_date, raw_line FROM c WHERE role = 'PRIOR'"""),
+    "mixed_case_run": _changes(f"""
+SELECT table_name AS scope_table, file_date, raw_line FROM kept WHERE table_name IN {MESSY}
+UNION ALL SELECT table_name, file_date, raw_line FROM c WHERE role = 'PRIOR' AND table_name IN {MESSY}"""),
     "completion_manifest": _changes("""
 SELECT day || '.trg' AS file_name, row_number() OVER (PARTITION BY day ORDER BY table_name) AS line_no,
        table_name || ',MERGED=' || table_name || '-' || day || '.json,' || count(*) AS line

@@ -17,7 +17,7 @@ from firstseen.plans import bindings as b
 from firstseen.plans import reports
 from firstseen.plans.daily import run_daily
 from firstseen.sources import feeds
-from firstseen.sources.generate import generate_records
+from firstseen.sources.generate import feed_path, generate_records, write_feed
 from firstseen.sources.ndjson import scan_numbered
 from firstseen.storage import shared_folder
 from firstseen.streaming.incremental import IncrementalDedup
@@ -430,6 +430,18 @@ def publish_single_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("table_name", "file_date", name, F.col("line_no").alias("merge_position"), "raw_line")
 
 
+def mixed_case_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run whose files spell the tables of odd sequences in capitals."""
+    root = f"{shared_folder(spark, 'mixed')}/feed"
+    odd = F.col("sequence") % 2 == 1
+    spelled = b.change_lines(spark, sf_dir).withColumn("table_name", F.when(odd, F.upper("table_name")).otherwise(F.col("table_name")))
+    write_feed(spelled.filter("role = 'TODAY'"), root, feed_path)
+    published = b.change_published(spark, sf_dir)
+    with run_daily(spark, root, published, replace(b.CHANGE_CONFIG, tables=MESSY_TABLES)):
+        lines_of = feeds.baseline_lines(spark, published, normalise_tables(MESSY_TABLES), numbered=False)
+        return lines_of.select(F.lower("table_name").alias("scope_table"), "file_date", "raw_line")
+
+
 def completion_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lines of the written manifests, with their place."""
     root = _run(spark, sf_dir, publish_mode="merge", single_file=True)
@@ -514,6 +526,7 @@ QUERIES: dict[str, Query] = {
         publish_replace,
         publish_merge,
         publish_single_merge,
+        mixed_case_run,
         completion_manifest,
         detail_report,
         summary_report,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from firstseen.functions.names import DEFAULT_RUN_ID
 
+# The wording and layout of the report lines below.
 RULE = "-" * 72
 
 

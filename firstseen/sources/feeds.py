@@ -22,7 +22,7 @@ from firstseen.functions.names import (
     sequence_of,
     table_of,
 )
-from firstseen.sources.ndjson import read_lines, scan_numbered
+from firstseen.sources.ndjson import read_lines, scan_numbered, selected_files
 from firstseen.storage import Storage
 
 DAY_GLOB = "[0-9]*-[0-9]*-[0-9]*"
@@ -206,7 +206,7 @@ def baseline_lines(
     table, date = _layout(root, F.col("_metadata.file_path"))
     keep = date.isNotNull() & _selected(table, date, tables, dates)
     if numbered:
-        lines = scan_numbered(spark, paths, "*.json", keep, sized_by=[output_dir])
+        lines = scan_numbered(spark, paths, "*.json", keep)
     else:
         lines = read_lines(spark, paths, "*.json", keep)
     table, date = _layout(root, F.col("file_path"))
@@ -222,17 +222,10 @@ def baseline_lines(
 
 def _files(spark: SparkSession, paths: Sequence[str], name_glob: str, keep: Column) -> DataFrame:
     """File names and sizes from the listing; no content is read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", name_glob)
-        .load(list(paths))
-        .filter(keep)
-        .select(
-            F.col("_metadata.file_path").alias("file_path"),
-            F.col("_metadata.file_name").alias("file_name"),
-            F.col("length").alias("file_bytes"),
-        )
+    return selected_files(spark, paths, name_glob, keep).select(
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_name").alias("file_name"),
+        F.col("length").alias("file_bytes"),
     )
 
 

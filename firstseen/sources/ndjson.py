@@ -7,12 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from firstseen.storage import Storage
-
-# A broadcast of split offsets may take this much by estimate; beyond it the
-# lines are joined by a shuffle on (file, split), which no split can skew.
+# A broadcast of split offsets may take this much; beyond it the lines are joined
+# by a shuffle on (file, split), which no split can skew. A row holds a path, and
+# the longest path a file system takes is counted.
 OFFSET_BROADCAST_BYTES = 256 << 20
-OFFSET_ROW_BYTES = 300
+OFFSET_ROW_BYTES = 4096 + 256
 
 
 def read_lines(
@@ -87,15 +86,27 @@ def byte_count(spark: SparkSession, text: str) -> int:
     return int(utils.byteStringAsBytes(text))
 
 
-def split_bound(spark: SparkSession, paths: Sequence[str]) -> int:
-    """No more splits than this: every file adds at most one short split."""
-    files = size = 0
-    for path in paths:
-        more_files, more_bytes = Storage(spark, path).size(path)
-        files, size = files + more_files, size + more_bytes
+def selected_files(
+    spark: SparkSession, paths: Sequence[str], name_glob: str, keep_file: Column | None = None
+) -> DataFrame:
+    """The files a scan would read, with ``length`` and ``_metadata``; no content is read."""
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", name_glob)
+        .load(list(paths))
+    )
+    return files if keep_file is None else files.filter(keep_file)
+
+
+def split_bound(
+    spark: SparkSession, paths: Sequence[str], name_glob: str = "*.json", keep_file: Column | None = None
+) -> int:
+    """No more splits than this of the files to be read: each adds at most one short one."""
+    row = selected_files(spark, paths, name_glob, keep_file).agg(F.count("*").alias("n"), F.sum("length").alias("size")).first()
     largest = byte_count(spark, spark.conf.get("spark.sql.files.maxPartitionBytes", "128MB"))
     opening = byte_count(spark, spark.conf.get("spark.sql.files.openCostInBytes", "4MB"))
-    return files + size // max(1, min(largest, opening))
+    return row.n + (row.size or 0) // max(1, min(largest, opening))
 
 
 def scan_numbered(
@@ -103,15 +114,11 @@ def scan_numbered(
     paths: str | Sequence[str],
     name_glob: str = "*.json",
     keep_file: Column | None = None,
-    sized_by: Sequence[str] = (),
 ) -> DataFrame:
-    """``read_lines`` with ``line_no``, at the price of a second, counting read.
-
-    ``sized_by`` names folders that hold everything read, where ``paths`` are globs.
-    """
+    """``read_lines`` with ``line_no``, at the price of a second, counting read."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     lines = read_lines(spark, paths, name_glob, keep_file)
     offsets = split_offsets(lines)
-    if split_bound(spark, sized_by or paths) * OFFSET_ROW_BYTES <= OFFSET_BROADCAST_BYTES:
+    if split_bound(spark, paths, name_glob, keep_file) * OFFSET_ROW_BYTES <= OFFSET_BROADCAST_BYTES:
         offsets = F.broadcast(offsets)
     return number_lines(lines, offsets)

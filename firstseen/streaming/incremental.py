@@ -48,9 +48,10 @@ from firstseen.sources.feeds import (
 from firstseen.sources.ndjson import number_lines
 from firstseen.storage import Storage
 
-# Keys of a batch are broadcast up to this size, by the rough size of a row.
+# Keys of a batch are broadcast up to this size. A row is a hash, a date and a
+# table name, which the file system bounds to 255 bytes.
 KEY_BROADCAST_BYTES = 128 << 20
-KEY_ROW_BYTES = 128
+KEY_ROW_BYTES = 512
 
 # After each so many batches the index is written together.
 COMPACT_BATCHES = 8
