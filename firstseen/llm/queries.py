@@ -44,7 +44,8 @@ def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
-    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("score")
 
 
 # Fixed value: what both turns of conversation -7 say.
@@ -80,6 +81,52 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op6_vectors": """
+        WITH RECURSIVE usable AS (
+            SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+            WHERE len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+                AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ), linked AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+            ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.95
+        ), reached AS (
+            SELECT vec_id AS node, vec_id AS other FROM embeddings
+            UNION SELECT node, b FROM reached JOIN linked ON other = a
+        ), counted AS (SELECT a, count(*) AS n FROM linked GROUP BY a)
+        SELECT node AS vec_id, any_value(coalesce(n, 0)) AS n_links, min(other) AS component_id, node = min(other) AS kept
+        FROM reached LEFT JOIN counted ON node = a GROUP BY node
+    """,
+    "op8_decontaminate": r"""
+        WITH items AS (
+            SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w,
+                len(regexp_extract_all(lower(split_part(regexp_replace(text, '^\s+', ''), chr(10), 1)), '[\p{L}\p{N}_]+')) AS line
+            FROM benchmark
+        ), cut AS (
+            SELECT item_id, w, CASE WHEN line > 0 AND line < len(w) THEN line ELSE (len(w) + 1) // 2 END AS cut
+            FROM items WHERE len(w) > 0
+        ), placed AS (
+            SELECT item_id, w, cut, unnest(range(0, greatest(len(w) - 4, 1))) AS i FROM cut
+        ), wanted AS (
+            SELECT item_id, array_to_string(w[i + 1:i + 5], ' ') AS shingle,
+                bool_or(i < cut) AS question, bool_or(i >= cut - 4) AS answer
+            FROM placed GROUP BY ALL
+        ), words AS (
+            SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM documents
+        ), starts AS (
+            SELECT doc_id, w, unnest(range(0, greatest(len(w) - 4, 1))) AS i FROM words WHERE len(w) > 0
+        ), held AS (
+            SELECT DISTINCT doc_id, array_to_string(w[i + 1:i + 5], ' ') AS shingle FROM starts
+        ), sizes AS (
+            SELECT item_id, count(*) AS n, count(*) FILTER (question) AS nq, count(*) FILTER (answer) AS na
+            FROM wanted GROUP BY item_id
+        ), hits AS (
+            SELECT doc_id, item_id, count(*) AS k, count(*) FILTER (question) AS kq, count(*) FILTER (answer) AS ka
+            FROM held JOIN wanted USING (shingle) GROUP BY ALL
+        )
+        SELECT doc_id, item_id, k::DOUBLE / n AS overlap, kq::DOUBLE / nq AS question_overlap, ka::DOUBLE / na AS answer_overlap
+        FROM hits JOIN sizes USING (item_id)
+        WHERE k >= 0.8 * n AND kq >= 0.25 * nq AND ka >= 0.25 * na
+    """,
     "op9_chat_format": r"""
         WITH rows AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
