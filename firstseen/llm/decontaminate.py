@@ -1,20 +1,20 @@
 """Benchmark decontamination: BM25 over test items with block-max WAND.
 
-Test items are the indexed side; every passage of every text is a query. Scores
-are shares of an item's score against itself, so one threshold serves short and
-long items. Each posting list keeps its largest impact, and the largest per block
-of items. Passages whose summed block maxima stay below the threshold in every
-block are passed over many at a time; the others run the pointer algorithm. What
-it retrieves is verified by five-word shingles, of the item and of its question
-(up to its first line break, else its first half) and its answer (the rest).
-
-Passages are two strides long and a stride holds the longest item, so any copy
-of an item lies whole in one of them.
+Test items are the indexed side; the distinct words of every whole text are a
+query, so parts of an item are found together wherever they stand. Scores are
+shares of an item's score against itself, so one threshold serves short and long
+items. Items lie in blocks; each posting list keeps its largest impact per block.
+Blocks whose summed maxima stay below the threshold are passed over for many
+texts at a time; in the others the pointer algorithm runs. What it retrieves is
+verified by the five-word shingles of the whole text, of the item and of its
+question (up to its first line break, else its first half) and its answer (the
+rest).
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -29,22 +29,21 @@ from pyspark.sql.types import StructType
 from firstseen.llm.frames import texts
 
 K1, B = 1.2, 0.75
-# Share of an item's score against itself a passage must reach to be verified. A
-# passage with 0.8 of an item's shingles lacks a fifth of its words at most.
+# Share of an item's score against itself a text must reach to be verified. A
+# text with 0.8 of an item's shingles lacks a fifth of its words at most.
 THRESHOLD = 0.6
 SHINGLE_WORDS = 5
 OVERLAP = 0.8
 # Least share of the question's and of the answer's shingles: a few changed words
 # may fall into a short answer, but some of it has to be there.
 PART_OVERLAP = 0.25
-STRIDE = 64
 BLOCKS = 100
 # Items of one index, and bytes of items sent to the workers at once; a larger
 # benchmark takes more passes over the texts.
 INDEX_ITEMS = 2048
 PASS_BYTES = 32 << 20
-# Passages whose bounds are computed together.
-PASSAGES_TOGETHER = 1000
+# Terms of texts whose bounds are computed together; a text with more goes alone.
+TERMS_TOGETHER = 50_000
 
 _words = re.compile(r"\w+").findall
 
@@ -55,9 +54,13 @@ def words(text: str) -> list[str]:
 
 def shingles(sequence: list[str]) -> set[str]:
     """Five-word shingles; of fewer words the whole; of none nothing."""
-    if not sequence:
-        return set()
-    return {" ".join(sequence[k : k + SHINGLE_WORDS]) for k in range(max(1, len(sequence) - SHINGLE_WORDS + 1))}
+    return set(_shingles(sequence))
+
+
+def _shingles(sequence: list[str]) -> Iterator[str]:
+    if sequence:
+        for k in range(max(1, len(sequence) - SHINGLE_WORDS + 1)):
+            yield " ".join(sequence[k : k + SHINGLE_WORDS])
 
 
 @dataclass(frozen=True)
@@ -83,7 +86,7 @@ class Item:
 
 
 class Index:
-    """Inverted lists of test items, with maxima per list and per block."""
+    """Inverted lists of test items, with maxima per list and block."""
 
     def __init__(self, items: list[tuple[int | None, str]]):
         tokens = [(item_id, text, words(text)) for item_id, text in items]
@@ -91,7 +94,6 @@ class Index:
         # Items alike in their most frequent word share blocks, which keeps maxima low.
         tokens.sort(key=lambda t: (Counter(t[2]).most_common(1)[0][0], len(t[2]), t[1], str(t[0])))
         self.items = [Item.of(item_id, text) for item_id, text, _ in tokens]
-        self.longest = max((len(t[2]) for t in tokens), default=0)
         n = len(tokens)
         average = sum(len(t[2]) for t in tokens) / max(n, 1)
         frequency = Counter(w for _, _, sequence in tokens for w in set(sequence))
@@ -112,43 +114,46 @@ class Index:
                 block = number // self.size
                 self.block_max[term, block] = max(self.block_max[term, block], impact / whole)
         self.postings = lists
-        self.list_max = [max(impact for _, impact in postings) for postings in lists]
 
-    def search(self, terms: list[int], threshold: float) -> list[tuple[int, float]]:
-        """Items that score the threshold or more, by block-max WAND."""
-        end = len(self.items)
-        # Cursors: current item, place in the list, term.
-        cursors = [[self.postings[t][0][0], 0, t] for t in terms]
+    def search(self, terms: list[int], threshold: float, blocks: list[int] | None = None) -> list[tuple[int, float]]:
+        """Items of the blocks, all by default, that score the threshold or more."""
+        found = []
+        for block in range(self.block_max.shape[1]) if blocks is None else blocks:
+            found += self._search(terms, threshold, block)
+        return found
+
+    def _search(self, terms: list[int], threshold: float, block: int) -> list[tuple[int, float]]:
+        """WAND inside a block, by the lists' maxima there."""
+        first, end = block * self.size, min((block + 1) * self.size, len(self.items))
+        maxima = self.block_max[terms, block]
+        # Cursors: current item, place in the list, term, maximum.
+        cursors = []
+        for k in np.flatnonzero(maxima).tolist():
+            at = bisect_left(self.postings[terms[k]], (first,))
+            cursors.append([self.postings[terms[k]][at][0], at, terms[k], float(maxima[k]) * (1 + 1e-6)])
         found = []
 
-        def forward(cursor: list[int], item: int) -> None:
+        def forward(cursor: list, item: int) -> None:
             postings, at = self.postings[cursor[2]], cursor[1]
             while at < len(postings) and postings[at][0] < item:
                 at += 1
             cursor[1] = at
-            cursor[0] = postings[at][0] if at < len(postings) else end
+            cursor[0] = min(postings[at][0], end) if at < len(postings) else end
 
         while True:
             cursors.sort()
             bound, pivot = 0.0, end
-            for item, _, term in cursors:
+            for item, _, _, most in cursors:
                 if item == end:
                     break
-                bound += self.list_max[term]
+                bound += most
                 if bound >= threshold:
                     pivot = item
                     break
             if pivot == end:
                 return found
             ahead = [c for c in cursors if c[0] <= pivot]
-            block = pivot // self.size
-            if sum(float(self.block_max[c[2], block]) for c in ahead) < threshold * (1 - 1e-6):
-                # No item up to the block's end, or to the next list's, can reach it.
-                beyond = min((c[0] for c in cursors if c[0] > pivot), default=end)
-                target = max(pivot + 1, min((block + 1) * self.size, beyond))
-                for cursor in ahead:
-                    forward(cursor, target)
-            elif ahead[0][0] == pivot:
+            if ahead[0][0] == pivot:
                 score = sum(self.postings[c[2]][c[1]][1] for c in ahead)
                 if score >= threshold:
                     found.append((pivot, score))
@@ -160,25 +165,34 @@ class Index:
                         forward(cursor, pivot)
 
 
-def _passages(index: Index, sequences: list[list[str]], stride: int):
-    """Distinct terms of all passages, in order, and each one's text and place.
-
-    Passage k of a text is its strides k and k + 1; a last stride is not one of
-    its own.
-    """
+def _terms(index: Index, sequences: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct terms of all texts, in order of texts, and where each text's begin."""
     get, size = index.terms.get, len(index.terms)
-    found, document, place = [], [], []
+    found = []
     for k, sequence in enumerate(sequences):
         ids = np.fromiter(map(get, sequence, [-1] * len(sequence)), np.int64, len(sequence))
-        at = np.flatnonzero(ids >= 0)
-        count = max(1, -(-len(sequence) // stride) - 1)
-        number = at // stride
-        both = np.concatenate([np.minimum(number, count - 1), np.maximum(number - 1, 0)])
-        found.append(np.unique(both * size + np.tile(ids[at], 2)) + len(document) * size)
-        document += [k] * count
-        place += range(count)
+        found.append(np.unique(ids[ids >= 0]) + k * size)
     pairs = np.concatenate(found)
-    return pairs // size, pairs % size, document, place
+    return pairs % size, np.searchsorted(pairs, np.arange(len(sequences) + 1) * size)
+
+
+def _retrieved(index: Index, sequences: list[list[str]], threshold: float) -> Iterator[tuple[int, list[tuple[int, float]]]]:
+    """(place of a text, its items that score the threshold or more)."""
+    terms, starts = _terms(index, sequences)
+    first = 0
+    while first < len(sequences):
+        stop = max(first + 1, int(np.searchsorted(starts, starts[first] + TERMS_TOGETHER, "right")) - 1)
+        low, high = starts[first], starts[stop]
+        held = np.flatnonzero(starts[first + 1 : stop + 1] > starts[first:stop])
+        if len(held):
+            bound = np.add.reduceat(index.block_max[terms[low:high]], starts[first:stop][held] - low, axis=0)
+            reached = bound >= threshold * (1 - 1e-5)
+            for k in np.flatnonzero(reached.any(axis=1)).tolist():
+                row = first + int(held[k])
+                hits = index.search(terms[starts[row] : starts[row + 1]].tolist(), threshold, np.flatnonzero(reached[k]).tolist())
+                if hits:
+                    yield row, hits
+        first = stop
 
 
 def matches(indexes: list[Index], texts: list[str], threshold: float = THRESHOLD) -> list[dict]:
@@ -188,28 +202,13 @@ def matches(indexes: list[Index], texts: list[str], threshold: float = THRESHOLD
     for which, index in enumerate(indexes):
         if not index.items or not texts:
             continue
-        stride = max(STRIDE, index.longest)
-        owner, terms, document, place = _passages(index, sequences, stride)
-        starts = np.searchsorted(owner, np.arange(len(document) + 1))
-        for first in range(0, len(document), PASSAGES_TOGETHER):
-            stop = min(len(document), first + PASSAGES_TOGETHER)
-            low, high = starts[first], starts[stop]
-            held = np.flatnonzero(starts[first + 1 : stop + 1] > starts[first:stop])
-            if not len(held):
-                continue
-            bound = np.add.reduceat(index.block_max[terms[low:high]], starts[first:stop][held] - low, axis=0)
-            for k in (held[(bound >= threshold * (1 - 1e-5)).any(axis=1)] + first).tolist():
-                hits = index.search(terms[starts[k] : starts[k + 1]].tolist(), threshold)
-                if not hits:
-                    continue
-                row, begin = document[k], place[k] * stride
-                passage = shingles(sequences[row][begin : begin + 2 * stride])
-                for number, score in hits:
-                    whole, question, answer = index.items[number].overlaps(passage)
-                    if whole >= OVERLAP and min(question, answer) >= PART_OVERLAP:
-                        before = out[row].get((which, number))
-                        if before is None or (whole, score) > (before[1], before[0]):
-                            out[row][(which, number)] = (score, whole, question, answer)
+        for row, hits in _retrieved(index, sequences, threshold):
+            wanted = set().union(*(index.items[number].whole for number, _ in hits))
+            have = wanted.intersection(_shingles(sequences[row]))
+            for number, score in hits:
+                whole, question, answer = index.items[number].overlaps(have)
+                if whole >= OVERLAP and min(question, answer) >= PART_OVERLAP:
+                    out[row][(which, number)] = (score, whole, question, answer)
     return out
 
 

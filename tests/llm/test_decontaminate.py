@@ -90,6 +90,19 @@ def test_several_passes_and_indexes(spark, monkeypatch):
     assert {r.doc_id for r in d.keep_clean(docs, bench).collect()} == expected
 
 
+def test_question_and_answer_far_apart(spark):
+    """A worksheet: questions first, the key to them at the end."""
+    question, other, answer = ([f"{c}{k}" for k in range(n)] for c, n in (("q", 30), ("o", 200), ("a", 20)))
+    tests = [(1, f"{' '.join(question)}\n{' '.join(answer)}")]
+    scattered = " . ".join(" ".join(part + other) for part in (question[:15], question[10:], answer[:12], answer[8:]))
+    docs = [(1, " ".join(question + other + answer)), (2, scattered), (3, " ".join(question + other)), (4, " ".join(other + answer))]
+    assert brute(tests, docs) == {(1, 1), (2, 1)}
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    bench = spark.createDataFrame(tests, "item_id bigint, text string")
+    assert {(r.doc_id, r.item_id) for r in d.contaminated(frame, bench).collect()} == {(1, 1), (2, 1)}
+    assert {r.doc_id for r in d.keep_clean(frame, bench).collect()} == {3, 4}
+
+
 def test_odd_rows_and_empty_tables(spark):
     docs = [(1, None), (2, ""), (None, "a b c d e f g h"), (3, "!!"), (4, "one two"), (4, "one two"), (5, "z " * 60_000 + "a b c d e f g h")]
     tests = [(1, "a b c d e f g h"), (None, "a b c d e f g h"), (3, None), (4, ""), (5, "one two"), (6, "...")]
