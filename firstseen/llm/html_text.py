@@ -1,8 +1,10 @@
 """Main text of web pages by composite text density.
 
-A page is read into a tree of block elements. Elements that by name, role or
-class are menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-styles or comments are cut first. Each node then has a density: its characters
+A page is read into a tree of block elements. Elements that by name or role are
+menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles or
+comments are cut first. A class or id that says so only marks an element, since
+layouts (``no-sidebar``) and topics (``related-work``) use the same words: what the
+element holds of the page decides. Each node then has a density: its characters
 per tag, lowered where links hold much of the text, against the page's own share
 of link text. Nodes are looked at from the body down, along paths whose nodes
 are all at least as dense as the body; the one with the largest sum of its
@@ -13,6 +15,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from html import unescape
 from math import e, log
 
@@ -35,14 +38,27 @@ CUT_OUTSIDE_ARTICLE = frozenset(["header"])
 KEEP = frozenset("html body main article".split())
 CUT_ROLES = frozenset("navigation banner complementary contentinfo search dialog alert menu menubar form".split())
 CLOSED_BY_SAME = {"li": "ul ol menu", "dt": "dl", "dd": "dl", "tr": "table", "td": "table", "th": "table", "option": "select"}
-# Words of a class or id, between its dashes, underscores and spaces.
+# Words of a class or id, between its dashes and underscores.
 CUT_WORDS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|banners?|sponsor(?:ed|s)?|promos?|promotion|nav|navbar|"
+    r"ads?|adverts?|advertisements?|advertising|banners?|sponsor(?:ed|s)?|promos?|promotion|nav|navbar|"
     r"navigation|menus?|topbar|sidebars?|footer|header|masthead|cookies?|consent|gdpr|notices?|popups?|modal|overlay|"
     r"newsletters?|subscribe|subscription|signup|login|share|sharing|social|comments?|disqus|replies|respond|related|"
-    r"recommended|breadcrumbs?|pagination|pager|widgets?|toolbar|skip)(?:$|[\s_-])",
-    re.IGNORECASE,
+    r"recommended|breadcrumbs?|pagination|pager|widgets?|toolbar|skip"
 )
+# Words that before or after those leave their sense as it is.
+BEFORE = frozenset("site top bottom left right global primary secondary main mobile desktop sticky google user".split())
+AFTER = frozenset(
+    "area articles author bar block body bottom box button buttons container content form icons inner item items label left "
+    "link links list meta panel posts right section slot stories text thread title top unit wrap wrapper".split()
+)
+# Before these a word for the main text makes a part of it: an article's header.
+OF_TEXT = frozenset("article blog entry news post story".split())
+PARTS_OF_TEXT = frozenset("header footer notice notices menu menus title".split())
+# What a page's main text has, of furniture only some.
+LANDMARKS = frozenset("h1 main article".split())
+# A marked element with this share of the page's unlinked characters may be a layout
+# around the text; it is one if what lies outside is less than that part of it.
+LARGE, LEFT_OUTSIDE = 0.5, 0.25
 _TAG = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*+(?:>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)"
@@ -54,10 +70,11 @@ _MARKS = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'
 
 
 class _Node:
-    __slots__ = ("name", "parent", "cut", "in_article", "chars", "tags", "link_chars", "links", "first", "last", "sum")
+    __slots__ = ("name", "parent", "cut", "mark", "in_article", "chars", "tags", "link_chars", "links", "landmarks", "first", "last", "sum")
 
-    def __init__(self, name: str, parent: _Node | None, cut: bool, first: int):
-        self.name, self.parent, self.cut, self.first, self.last = name, parent, cut, first, -1
+    def __init__(self, name: str, parent: _Node | None, cut: bool, mark: int, first: int):
+        self.name, self.parent, self.cut, self.mark, self.first, self.last = name, parent, cut, mark, first, -1
+        self.landmarks = int(name in LANDMARKS)
         self.in_article = name in ("article", "main") or (parent is not None and parent.in_article)
         self.chars = self.tags = self.link_chars = self.links = 0
         self.sum = 0.0
@@ -73,28 +90,48 @@ class _Node:
         return plain * max(log(max(self.chars / link_chars * tags / links, 1.0)), 0.0) / log(max(base, e)) if base > e else plain
 
 
-def _is_cut(name: str, rest: str, parent: _Node | None) -> bool:
+@lru_cache(4096)
+def _strength(value: str) -> int:
+    """2 if a word of a class or id says furniture, 1 if part of a word does."""
+    found = 0
+    for word in value.lower().split():
+        parts = [part for part in re.split("[-_]+", word) if part]
+        at = [k for k, part in enumerate(parts) if CUT_WORDS.fullmatch(part)]
+        if not at:
+            continue
+        first, last = at[0], at[-1]
+        before = BEFORE if parts[first] in PARTS_OF_TEXT else BEFORE | OF_TEXT
+        plain = all(part in before for part in parts[:first]) and all(
+            part in AFTER or CUT_WORDS.fullmatch(part) or any(c.isdigit() for c in part) for part in parts[first:]
+        )
+        found = max(found, 2 if plain else 1)
+    return found
+
+
+def _kind(name: str, rest: str, parent: _Node | None) -> tuple[bool, int]:
+    """Is an element cut, and how strongly is it marked by class or id?"""
     if parent is not None and parent.cut:
-        return True
+        return True, 0
     if name in CUT or (name in CUT_OUTSIDE_ARTICLE and not (parent and parent.in_article)):
-        return True
+        return True, 0
     if name in KEEP or "=" not in rest:
-        return False
+        return False, 0
+    mark = 0
     for key, *values in _MARKS.findall(rest):
         value = values[0] or values[1] or values[2]
         if key.lower() == "role":
             if value.strip().lower() in CUT_ROLES:
-                return True
-        elif CUT_WORDS.search(value):
-            return True
-    return False
+                return True, 0
+        else:
+            mark = max(mark, _strength(value))
+    return False, mark
 
 
 class _Page:
     """Blocks of text in page order, and the tree of block elements around them."""
 
     def __init__(self, html: str):
-        self.root = _Node("html", None, False, 0)
+        self.root = _Node("html", None, False, 0, 0)
         self.nodes = [self.root]
         # Parts of text; None ends a block.
         self.parts: list[str | None] = []
@@ -162,7 +199,7 @@ class _Page:
         if name in VOID:
             parent.tags += 1
             return
-        node = _Node(name, parent, _is_cut(name, rest, parent), len(self.parts))
+        node = _Node(name, parent, *_kind(name, rest, parent), len(self.parts))
         self.nodes.append(node)
         self._open.append((name, node))
 
@@ -189,8 +226,8 @@ class _Page:
                 end = re.compile(rf"</{re.escape(name)}(?=[\s/>]|\Z)", re.IGNORECASE).search(html, at)
                 at = end.start() if end else size
 
-    def main(self) -> _Node:
-        """The node that holds the main text."""
+    def _densest(self) -> _Node:
+        """The node with the largest sum of densities; sums up what nodes hold."""
         for node in reversed(self.nodes[1:]):
             if not node.cut:
                 above = node.parent
@@ -198,6 +235,7 @@ class _Page:
                 above.tags += node.tags + 1
                 above.link_chars += node.link_chars
                 above.links += node.links
+                above.landmarks += node.landmarks
         body = next((node for node in self.nodes if node.name == "body"), self.root)
         density = {}
         for node in self.nodes:
@@ -212,6 +250,38 @@ class _Page:
                 dense.add(node)
                 if node.sum > best.sum:
                     best = node
+        return best
+
+    def _furniture(self, node: _Node, around: set[_Node]) -> bool:
+        """Is a marked node furniture? ``around`` holds the densest text and what is around it."""
+        if node.mark == 1:
+            return node not in around and not node.landmarks and 2 * node.link_chars >= node.chars
+        own, page = node.chars - node.link_chars, self.root.chars - self.root.link_chars
+        alone, other = node.landmarks, self.root.landmarks - node.landmarks
+        if own < LARGE * page:
+            return not (node in around and alone and not other)
+        if bool(alone) != bool(other):
+            return bool(other)
+        return page - own >= LEFT_OUTSIDE * own
+
+    def main(self) -> _Node:
+        """The node that holds the main text."""
+        marked = any(node.mark for node in self.nodes)
+        if marked:
+            held = [(node.chars, node.tags, node.link_chars, node.links, node.landmarks) for node in self.nodes]
+        best = self._densest()
+        if marked:
+            around, above = set(), best
+            while above is not None:
+                around.add(above)
+                above = above.parent
+            furniture = {node for node in self.nodes if node.mark and self._furniture(node, around)}
+            if furniture:
+                for node, values in zip(self.nodes, held, strict=True):
+                    node.cut = node.cut or node in furniture or (node.parent is not None and node.parent.cut)
+                    node.chars, node.tags, node.link_chars, node.links, node.landmarks = values
+                    node.sum = 0.0
+                best = self._densest()
         above = best
         while above is not None:
             if above.name in ("article", "main"):
@@ -220,8 +290,13 @@ class _Page:
         return best
 
     def blocks(self, node: _Node) -> Iterator[str]:
+        parts, at = [], node.first
+        for other in self.nodes:
+            if other.cut and at <= other.first and other.last <= node.last:
+                parts += self.parts[at : other.first]
+                at = other.last
         held: list[str] = []
-        for part in [*self.parts[node.first : node.last], None]:
+        for part in [*parts, *self.parts[at : node.last], None]:
             if part is not None:
                 held.append(part)
             elif held:

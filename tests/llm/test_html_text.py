@@ -34,6 +34,28 @@ def test_layouts(page, text):
     assert html_text.main_text(page) == text
 
 
+TEXT = f"<h1>A</h1><p>{LONG}</p><p>{LONG} b</p>"
+READ = f"A\n\n{LONG}\n\n{LONG} b"
+MARKED = [
+    *((f"<body><div {mark}>{TEXT}</div></body>", READ) for mark in (
+        "class='content no-sidebar'", "id='page' class='header-fixed'", "class='wrapper has-sidebar'", "class='sidebar-right'", "id=header")),
+    *((f"<body><div {mark}><article>{TEXT}</article></div><p>x</p></body>", READ) for mark in ("class='layout no-sidebar'", "class=modal")),
+    *((f"<article>{TEXT}<{name} {mark}><p>{LONG} c</p></{name}></article>", f"{READ}\n\n{LONG} c") for name, mark in (
+        ("section", "id='related-work'"), ("div", "class='social-history'"), ("div", "class='article-header'"))),
+    (f"<body>{TEXT}<section id='related-work'><p>{LONG} c</p></section></body>", f"{READ}\n\n{LONG} c"),
+    # Furniture still goes, inside an article and where it is longer than the text.
+    (f"<article>{TEXT}<div class='ad'>Buy</div><div class='post-share'>x</div><div class='related-posts'><p>{LONG}</p></div></article>", READ),
+    (f"<article>{TEXT}<div class='related-reading'><a href=x>{LONG}</a></div></article>", READ),
+    (f"<div id=content>{TEXT}</div><div class='comments'>{f'<p>{LONG} d</p>' * 9}</div>", READ),
+    (f"<div id=content><p>{LONG}</p><p>{LONG}</p></div><div class='comment-list'>{f'<p>{LONG}</p>' * 3}</div>", f"{LONG}\n\n{LONG}"),
+]
+
+
+@pytest.mark.parametrize(("page", "text"), MARKED)
+def test_classes_of_layouts_and_topics(page, text):
+    assert html_text.main_text(page) == text
+
+
 @pytest.mark.parametrize("page", ["<" * 3000, '<a b="' * 2000, "<div>" * 3000 + "x", "<p>" * 3000, "</b>" * 3000, "<!--" * 2000, "<a " + "x" * 50_000])
 def test_damage_ends(page):
     html_text.main_text(page)
