@@ -18,7 +18,10 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash class stays, the one with the smallest id."""
+    """One document of each SimHash class stays, the one with the smallest id.
+
+    Edited copies more than 4 bits apart stay too; the README says how many.
+    """
     small_batches(spark)
     return simhash.keep_first(docs)
 
