@@ -2,10 +2,12 @@
 
 Test items are the indexed side; the distinct words of every whole text are a
 query, so parts of an item are found together wherever they stand. Scores are
-shares of an item's score against itself, so one threshold serves short and long
-items. Items lie in blocks; each posting list keeps its largest impact per block.
-Blocks whose summed maxima stay below the threshold are passed over for many
-texts at a time; in the others the pointer algorithm runs. What it retrieves is
+shares of an item's score against itself. An item's threshold is the least share
+that a text with enough of its shingles can have, so retrieval loses nothing and
+the pairs found do not depend on which items share an index; scores do.
+Items lie in blocks; each posting list keeps its largest impact per block.
+Blocks whose summed maxima stay below their least threshold are passed over for
+many texts at a time; in the others the pointer algorithm runs. What it retrieves is
 verified by the five-word shingles of the whole text, of the item and of its
 question (up to its first line break, else its first half) and its answer (the
 rest).
@@ -29,9 +31,6 @@ from pyspark.sql.types import StructType
 from firstseen.llm.frames import texts
 
 K1, B = 1.2, 0.75
-# Share of an item's score against itself a text must reach to be verified. A
-# text with 0.8 of an item's shingles lacks a fifth of its words at most.
-THRESHOLD = 0.6
 SHINGLE_WORDS = 5
 OVERLAP = 0.8
 # Least share of the question's and of the answer's shingles: a few changed words
@@ -85,6 +84,35 @@ class Item:
         return tuple(len(part & found) / len(part) for part in (self.whole, self.question, self.answer))
 
 
+def least_share(sequence: list[str], impacts: dict[str, float]) -> float:
+    """The least share of an item's score that a text with ``OVERLAP`` of its shingles has.
+
+    A word that a text lacks takes all shingles around it along. The dearest set of
+    words whose loss costs few enough shingles is found place by place: the rows are
+    distances to the last lost word, the columns shingles lost. A word's impact is
+    spread over its places, and shingles that repeat cost nothing, so the share found
+    is never too large.
+    """
+    parts = list(_shingles(sequence))
+    often, frequency = Counter(parts), Counter(sequence)
+    spare = max(k for k in range(len(often) + 1) if (len(often) - k) / len(often) >= OVERLAP)
+    costs = np.cumsum([0] + [often[part] == 1 for part in parts]).tolist()
+    best = np.full((SHINGLE_WORDS, spare + 1), -np.inf)
+    best[-1] = 0
+    for place, word in enumerate(sequence):
+        taken = np.full(spare + 1, -np.inf)
+        end = min(place + 1, len(parts))
+        for k, row in enumerate(best):
+            # Shingles up to the last lost word's place are lost already.
+            begin = min(end, max(place - (k if k < SHINGLE_WORDS - 1 else SHINGLE_WORDS - 1), 0))
+            cost = costs[end] - costs[begin]
+            if cost <= spare:
+                np.maximum(taken[cost:], row[: spare + 1 - cost], out=taken[cost:])
+        taken += impacts[word] / frequency[word]
+        best = np.vstack([taken, best[: SHINGLE_WORDS - 2], np.maximum(best[-2], best[-1])])
+    return max(1 - float(best.max()) / sum(impacts.values()) - 1e-6, 1e-9)
+
+
 class Index:
     """Inverted lists of test items, with maxima per list and block."""
 
@@ -101,6 +129,8 @@ class Index:
         self.size = -(-n // BLOCKS) if n else 1
         self.block_max = np.zeros((len(self.terms), -(-n // self.size) if n else 0), np.float32)
         lists: list[list[tuple[int, float]]] = [[] for _ in self.terms]
+        # What a text has to score for an item, and for any item of a block.
+        self.least: list[float] = []
         for number, (_, _, sequence) in enumerate(tokens):
             scale = K1 * (1 - B + B * len(sequence) / average)
             impacts = {
@@ -108,24 +138,26 @@ class Index:
                 for w, f in Counter(sequence).items()
             }
             whole = sum(impacts.values())
+            self.least.append(least_share(sequence, impacts))
             for w, impact in impacts.items():
                 term = self.terms[w]
                 lists[term].append((number, impact / whole))
                 block = number // self.size
                 self.block_max[term, block] = max(self.block_max[term, block], impact / whole)
         self.postings = lists
+        self.block_least = np.array([min(self.least[k : k + self.size]) for k in range(0, n, self.size)])
 
-    def search(self, terms: list[int], threshold: float, blocks: list[int] | None = None) -> list[tuple[int, float]]:
-        """Items of the blocks, all by default, that score the threshold or more."""
+    def search(self, terms: list[int], threshold: float | None = None, blocks: list[int] | None = None) -> list[tuple[int, float]]:
+        """Items of the blocks, all by default, that score the threshold, or else their own, or more."""
         found = []
         for block in range(self.block_max.shape[1]) if blocks is None else blocks:
             found += self._search(terms, threshold, block)
         return found
 
-    def _search(self, terms: list[int], threshold: float, block: int) -> list[tuple[int, float]]:
+    def _search(self, terms: list[int], threshold: float | None, block: int) -> list[tuple[int, float]]:
         """WAND inside a block, by the lists' maxima there."""
         first, end = block * self.size, min((block + 1) * self.size, len(self.items))
-        maxima = self.block_max[terms, block]
+        maxima, least = self.block_max[terms, block], float(self.block_least[block]) if threshold is None else threshold
         # Cursors: current item, place in the list, term, maximum.
         cursors = []
         for k in np.flatnonzero(maxima).tolist():
@@ -147,7 +179,7 @@ class Index:
                 if item == end:
                     break
                 bound += most
-                if bound >= threshold:
+                if bound >= least:
                     pivot = item
                     break
             if pivot == end:
@@ -155,7 +187,7 @@ class Index:
             ahead = [c for c in cursors if c[0] <= pivot]
             if ahead[0][0] == pivot:
                 score = sum(self.postings[c[2]][c[1]][1] for c in ahead)
-                if score >= threshold:
+                if score >= (self.least[pivot] if threshold is None else threshold):
                     found.append((pivot, score))
                 for cursor in ahead:
                     forward(cursor, pivot + 1)
@@ -176,8 +208,8 @@ def _terms(index: Index, sequences: list[list[str]]) -> tuple[np.ndarray, np.nda
     return pairs % size, np.searchsorted(pairs, np.arange(len(sequences) + 1) * size)
 
 
-def _retrieved(index: Index, sequences: list[list[str]], threshold: float) -> Iterator[tuple[int, list[tuple[int, float]]]]:
-    """(place of a text, its items that score the threshold or more)."""
+def _retrieved(index: Index, sequences: list[list[str]]) -> Iterator[tuple[int, list[tuple[int, float]]]]:
+    """(place of a text, the items it scores enough for)."""
     terms, starts = _terms(index, sequences)
     first = 0
     while first < len(sequences):
@@ -186,23 +218,23 @@ def _retrieved(index: Index, sequences: list[list[str]], threshold: float) -> It
         held = np.flatnonzero(starts[first + 1 : stop + 1] > starts[first:stop])
         if len(held):
             bound = np.add.reduceat(index.block_max[terms[low:high]], starts[first:stop][held] - low, axis=0)
-            reached = bound >= threshold * (1 - 1e-5)
+            reached = bound >= index.block_least * (1 - 1e-5)
             for k in np.flatnonzero(reached.any(axis=1)).tolist():
                 row = first + int(held[k])
-                hits = index.search(terms[starts[row] : starts[row + 1]].tolist(), threshold, np.flatnonzero(reached[k]).tolist())
+                hits = index.search(terms[starts[row] : starts[row + 1]].tolist(), blocks=np.flatnonzero(reached[k]).tolist())
                 if hits:
                     yield row, hits
         first = stop
 
 
-def matches(indexes: list[Index], texts: list[str], threshold: float = THRESHOLD) -> list[dict]:
+def matches(indexes: list[Index], texts: list[str]) -> list[dict]:
     """Per text: verified items by (index, number), with score and overlaps."""
     out: list[dict] = [{} for _ in texts]
     sequences = [words(text) for text in texts]
     for which, index in enumerate(indexes):
         if not index.items or not texts:
             continue
-        for row, hits in _retrieved(index, sequences, threshold):
+        for row, hits in _retrieved(index, sequences):
             wanted = set().union(*(index.items[number].whole for number, _ in hits))
             have = wanted.intersection(_shingles(sequences[row]))
             for number, score in hits:

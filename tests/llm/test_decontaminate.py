@@ -103,6 +103,34 @@ def test_question_and_answer_far_apart(spark):
     assert {r.doc_id for r in d.keep_clean(frame, bench).collect()} == {3, 4}
 
 
+def test_rare_words_at_the_end_of_a_template():
+    """Nearly all of the score lies in five of 41 words; a text may lack them."""
+    template = [f"t{k}" for k in range(36)]
+    tests = [(k, " ".join([*template, *(f"r{k}x{j}" for j in range(5))])) for k in range(300)]
+    texts = [" ".join([*template, *(f"other{j}" for j in range(5))]), " ".join(template[:20]), tests[0][1]]
+    expected = [{k for d, k in brute(tests, enumerate(texts)) if d == row} for row in range(3)]
+    assert len(expected[0]) == 300 and not expected[1] and len(expected[2]) == 300
+    for size in (300, 7, 1):
+        indexes = [d.Index(tests[k : k + size]) for k in range(0, 300, size)]
+        assert [{indexes[i].items[k].item_id for i, k in one} for one in d.matches(indexes, texts)] == expected
+
+
+def test_least_share_against_all_choices():
+    random = np.random.default_rng(3)
+    for _ in range(60):
+        words = [f"w{k}" for k in random.integers(0, 14, int(random.integers(1, 14)))]
+        impacts = {w: float(random.random()) for w in words}
+        names, whole, least = list(impacts), d.shingles(words), 1.0
+        for chosen in range(2 ** len(names)):
+            lost = {w for k, w in enumerate(names) if chosen >> k & 1}
+            if sum(not lost & set(s.split()) for s in whole) / len(whole) >= d.OVERLAP:
+                least = min(least, 1 - sum(impacts[w] for w in lost) / sum(impacts.values()))
+        found = d.least_share(words, impacts)
+        assert found <= least
+        if len(set(words)) == len(words):
+            assert found == pytest.approx(max(least, 1e-9), abs=2e-6)
+
+
 def test_odd_rows_and_empty_tables(spark):
     docs = [(1, None), (2, ""), (None, "a b c d e f g h"), (3, "!!"), (4, "one two"), (4, "one two"), (5, "z " * 60_000 + "a b c d e f g h")]
     tests = [(1, "a b c d e f g h"), (None, "a b c d e f g h"), (3, None), (4, ""), (5, "one two"), (6, "...")]
