@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firstseen.llm import chat, decontaminate, html_text, packing, pii, quality, repeats, simhash, token_files, vectors
+from firstseen.llm import (
+    alignment,
+    chat,
+    decontaminate,
+    html_text,
+    licenses,
+    packing,
+    periodic,
+    pii,
+    quality,
+    repeats,
+    simhash,
+    token_files,
+    vectors,
+)
 from firstseen.llm.frames import small_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +81,41 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(small_batches(spark), sf_dir, "documents"))
 
 
+def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digests(licenses.scan(table(small_batches(spark), sf_dir, "documents")))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(small_batches(spark), sf_dir, "documents")).drop("groups")
+
+
+# What separates words, as in a character class.
+WORD_GAP = r"[\x20\x09-\x0D]+"
+
+
+def with_periods(documents: DataFrame) -> DataFrame:
+    """doc_id and text; a tenth of the documents repeat some of their words to the end.
+
+    With h the crc32 of the id as text and n words, those where ``h % 10 = 0`` and
+    n > 0 have each word i >= a replaced by word ``a + (i - a) % p``.
+    """
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    split = F.filter(F.split("text", WORD_GAP, -1), lambda word: word != "")
+    chosen = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), h.alias("h"))
+    chosen = chosen.select("doc_id", "text", F.floor(F.col("h") / 10).alias("g"), F.when(F.col("h") % 10 == 0, split).alias("words"))
+    chosen = chosen.withColumn("n", F.size("words").cast("bigint")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    chosen = chosen.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    ahead = F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)
+    place = F.transform(ahead, lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")))
+    words = F.transform(place, lambda i: F.get("words", i.cast("int")))
+    return chosen.select("doc_id", F.when(F.col("n") > 0, F.array_join(words, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = with_periods(table(small_batches(spark), sf_dir, "documents"))
+    return periodic.digests(periodic.collapse_runs(documents))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_html_text": op2_html_text,
@@ -78,6 +127,9 @@ QUERIES: dict[str, Query] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_chat_format": op9_chat_format,
     "op10_simhash": op10_simhash,
+    "op11_licenses": op11_licenses,
+    "op12_alignment": op12_alignment,
+    "op13_periodic": op13_periodic,
 }
 
 ORACLES: dict[str, str] = {
@@ -146,4 +198,5 @@ ORACLES: dict[str, str] = {
             sum(chars)::BIGINT AS formatted_chars
         FROM sized GROUP BY conv_id
     """,
+    "op11_licenses": licenses.oracle(),
 }
