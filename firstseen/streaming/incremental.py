@@ -9,21 +9,17 @@ State folder::
 
     checkpoint/              Spark's own progress
     survivors/batch=<n>/     records kept by batch n
-    keys/batch=<n>/          their keys and places, foldered by date: the index
-    keys/through=<n>/        the index of all batches up to n, now and then
+    keys/                    their keys and places: the index, see ``key_index``
     duplicates/batch=<n>/    what it dropped, and why
     rejects/batch=<n>/       malformed lines
     work/                    staged lines, a new folder for every attempt
 
 A batch that died is replayed by Spark with the same number and the same files,
-and overwrites its own folders only: nothing is lost or kept twice. Every
-``COMPACT_BATCHES`` batches the index is written together; a batch reads the last
-of these that lies before it and the few batches since.
+and overwrites its own folders only: nothing is lost or kept twice.
 """
 
 from __future__ import annotations
 
-import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,28 +43,26 @@ from firstseen.sources.feeds import (
 )
 from firstseen.sources.ndjson import number_lines
 from firstseen.storage import Storage
+from firstseen.streaming.key_index import BASELINE_BATCH, KeyIndex
 
 # Keys of a batch are broadcast up to this size. A row is a hash, a date and a
 # table name, which the file system bounds to 255 bytes.
 KEY_BROADCAST_BYTES = 128 << 20
 KEY_ROW_BYTES = 512
 
-# After each so many batches the index is written together.
+# So many batches of the index, and so many folders of each level, become one.
 COMPACT_BATCHES = 8
 
 # Files are never too old: one that arrives late with an old time is read too.
 # Spark then remembers the names of all files it has read.
 MAX_FILE_AGE = "36500d"
 
-KEY_COLUMNS = [*GROUP, *POSITION, "table_name"]
+KEY_COLUMNS = ["dedup_key", "scope_table", *POSITION, "table_name", "file_date"]
 KEY_SCHEMA = (
     "dedup_key BINARY, scope_table STRING, role_rank INT, sequence INT, file_path STRING, line_no BIGINT, "
     "table_name STRING, file_date DATE"
 )
 
-# The number under which the published baseline enters the index.
-BASELINE_BATCH = -1
-
 SURVIVOR_COLUMNS = [*GROUP, *POSITION, "table_name", "file_name", "effective_table", "raw_line"]
 SURVIVOR_SCHEMA = (
     "dedup_key BINARY, scope_table STRING, file_date DATE, role_rank INT, sequence INT, "
@@ -94,6 +88,7 @@ class IncrementalDedup:
         self.config = config
         self.output_dir = output_dir
         self.tables = resolve_tables(spark, config.tables, config.tables_file)
+        self.keys = KeyIndex(spark, f"{self.state}/keys", KEY_SCHEMA, COMPACT_BATCHES)
 
     def read(self, max_files: int | None = None) -> DataFrame:
         """The feed as a stream of lines; whole files are dropped by name."""
@@ -143,12 +138,10 @@ class IncrementalDedup:
         kept = number_lines(staged(kept, f"{work}/survivors"), offsets).withColumn("role_rank", F.lit(1))
         self._append("survivors", kept.select(*SURVIVOR_COLUMNS), number)
         new_keys = classified.filter(F.col("status") == SURVIVOR).select(*KEY_COLUMNS)
-        self._write_keys(new_keys, f"batch={number}")
         self._append("duplicates", duplicates(classified), number)
         rejects = number_lines(written.filter(F.col("line_kind") == REJECT), offsets)
         self._append("rejects", rejects.select("table_name", "file_date", "file_path", "line_no", "raw_line", "reason"), number)
-        if number % COMPACT_BATCHES == COMPACT_BATCHES - 1:
-            self._compact(number)
+        self.keys.add(new_keys, number)
 
     def survivors(self) -> DataFrame:
         """Everything kept so far."""
@@ -179,7 +172,7 @@ class IncrementalDedup:
         the shuffle by key.
         """
         dates = [row.file_date for row in prepared.select("file_date").distinct().collect()]
-        index = self._keys_before(number).filter(F.col("file_date").isin(*dates))
+        index = self.keys.before(number).filter(F.col("file_date").isin(*dates))
         keys = records(prepared).select(*GROUP)
         if keys.count() * KEY_ROW_BYTES <= KEY_BROADCAST_BYTES:
             index = index.join(F.broadcast(keys), GROUP, "left_semi")
@@ -189,51 +182,16 @@ class IncrementalDedup:
             .withColumn("line_kind", F.lit(RECORD))
         )
 
-    def _write_keys(self, keys: DataFrame, name: str) -> None:
-        keys.write.mode("overwrite").partitionBy("file_date").parquet(f"{self.state}/keys/{name}")
-
     def index_folders(self, number: int) -> list[str]:
-        """Folders with the keys kept before a batch: one compacted, then batches."""
-        storage, folder = Storage(self.spark, self.state), f"{self.state}/keys"
-        found = [re.fullmatch(r"(batch|through)=(-?\d+)", name) for name in storage.names(folder)]
-        named = [(m[1], int(m[2])) for m in found if m and int(m[2]) < number]
-        whole = [n for kind, n in named if kind == "through" and storage.exists(f"{folder}/through={n}/_SUCCESS")]
-        last = max(whole, default=None)
-        batches = sorted(n for kind, n in named if kind == "batch" and (last is None or n > last))
-        return [f"{folder}/through={last}"] * (last is not None) + [f"{folder}/batch={n}" for n in batches]
-
-    def _keys_before(self, number: int) -> DataFrame:
-        keys = self.spark.createDataFrame([], KEY_SCHEMA).select(*KEY_COLUMNS)
-        for folder in self.index_folders(number):
-            keys = keys.unionAll(self.spark.read.schema(KEY_SCHEMA).parquet(folder).select(*KEY_COLUMNS))
-        return keys
-
-    def _compact(self, number: int) -> None:
-        """Write the index up to a batch together; drop what two of these ago held.
-
-        The one before stays, for a replay of this batch.
-        """
-        before = self.index_folders(number)
-        self._write_keys(self._keys_before(number + 1).hint("rebalance", "file_date"), f"through={number}")
-        storage, folder = Storage(self.spark, self.state), f"{self.state}/keys"
-        if before and "through=" in before[0]:
-            last = int(before[0].rsplit("=", 1)[1])
-            for name in storage.names(folder):
-                kind, _, old = name.partition("=")
-                if (kind == "batch" and int(old) <= last) or (kind == "through" and int(old) < last):
-                    storage.remove_folder(f"{folder}/{name}")
+        """Folders with the keys kept before a batch."""
+        return self.keys.folders(number)
 
     def _load_baseline(self) -> None:
         """Bring the published keys into the index, once."""
-        storage, folder = Storage(self.spark, self.state), f"{self.state}/keys"
-        if self.output_dir is None or any(
-            storage.exists(f"{folder}/{name}/_SUCCESS")
-            for name in storage.names(folder)
-            if name == f"batch={BASELINE_BATCH}" or name.startswith("through=")
-        ):
+        if self.output_dir is None or self.keys.has_baseline():
             return
         work = f"{self.state}/work/baseline-{uuid.uuid4().hex[:8]}"
         lines = baseline_lines(self.spark, self.output_dir, self.tables, self.config.run_dates, numbered=False)
         prepared = numbered_keys(*stage_lines(lines, self.config, work))
         check_rejects(counts.file_counts(prepared), self.config)
-        self._write_keys(records(prepared).select(*KEY_COLUMNS), f"batch={BASELINE_BATCH}")
+        self.keys.add(records(prepared).select(*KEY_COLUMNS), BASELINE_BATCH)
