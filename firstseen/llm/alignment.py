@@ -18,6 +18,7 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,9 @@ from firstseen.llm.tokens import byte_letters
 # Characters of text aligned at once, and in a chunk of documents.
 BLOCK_CHARS = 2 << 20
 CHUNK_CHARS = 16 << 20
+# Chunks whose counts one task looks up, and the least number of such tasks.
+CHUNKS_PER_TASK = 2
+MIN_TASKS = 8
 # What a row counts besides its text.
 ROW_CHARS = 64
 # Pieces of text a worker remembers in each of two generations.
@@ -72,8 +76,10 @@ class TokenPair:
         self.lengths_b = np.fromiter(map(len, self.bytes_b), np.int64)
         self.cut = self._cuttable(path_a)
         self._kept = kept
-        self._young: dict[str, tuple[bytes, bytes]] = {}
-        self._old: dict[str, tuple[bytes, bytes]] = {}
+        # Ids of A and of B by part, of two generations; parts whose bytes differ.
+        self._young: tuple[dict[str, bytes], dict[str, bytes]] = {}, {}
+        self._old: tuple[dict[str, bytes], dict[str, bytes]] = {}, {}
+        self._unlike: set[str] = set()
 
     def _piece(self, number: int) -> bytes:
         piece = self._b.id_to_piece(number)
@@ -93,34 +99,45 @@ class TokenPair:
         return not any(re.search("[^▁]▁", piece) for piece in pieces)
 
     def _learn(self, parts: list[str]) -> None:
-        ids_a = [one.ids for one in self._a.encode_batch([" " + part for part in parts], add_special_tokens=False)]
-        ids_b = self._b.encode(parts, num_threads=1)
-        for part, a, b in zip(parts, ids_a, ids_b, strict=True):
-            data = b" " + part.encode()
-            whole = b"".join([self.bytes_a[k] for k in a]) == data == b"".join([self.bytes_b[k] for k in b])
-            self._young[part] = (np.array(a, "<i4").tobytes(), np.array(b, "<i4").tobytes()) if whole else (b"", b"")
+        encoded = [one.ids for one in self._a.encode_batch([" " + part for part in parts], add_special_tokens=False)]
+        both = (encoded, self.bytes_a, self.lengths_a), (self._b.encode(parts, num_threads=1), self.bytes_b, self.lengths_b)
+        data = [b" " + part.encode() for part in parts]
+        sizes = np.cumsum([len(one) for one in data])
+        for (lists, table, lengths), known in zip(both, self._young, strict=True):
+            ids = np.fromiter(chain.from_iterable(lists), "<i4", sum(map(len, lists)))
+            bounds = np.append(0, np.cumsum([len(one) for one in lists]))
+            # Bytes and lengths agree as a whole, or each part is looked at.
+            written = np.append(0, np.cumsum(lengths[ids]))[bounds[1:]]
+            if not np.array_equal(written, sizes) or b"".join(map(table.__getitem__, ids.tolist())) != b"".join(data):
+                for part, one, wanted in zip(parts, lists, data, strict=True):
+                    if b"".join([table[k] for k in one]) != wanted:
+                        self._unlike.add(part)
+            flat, ends = ids.tobytes(), (bounds * 4).tolist()
+            known.update((part, flat[x:y]) for part, x, y in zip(parts, ends[:-1], ends[1:], strict=True))
 
     def encode(self, slices: Sequence[str]) -> list[tuple[bytes, bytes]]:
         """Ids of both, as bytes, of a space and each text; nothing where bytes differ
         or the text is empty."""
         split = [(_CUT.split(one) if self.cut else [one]) if one else [] for one in slices]
-        if len(self._young) > self._kept:
-            self._young, self._old = {}, self._young
+        if len(self._young[0]) > self._kept:
+            self._young, self._old = ({}, {}), self._young
+            self._unlike.intersection_update(self._old[0])
+        (young_a, young_b), (old_a, old_b) = self._young, self._old
         unknown: list[str] = []
-        for part in set().union(*split).difference(self._young):
-            if part in self._old:
-                self._young[part] = self._old[part]
+        for part in set().union(*split).difference(young_a):
+            if part in old_a:
+                young_a[part], young_b[part] = old_a[part], old_b[part]
             else:
                 unknown.append(part)
         if unknown:
             self._learn(unknown)
-        found = []
-        for parts in split:
-            both = [self._young[part] for part in parts]
-            a, b = b"".join([one[0] for one in both]), b"".join([one[1] for one in both])
-            # Every part has tokens, a space at least, unless its bytes differ.
-            found.append((a, b) if all(one[0] for one in both) else (b"", b""))
-        return found
+        nothing = b"", b""
+        return [
+            (b"".join(map(young_a.__getitem__, parts)), b"".join(map(young_b.__getitem__, parts)))
+            if self._unlike.isdisjoint(parts)
+            else nothing
+            for parts in split
+        ]
 
 
 def token_pair(paths: tuple[str, str]) -> TokenPair:
@@ -200,25 +217,23 @@ class _Aligner:
         used = np.flatnonzero(n_a)
         last = np.cumsum(n_a)[used] - 1
         cuts = shared_ends(ends_a, ends_b, last)
-        cut_ends = ends_a[cuts]
-        group_a, group_b = np.searchsorted(cut_ends, ends_a), np.searchsorted(cut_ends, ends_b)
-        text_ends = ends_a[last]
-
-        def per_text(ends: np.ndarray) -> np.ndarray:
-            counts = np.zeros(len(encoded), np.int64)
-            counts[used] = np.diff(np.searchsorted(ends, text_ends, side="right"), prepend=0)
-            return counts
+        cuts_b = np.searchsorted(ends_b, ends_a[cuts])
+        group_a, group_b = (np.repeat(np.arange(len(cuts)), np.diff(ends, prepend=-1)) for ends in (cuts, cuts_b))
+        # Which text each token and each group belongs to.
+        text_a, text_b = np.repeat(np.arange(len(encoded)), n_a), np.repeat(np.arange(len(encoded)), n_b)
+        n_groups = np.bincount(text_a[cuts], minlength=len(encoded))
+        # Two divisions of the same bytes share as many parts as they have ends.
+        n_links = n_a + n_b - n_groups
 
         # Each group's tokens of A, then those of B.
-        after_a = cuts + 1
-        first_b = np.searchsorted(ends_b, np.append(0, cut_ends[:-1]), side="right")
+        first_b = np.append(0, cuts_b[:-1] + 1)
         number = np.empty(len(ids_a) + len(ids_b), np.int64)
         sign = np.full(len(number), ord(","), np.uint8)
         at_a = np.arange(len(ids_a)) + first_b[group_a]
-        at_b = np.arange(len(ids_b)) + after_a[group_b]
+        at_b = np.arange(len(ids_b)) + (cuts + 1)[group_b]
         number[at_a], number[at_b] = ids_a, ids_b
         sign[at_a[cuts]] = ord("|")
-        sign[at_b[np.append(first_b[1:], len(ids_b)) - 1]] = ord(";")
+        sign[at_b[cuts_b]] = ord(";")
         lengths = self._lengths[number]
         written = self._table[number]
         written[np.arange(len(number)), lengths] = sign
@@ -226,14 +241,18 @@ class _Aligner:
         bounds = np.cumsum(lengths + 1)
         text_bounds = np.append(0, bounds[np.cumsum(n_a + n_b)[used] - 1])
 
-        ends = np.union1d(ends_a, ends_b)
-        code = ids_a[np.searchsorted(ends_a, ends)] * self.size_b + ids_b[np.searchsorted(ends_b, ends)]
-        n_groups, n_links = per_text(cut_ends), per_text(ends)
-        key, count = np.unique(
-            np.repeat(np.arange(len(used)), n_links[used]) * (len(self.pair.bytes_a) * self.size_b) + code, return_counts=True
-        )
-        owner, code = np.divmod(key, len(self.pair.bytes_a) * self.size_b)
-        code_bounds = np.searchsorted(owner, np.arange(len(used) + 1))
+        # A link for every end of A, and for every end that only B has.
+        alone = np.ones(len(ids_b), bool)
+        alone[cuts_b] = False
+        owner = np.concatenate([text_a, text_b[alone]])
+        code = np.concatenate([
+            ids_a * self.size_b + ids_b[np.searchsorted(ends_b, ends_a)],
+            ids_a[np.searchsorted(ends_a, ends_b[alone])] * self.size_b + ids_b[alone],
+        ])
+        pairs = len(self.pair.bytes_a) * self.size_b
+        key, count = np.unique(owner * pairs + code, return_counts=True)
+        owner, code = np.divmod(key, pairs)
+        code_bounds = np.searchsorted(owner, np.append(used, len(encoded)))
         found = [(0, 0, 0, 0, b"", code[:0], code[:0])] * len(encoded)
         for k, text in enumerate(used.tolist()):
             some = slice(code_bounds[k], code_bounds[k + 1])
@@ -406,5 +425,6 @@ def align(documents: DataFrame, vocabularies: tuple[str, str] | None = None, gro
         "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint,"
         " groups_sha256 string, groups string"
     )
-    held = rows.filter("n_a IS NOT NULL")
+    tasks = max(MIN_TASKS, -(-rows.filter("n_a IS NULL").count() // CHUNKS_PER_TASK))
+    held, known = rows.filter("n_a IS NOT NULL").repartition(tasks, "chunk"), known.repartition(tasks, "of")
     return held.groupBy("chunk").cogroup(known.groupBy("of")).applyInArrow(_scored, result)
