@@ -58,7 +58,9 @@ class DedupConfig:
     ``publish_mode`` is ``merge`` (new survivors join what is published) or
     ``replace`` (they take its place). ``single_file`` asks for one output file
     per table and date, whatever its size; ordered part files are the way to scale.
-    ``hot_keys`` bounds a broadcast and has a bound itself.
+    ``hot_keys`` bounds a broadcast and has a bound itself. ``keep_baseline`` keeps
+    the keys of published files beside them, so that a run reads each file once only,
+    in ``baseline_buckets`` parts a date: enough that a task can sort one.
     """
 
     key_fields: Sequence[str] = DEFAULT_KEY_FIELDS
@@ -74,6 +76,8 @@ class DedupConfig:
     single_file: bool = False
     hot_min_copies: int = 100_000
     hot_keys: int = 20_000
+    keep_baseline: bool = False
+    baseline_buckets: int = 64
 
     def __post_init__(self) -> None:
         if not self.key_fields:
@@ -83,6 +87,8 @@ class DedupConfig:
                 path_segments(dotted)
         if not 0 <= self.hot_keys <= MAX_HOT_KEYS:
             raise ValueError(f"hot_keys is not between 0 and {MAX_HOT_KEYS}")
+        if self.baseline_buckets < 1:
+            raise ValueError("baseline_buckets is less than 1")
         if self.hot_min_copies < 1:
             raise ValueError("hot_min_copies is less than 1")
         if self.publish_mode not in ("merge", "replace"):

@@ -17,12 +17,14 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from firstseen.columns import GROUP
 from firstseen.config import DedupConfig
 from firstseen.functions.names import DEFAULT_RUN_ID, RUN_ID_UNSAFE
 from firstseen.operators import counts
 from firstseen.operators.first_seen import classify, duplicates, survivors
-from firstseen.operators.prepare import REJECT, prepare
+from firstseen.operators.prepare import REJECT, prepare, records
 from firstseen.plans import reports
+from firstseen.plans.kept_baseline import KeptBaseline
 from firstseen.plans.publish import Published, finish_open, output_files, publish, write_manifest
 from firstseen.sources.feeds import baseline_lines, has_today_files, resolve_tables, today_lines
 from firstseen.sources.ndjson import number_lines, split_offsets
@@ -119,6 +121,26 @@ def check_rejects(file_counts: DataFrame, config: DedupConfig) -> None:
         raise TooManyRejects(f"{example.skipped_count} malformed lines in {example.file_path}")
 
 
+def _against_kept(
+    baseline: KeptBaseline, written: DataFrame, offsets: DataFrame, config: DedupConfig, staging: str
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Today's lines classified, lines per file, and the rows that compete to survive.
+
+    Only the kept places of keys that today has as well take part.
+    """
+    baseline.refresh(config.run_dates)
+    prepared = numbered_keys(written, offsets)
+    wanted = records(prepared).select(*GROUP).distinct()
+    known = staged(baseline.matching(wanted), f"{staging}/known")
+    today = classify(prepared.unionByName(known, allowMissingColumns=True), config).filter(F.col("role_rank") == 1)
+    classified = staged(today, f"{staging}/classified", "status")
+    per_file = counts.file_counts_of(classified)
+    per_file = per_file.unionByName(baseline.file_counts(config.run_dates).select(*per_file.columns))
+    # Published keys win by their role, wherever they stand.
+    earlier = known.withColumns({"split_start": F.lit(0).cast("bigint"), "row_id": F.col("line_no")})
+    return classified, per_file, written.unionByName(earlier.drop("line_no"), allowMissingColumns=True)
+
+
 def run_daily(
     spark: SparkSession,
     input_dir: str,
@@ -136,31 +158,45 @@ def run_daily(
     # A run that died while it published is completed first: its files are baseline.
     finish_open(Storage(spark, output_dir), output_dir)
     staging = shared_folder(spark, "run")
-    lines = today_lines(spark, input_dir, tables, config.run_dates, numbered=False).unionByName(
-        baseline_lines(spark, output_dir, tables, config.run_dates, numbered=False)
-    )
+    lines = today_lines(spark, input_dir, tables, config.run_dates, numbered=False)
+    baseline = KeptBaseline(spark, output_dir, config, tables) if config.keep_baseline else None
+    if baseline is None:
+        lines = lines.unionByName(baseline_lines(spark, output_dir, tables, config.run_dates, numbered=False))
     written, offsets = stage_lines(lines, config, staging)
-    # Foldered by status: every sink reads just its part.
-    classified = staged(classify(numbered_keys(written, offsets), config), f"{staging}/classified", "status")
+    if baseline is None:
+        # Foldered by status: every sink reads just its part.
+        classified = staged(classify(numbered_keys(written, offsets), config), f"{staging}/classified", "status")
+        per_file, competing = counts.file_counts_of(classified), written
+    else:
+        classified, per_file, competing = _against_kept(baseline, written, offsets, config, staging)
     # One row per file, written so that the reports below do not count again.
-    file_counts = staged(counts.file_counts_of(classified), f"{staging}/file_counts")
+    file_counts = staged(per_file, f"{staging}/file_counts")
     check_rejects(file_counts, config)
 
-    kept = staged(survivors(written, place=PLACE), f"{staging}/survivors")
+    kept = staged(survivors(competing, place=PLACE), f"{staging}/survivors")
+    malformed = number_lines(written.filter(F.col("line_kind") == REJECT), offsets)
+    rejected = malformed.select("role", "table_name", "file_date", "file_path", "line_no", "raw_line", "reason")
+    if baseline is not None:
+        # Before publishing changes what is there.
+        of_run = baseline.rejects(config.run_dates).select(*rejected.columns)
+        rejected = rejected.unionByName(staged(of_run, f"{staging}/baseline_rejects"))
     published = publish(kept, output_dir, config, f"{run_id}-{uuid.uuid4().hex[:8]}")
 
     per_table = counts.table_summary(file_counts)
-    there = baseline_lines(spark, output_dir, tables, config.run_dates, numbered=False)
-    counted = staged(counts.published_counts(there), f"{staging}/published_counts")
+    if baseline is None:
+        there = baseline_lines(spark, output_dir, tables, config.run_dates, numbered=False)
+        counted = counts.published_counts(there)
+    else:
+        # Reads what was just published, for its count and for the next run.
+        baseline.refresh(config.run_dates)
+        counted = baseline.published_counts(config.run_dates)
+    counted = staged(counted, f"{staging}/published_counts")
     check_counts(counted, counts.published_from_counts(file_counts, config.publish_mode), per_table)
     summary = counts.with_output(per_table, counted, output_files(per_table, output_dir))
-    malformed = number_lines(written.filter(F.col("line_kind") == REJECT), offsets)
     result = DailyResult(
         survivors=number_lines(kept, offsets),
         duplicates=duplicates(classified),
-        rejects=malformed.select(
-            "role", "table_name", "file_date", "file_path", "line_no", "raw_line", "reason"
-        ),
+        rejects=rejected,
         file_counts=file_counts,
         summary=summary,
         staging=staging,

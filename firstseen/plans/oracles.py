@@ -284,6 +284,13 @@ SELECT table_name, file_date, file_path, line_no, raw_line FROM e t
 WHERE line_kind = 'record' AND role = 'TODAY' AND NOT EXISTS (
   SELECT 1 FROM e p WHERE p.role = 'PRIOR' AND p.line_kind = 'record' AND p.table_name = t.table_name
     AND p.file_date = t.file_date AND p.dedup_key = t.dedup_key)"""),
+    "kept_baseline_anti_join": _changes("""
+SELECT table_name, file_date, file_path, line_no, raw_line FROM c t
+WHERE line_kind = 'record' AND role = 'TODAY' AND NOT EXISTS (
+  SELECT 1 FROM c p WHERE p.role = 'PRIOR' AND p.line_kind = 'record' AND p.table_name = t.table_name
+    AND p.file_date = t.file_date
+    AND json_extract_string(p.raw_line, '$.ChangeData.id') = json_extract_string(t.raw_line, '$.ChangeData.id')
+    AND json_extract_string(p.raw_line, '$.ChangeData.ChangeDateTime') = json_extract_string(t.raw_line, '$.ChangeData.ChangeDateTime'))"""),
     "key_membership": _events("""
 SELECT table_name, file_date, file_path, line_no, first_rank = 0 AS is_known,
        CASE WHEN first_rank = 0 THEN first_path END AS first_path,
@@ -380,3 +387,6 @@ FROM ({_SUMMARY_ROWS})"""),
         "SELECT table_name, file_date, sequence, file_path, line_no, raw_line FROM kept"
     ),
 }
+# The same results by other routes.
+ORACLES["prefiltered_anti_join"] = ORACLES["baseline_anti_join"]
+ORACLES["kept_baseline_run"] = ORACLES["publish_merge"]

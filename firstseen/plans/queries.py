@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 
 from firstseen.config import normalise_tables
 from firstseen.functions import keys, lines, names
-from firstseen.operators import counts, first_seen
-from firstseen.operators.prepare import rejects
+from firstseen.operators import counts, first_seen, prefilter
+from firstseen.operators.prepare import prepare, records, rejects
 from firstseen.plans import bindings as b
 from firstseen.plans import reports
 from firstseen.plans.daily import run_daily
+from firstseen.plans.kept_baseline import KeptBaseline
 from firstseen.sources import feeds
 from firstseen.sources.generate import feed_path, generate_records, write_feed
 from firstseen.sources.ndjson import scan_numbered
@@ -25,6 +26,7 @@ from firstseen.streaming.incremental import IncrementalDedup
 Query = Callable[[SparkSession, str], DataFrame]
 
 TABLES = list(b.CHANGE_CONFIG.tables)
+KEPT_CONFIG = replace(b.CHANGE_CONFIG, keep_baseline=True, baseline_buckets=8)
 # A user's list: spaces, mixed case, a repeat, a blank. It leaves two tables out.
 MESSY_TABLES = [" Click ", "PURCHASE", "", "click", "view"]
 
@@ -303,6 +305,21 @@ def baseline_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select(*PLACE, "raw_line")
 
 
+def prefiltered_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same behind a Bloom filter of the published keys."""
+    kept = prefilter.prefiltered_anti_join(b.events(spark, sf_dir), b.EVENT_CONFIG)
+    return kept.select(*PLACE, "raw_line")
+
+
+def kept_baseline_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of the written feed that are in no published file, by the kept keys."""
+    baseline = KeptBaseline(spark, b.change_published(spark, sf_dir), KEPT_CONFIG, TABLES)
+    baseline.refresh()
+    lines_of = feeds.today_lines(spark, b.change_feed(spark, sf_dir), TABLES)
+    new = baseline.anti_join(records(prepare(lines_of, b.CHANGE_CONFIG)))
+    return new.select("table_name", "file_date", b.short_path(F.col("file_path")).alias("file_path"), "line_no", "raw_line")
+
+
 def key_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = first_seen.key_membership(b.events(spark, sf_dir), b.EVENT_CONFIG)
     return found.select(*PLACE, "is_known", "first_path", "first_line_no")
@@ -422,6 +439,15 @@ def publish_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _published_lines(spark, _run(spark, sf_dir, publish_mode="merge"))
 
 
+def kept_baseline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published lines after two runs over the same feed with kept keys; the second adds none."""
+    published = b.change_published(spark, sf_dir)
+    for _ in range(2):
+        with run_daily(spark, b.change_feed(spark, sf_dir), published, KEPT_CONFIG):
+            pass
+    return _published_lines(spark, published)
+
+
 def publish_single_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One file per table and date, old lines first; their place in it."""
     root = _run(spark, sf_dir, publish_mode="merge", single_file=True)
@@ -509,6 +535,8 @@ QUERIES: dict[str, Query] = {
         throughput,
         baseline_index,
         baseline_anti_join,
+        prefiltered_anti_join,
+        kept_baseline_anti_join,
         key_membership,
         within_batch_dedup,
         full_dedup,
@@ -525,6 +553,7 @@ QUERIES: dict[str, Query] = {
         merged_output,
         publish_replace,
         publish_merge,
+        kept_baseline_run,
         publish_single_merge,
         mixed_case_run,
         completion_manifest,

@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import re
 from collections.abc import Iterator, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -209,6 +210,11 @@ def baseline_lines(
         lines = scan_numbered(spark, paths, "*.json", keep)
     else:
         lines = read_lines(spark, paths, "*.json", keep)
+    return _prior(lines, root, numbered)
+
+
+def _prior(lines: DataFrame, root: str, numbered: bool) -> DataFrame:
+    """Add the columns a published file's place gives."""
     table, date = _layout(root, F.col("file_path"))
     return (
         lines.withColumn("role", F.lit(PRIOR))
@@ -220,12 +226,19 @@ def baseline_lines(
     )
 
 
+def lines_of_published(spark: SparkSession, output_dir: str, paths: Sequence[str]) -> DataFrame:
+    """Numbered lines of some published files, by the paths that listings give."""
+    lines = scan_numbered(spark, [unquote(path) for path in paths], "*.json")
+    return _prior(lines, Storage(spark, output_dir).qualified_path(output_dir), numbered=True)
+
+
 def _files(spark: SparkSession, paths: Sequence[str], name_glob: str, keep: Column) -> DataFrame:
     """File names and sizes from the listing; no content is read."""
     return selected_files(spark, paths, name_glob, keep).select(
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_name").alias("file_name"),
         F.col("length").alias("file_bytes"),
+        F.col("modificationTime").alias("modified"),
     )
 
 
@@ -254,16 +267,17 @@ def today_files(
     )
 
 
-def baseline_files(
+def published_files(
     spark: SparkSession, output_dir: str, tables: Sequence[str], dates: Sequence[dt.date] = ()
 ) -> DataFrame:
-    """The published files of a run, by table (any case) and path."""
+    """The published files of a run with size and time, in no order."""
+    columns = [*FILE_COLUMNS, "modified"]
     paths = _published_paths(spark, output_dir, dates)
     if not paths:
         return spark.createDataFrame(
             [],
             "role STRING, table_name STRING, file_date DATE, sequence INT, file_path STRING, "
-            "file_name STRING, file_bytes BIGINT",
+            "file_name STRING, file_bytes BIGINT, modified TIMESTAMP",
         )
     root = Storage(spark, output_dir).qualified_path(output_dir)
     table, date = _layout(root, F.col("_metadata.file_path"))
@@ -275,6 +289,13 @@ def baseline_files(
         .withColumn("table_name", table)
         .withColumn("file_date", date)
         .withColumn("sequence", F.lit(1))
-        .select(*FILE_COLUMNS)
-        .orderBy(F.lower("table_name"), "file_path")
+        .select(*columns)
     )
+
+
+def baseline_files(
+    spark: SparkSession, output_dir: str, tables: Sequence[str], dates: Sequence[dt.date] = ()
+) -> DataFrame:
+    """The published files of a run, by table (any case) and path."""
+    files = published_files(spark, output_dir, tables, dates).select(*FILE_COLUMNS)
+    return files.orderBy(F.lower("table_name"), "file_path")
