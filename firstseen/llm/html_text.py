@@ -4,11 +4,13 @@ A page is read into a tree of block elements. Elements that by name or role are
 menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles or
 comments are cut first. A class or id that says so only marks an element, since
 layouts (``no-sidebar``) and topics (``related-work``) use the same words: what the
-element holds of the page decides. Each node then has a density: its characters
+element holds of the page decides. So it does for forms, menus and the like around
+a whole page. Each node then has a density: its characters
 per tag, lowered where links hold much of the text, against the page's own share
 of link text. Nodes are looked at from the body down, along paths whose nodes
 are all at least as dense as the body; the one with the largest sum of its
-children's densities is the main text. An article around it is taken whole.
+children's densities is the main text. An article around it is taken whole; where
+there is none, paragraphs and headings next to it belong to it as well.
 """
 
 from __future__ import annotations
@@ -31,9 +33,13 @@ INLINE = frozenset(
     "span strike strong sub sup time tt u var wbr br img".split()
 )
 CUT = frozenset(
-    "head script style textarea title noscript iframe template svg math xmp noembed noframes nav footer aside form "
-    "menu button select option dialog object video audio canvas".split()
+    "head script style textarea title noscript iframe template svg math xmp noembed noframes button select option "
+    "dialog object video audio canvas".split()
 )
+# Cut as well, unless the page's text is inside.
+FURNITURE = frozenset("nav footer aside form menu".split())
+HEAD = frozenset("head base basefont bgsound link meta title noscript noframes style script template".split())
+PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
 CUT_OUTSIDE_ARTICLE = frozenset(["header"])
 KEEP = frozenset("html body main article".split())
 CUT_ROLES = frozenset("navigation banner complementary contentinfo search dialog alert menu menubar form".split())
@@ -60,7 +66,7 @@ LANDMARKS = frozenset("h1 main article".split())
 # around the text; it is one if what lies outside is less than that part of it.
 LARGE, LEFT_OUTSIDE = 0.5, 0.25
 _TAG = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*+(?:>|\Z)"
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*+(?:>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)"
     r"|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*+)(?P<rest2>[^>]*+)(?:>|\Z)"
     r"|</[^>]*+(?:>|\Z)",
@@ -70,11 +76,11 @@ _MARKS = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'
 
 
 class _Node:
-    __slots__ = ("name", "parent", "cut", "mark", "in_article", "chars", "tags", "link_chars", "links", "landmarks", "first", "last", "sum")
+    __slots__ = ("name", "parent", "cut", "mark", "in_article", "chars", "tags", "link_chars", "links", "landmarks", "paragraphs", "first", "last", "sum")
 
     def __init__(self, name: str, parent: _Node | None, cut: bool, mark: int, first: int):
         self.name, self.parent, self.cut, self.mark, self.first, self.last = name, parent, cut, mark, first, -1
-        self.landmarks = int(name in LANDMARKS)
+        self.landmarks, self.paragraphs = int(name in LANDMARKS), int(name in PARAGRAPHS)
         self.in_article = name in ("article", "main") or (parent is not None and parent.in_article)
         self.chars = self.tags = self.link_chars = self.links = 0
         self.sum = 0.0
@@ -109,11 +115,12 @@ def _strength(value: str) -> int:
 
 
 def _kind(name: str, rest: str, parent: _Node | None) -> tuple[bool, int]:
-    """Is an element cut, and how strongly is it marked by class or id?"""
-    if parent is not None and parent.cut:
-        return True, 0
-    if name in CUT or (name in CUT_OUTSIDE_ARTICLE and not (parent and parent.in_article)):
+    """Is an element cut, and how strongly is it marked: 1 or 2 by class or id, 3 by
+    name, 4 by its role or as a form, which may be around the whole page?"""
+    if parent is not None and parent.cut or name in CUT:
         return True, 0
+    if name in FURNITURE or (name in CUT_OUTSIDE_ARTICLE and not (parent and parent.in_article)):
+        return False, 4 if name == "form" else 3
     if name in KEEP or "=" not in rest:
         return False, 0
     mark = 0
@@ -121,7 +128,7 @@ def _kind(name: str, rest: str, parent: _Node | None) -> tuple[bool, int]:
         value = values[0] or values[1] or values[2]
         if key.lower() == "role":
             if value.strip().lower() in CUT_ROLES:
-                return True, 0
+                return False, 4
         else:
             mark = max(mark, _strength(value))
     return False, mark
@@ -135,18 +142,30 @@ class _Page:
         self.nodes = [self.root]
         # Parts of text; None ends a block.
         self.parts: list[str | None] = []
-        self._open: list[tuple[str, _Node | None]] = [("html", self.root)]
+        self._open: list[tuple[str, _Node | None]] = []
+        # Where the open elements of a name are, and the open block elements.
+        self._places: dict[str, list[int]] = {}
+        self._blocks: list[int] = []
+        self._push("html", self.root)
         self._links = 0
         self._read(html)
         while self._open:
             self._pop()
 
     def _node(self) -> _Node:
-        return next(node for _, node in reversed(self._open) if node is not None)
+        return self._open[self._blocks[-1]][1]
+
+    def _push(self, name: str, node: _Node | None) -> None:
+        self._places.setdefault(name, []).append(len(self._open))
+        if node is not None:
+            self._blocks.append(len(self._open))
+        self._open.append((name, node))
 
     def _pop(self) -> None:
         name, node = self._open.pop()
+        self._places[name].pop()
         if node is not None:
+            self._blocks.pop()
             self.parts.append(None)
             node.last = len(self.parts)
         elif name == "a":
@@ -154,17 +173,23 @@ class _Page:
 
     def _close(self, name: str, until: frozenset | set = frozenset()) -> None:
         """Close the innermost element of this name, if none of ``until`` is further in."""
-        for k in range(len(self._open) - 1, 0, -1):
-            found, node = self._open[k]
-            if found == name:
-                while len(self._open) > k:
-                    self._pop()
-                return
-            if found in until or (name in INLINE and node is not None):
-                return
+        places = self._places.get(name)
+        if not places or not places[-1]:
+            return
+        at = places[-1]
+        if any(self._places[other][-1] > at for other in until if self._places.get(other)):
+            return
+        if name in INLINE and self._blocks[-1] > at:
+            return
+        while len(self._open) > at:
+            self._pop()
 
     def _text(self, text: str) -> None:
         node = self._node()
+        if node.name == "head" and not text.isspace():
+            # Text has no place in the head: the body begins.
+            self._close("head")
+            node = self._node()
         if node.cut or not text:
             return
         text = unescape(text)
@@ -175,20 +200,21 @@ class _Page:
             node.link_chars += size
 
     def _start(self, name: str, rest: str) -> None:
+        if name not in HEAD and self._node().name == "head":
+            self._close("head")
         if name in INLINE:
             node = self._node()
             if name == "br":
                 self._text(" ")
             elif name == "a":
-                if any(found == "a" for found, _ in self._open):
-                    self._close("a")
+                self._close("a")
                 node.tags += 1
                 node.links += 1
                 self._links += 1
             if name not in VOID:
-                self._open.append((name, None))
+                self._push(name, None)
             return
-        if name in ("html", "body") and any(found == name for found, _ in self._open):
+        if name in ("html", "body") and self._places.get(name):
             return
         self._close("p", {"button", "td", "th", "caption", "object"})
         if name in CLOSED_BY_SAME:
@@ -201,7 +227,7 @@ class _Page:
             return
         node = _Node(name, parent, *_kind(name, rest, parent), len(self.parts))
         self.nodes.append(node)
-        self._open.append((name, node))
+        self._push(name, node)
 
     def _read(self, html: str) -> None:
         at, size = 0, len(html)
@@ -236,6 +262,7 @@ class _Page:
                 above.link_chars += node.link_chars
                 above.links += node.links
                 above.landmarks += node.landmarks
+                above.paragraphs += node.paragraphs
         body = next((node for node in self.nodes if node.name == "body"), self.root)
         density = {}
         for node in self.nodes:
@@ -264,30 +291,95 @@ class _Page:
             return bool(other)
         return page - own >= LEFT_OUTSIDE * own
 
+    def _cut_furniture(self) -> None:
+        """Cut elements that by name or role are furniture, but not around the text.
+
+        The text is what lies in no such element. An element holds the page's text
+        if hardly any lies outside, and its headings or article inside.
+        """
+        named = [node for node in self.nodes if node.mark >= 3]
+        if not named:
+            return
+        # Unlinked characters, landmarks and paragraphs in no named element further in.
+        free = {}
+        for node in reversed(self.nodes):
+            if node.cut:
+                continue
+            own = free.setdefault(node, [0, 0, 0])
+            own[0] += node.chars - node.link_chars
+            own[1] += node.name in LANDMARKS
+            own[2] += node.name in PARAGRAPHS
+            if node.mark < 3 and node.parent is not None:
+                above = free.setdefault(node.parent, [0, 0, 0])
+                for k in range(3):
+                    above[k] += own[k]
+        outside = list(free[self.root])
+        for node in named:
+            chars, landmarks, paragraphs = free[node]
+            if outside[0] >= LEFT_OUTSIDE * chars or outside[1] or not (landmarks or paragraphs):
+                continue
+            path, above = [], node
+            while above is not None:
+                if above.mark >= 3:
+                    path.append(above)
+                above = above.parent
+            # Without a heading only forms and roles are taken for the page's frame.
+            if landmarks or all(one.mark == 4 for one in path):
+                for one in path:
+                    outside = [x + y for x, y in zip(outside, free[one], strict=True)]
+                    one.mark = 0
+        for node in self.nodes:
+            node.cut = node.cut or node.mark >= 3 or (node.parent is not None and node.parent.cut)
+
+    def _with_neighbours(self, best: _Node) -> _Node:
+        """The subtree of the main text with the paragraphs next to it.
+
+        Around the densest subtree up to the body, what holds a paragraph or a heading
+        and is no list of links belongs to the text; what else is there is cut.
+        """
+        children: dict[_Node, list[_Node]] = {}
+        for node in self.nodes[1:]:
+            if not node.cut:
+                children.setdefault(node.parent, []).append(node)
+        top, other = best, []
+        below, above = best, best.parent
+        while above is not None and below.name != "body":
+            for node in children[above]:
+                if node is below or not node.chars:
+                    continue
+                if node.paragraphs and 2 * node.link_chars < node.chars:
+                    top = above
+                else:
+                    other.append(node)
+            below, above = above, above.parent
+        for node in other:
+            node.cut = True
+        return top
+
     def main(self) -> _Node:
         """The node that holds the main text."""
+        self._cut_furniture()
         marked = any(node.mark for node in self.nodes)
-        if marked:
-            held = [(node.chars, node.tags, node.link_chars, node.links, node.landmarks) for node in self.nodes]
+        held = [(node.chars, node.tags, node.link_chars, node.links, node.landmarks, node.paragraphs) for node in self.nodes]
         best = self._densest()
         if marked:
             around, above = set(), best
             while above is not None:
                 around.add(above)
                 above = above.parent
-            furniture = {node for node in self.nodes if node.mark and self._furniture(node, around)}
+            furniture = {node for node in self.nodes if node.mark and not node.cut and self._furniture(node, around)}
             if furniture:
                 for node, values in zip(self.nodes, held, strict=True):
                     node.cut = node.cut or node in furniture or (node.parent is not None and node.parent.cut)
-                    node.chars, node.tags, node.link_chars, node.links, node.landmarks = values
+                    node.chars, node.tags, node.link_chars, node.links, node.landmarks, node.paragraphs = values
                     node.sum = 0.0
                 best = self._densest()
-        above = best
+        article, above = None, best
         while above is not None:
             if above.name in ("article", "main"):
-                best = above
+                article = above
             above = above.parent
-        return best
+        return article or self._with_neighbours(best)
 
     def blocks(self, node: _Node) -> Iterator[str]:
         parts, at = [], node.first
@@ -326,7 +418,8 @@ def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars: one row per page, without a shuffle.
 
     A null page is empty; null ids and addresses pass through; rows that repeat
-    stay; other columns are left behind; an empty table gives no row.
+    stay; other columns are left behind; an empty table gives no row. Pages are read
+    whole, in time and memory that grow with their length, however deep or damaged.
     """
     columns = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), "html")
     return columns.mapInArrow(_extract, "page_id bigint, url string, text string, n_chars bigint")

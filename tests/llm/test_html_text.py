@@ -5,6 +5,7 @@ from __future__ import annotations
 import html as references
 import os
 import re
+import time
 
 import pytest
 
@@ -56,6 +57,44 @@ def test_classes_of_layouts_and_topics(page, text):
     assert html_text.main_text(page) == text
 
 
+AROUND = [
+    # A head that is not closed.
+    (f"<html><head><title>x</title><body><article>{TEXT}</article></body></html>", READ),
+    (f"<head><title>x</title><p>{LONG}</p><p>{LONG}</p>", f"{LONG}\n\n{LONG}"),
+    (f"<head><meta charset=utf-8>{LONG}<p>{LONG}</p>", f"{LONG}\n\n{LONG}"),
+    # Furniture around the whole page; what is inside as such still goes.
+    (f"<body><form id=aspnetForm><nav><a href=x>Menu</a> {LONG}</nav>{TEXT}<footer>{LONG}</footer></form></body>", READ),
+    (f"<body><form><div><p>{LONG}</p><p>{LONG}</p></div><input><button>Go</button></form></body>", f"{LONG}\n\n{LONG}"),
+    (f"<body><nav><a href=x>M</a></nav><div role=complementary><article>{TEXT}</article></div><footer>{LONG}</footer></body>", READ),
+    (f"<body><aside><form><article>{TEXT}</article></form><aside>{LONG}</aside></aside></body>", READ),
+    (f"<body>{TEXT}<form><p>{LONG}</p></form><div role=complementary><p>{LONG}</p></div></body>", READ),
+    (f"<body><p>{LONG}</p><footer>{f'<p>{LONG}</p>' * 9}</footer></body>", LONG),
+    (f"<body><header><h1>Site</h1></header><div><p>{LONG}</p><p>{LONG}</p></div></body>", f"{LONG}\n\n{LONG}"),
+    # Empty comments.
+    (f"<article><!--><p>{LONG}</p><!---><p>{LONG}</p><!-- x --></article>", f"{LONG}\n\n{LONG}"),
+    # A title and a lead outside the densest element.
+    (f"<body><div class=hero><h1>T</h1><p>lead</p></div><div class=body>{f'<p>{LONG}</p>' * 3}</div></body>", f"T\n\nlead\n\n{LONG}\n\n{LONG}\n\n{LONG}"),
+    (f"<body><div><a href=x>Home</a> <a href=y>Other</a></div><div><h1>T</h1></div><div>{f'<p>{LONG}</p>' * 2}</div><div><p><a href=z>{LONG}</a></p></div><div>Top</div></body>", f"T\n\n{LONG}\n\n{LONG}"),
+]
+
+
+@pytest.mark.parametrize(("page", "text"), AROUND)
+def test_what_is_around_the_text(page, text):
+    assert html_text.main_text(page) == text
+
+
+N = 64_000
+DEEP = ["<font>x" * N, "<div>" * N + "</b></section>" * N, "<b><div>x</b>" * N, "<p><button>" + "<div>" * N, "<a href=x>" * N,
+        "<form><div>x" * (N // 2), "<div>x" * N + "</div><p>y" * N, "<ul><li>x" * (N // 2)]
+
+
+@pytest.mark.parametrize("page", DEEP, ids=range(len(DEEP)))
+def test_deep_pages_take_time_by_length(page):
+    start = time.perf_counter()
+    html_text.main_text(page)
+    assert time.perf_counter() - start < 6
+
+
 @pytest.mark.parametrize("page", ["<" * 3000, '<a b="' * 2000, "<div>" * 3000 + "x", "<p>" * 3000, "</b>" * 3000, "<!--" * 2000, "<a " + "x" * 50_000])
 def test_damage_ends(page):
     html_text.main_text(page)
