@@ -10,7 +10,7 @@ pooling adjacent violators over counts on a fixed grid.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from operator import eq
 
@@ -133,35 +133,44 @@ def _moments(stats: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return mean, np.where(scale > 1e-9, scale, 1.0)
 
 
-def _normal_equations(rows: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray, float]:
-    """Z'Z, Z'y and the number of rows, from one partial sum per partition."""
+def _normal_equations(rows: DataFrame, model: Model) -> dict[int, tuple[np.ndarray, np.ndarray, float]]:
+    """Z'Z, Z'y and the number of rows by fold, from one partial sum per partition."""
     size = len(model.phases) + 1
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        gram = np.zeros((size, size + 1))
+        grams: dict[int, np.ndarray] = {}
         for batch in batches:
-            if len(batch):
-                z = model.features(np.stack(batch["stats"].to_numpy()))
-                gram += z.T @ np.hstack([z, batch[["label"]].to_numpy()])
-        if gram.any():
-            yield pd.DataFrame({"line": np.arange(size), "sums": list(gram)})
+            for number, part in batch.groupby("fold"):
+                z = model.features(np.stack(part["stats"].to_numpy()))
+                gram = grams.setdefault(int(number), np.zeros((size, size + 1)))
+                gram += z.T @ np.hstack([z, part[["label"]].to_numpy()])
+        for number, gram in grams.items():
+            yield pd.DataFrame({"fold": number, "line": np.arange(size), "sums": list(gram)})
 
     def summed(lines: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"line": lines["line"].iloc[:1], "sums": [np.sum(np.stack(lines["sums"].to_numpy()), axis=0)]})
+        total = np.sum(np.stack(lines["sums"].to_numpy()), axis=0)
+        return pd.DataFrame({"fold": lines["fold"].iloc[:1], "line": lines["line"].iloc[:1], "sums": [total]})
 
-    schema = "line bigint, sums array<double>"
-    parts = rows.select("stats", "label").mapInPandas(partial, schema)
-    gram = np.zeros((size, size + 1))
-    for row in parts.groupBy("line").applyInPandas(summed, schema).collect():
-        gram[row.line] = row.sums
-    return gram[:, :size], gram[:, size], gram[size - 1, size - 1]
+    schema = "fold bigint, line bigint, sums array<double>"
+    parts = rows.select(F.col("fold").cast("bigint").alias("fold"), "stats", "label").mapInPandas(partial, schema)
+    grams: dict[int, np.ndarray] = {}
+    for row in parts.groupBy("fold", "line").applyInPandas(summed, schema).collect():
+        grams.setdefault(row.fold, np.zeros((size, size + 1)))[row.line] = row.sums
+    return {number: (gram[:, :size], gram[:, size], gram[size - 1, size - 1]) for number, gram in grams.items()}
+
+
+def _ridge(parts: Iterable[tuple[np.ndarray, np.ndarray, float]]) -> np.ndarray:
+    gram, target, n = (sum(column) for column in zip(*parts, strict=True))
+    return np.linalg.solve(gram + RIDGE * n * np.eye(len(gram)), target)
 
 
 def fit(stats: DataFrame, labels: DataFrame, seed: int = 7) -> Model:
     """Learn from all labelled rows outside the held-out part.
 
     Rows without label or id are not learnt from; a document labelled twice counts
-    twice. Without any labelled row every score is one half.
+    twice. The scale is calibrated by cross-fitting: each row of a fold by weights
+    of the other folds, or of its own where no other has labels. Without any
+    labelled row every score is one half.
     """
     mean, scale = _moments(stats)
     random = np.random.default_rng(seed)
@@ -175,27 +184,29 @@ def fit(stats: DataFrame, labels: DataFrame, seed: int = 7) -> Model:
         "doc_id",
     ).withColumn("fold", fold(F.col("doc_id")))
     labelled = staged(labelled.filter(F.col("fold") != HELD_OUT), "labelled-statistics")
-    gram, target, n = _normal_equations(labelled.filter(F.col("fold") != CALIBRATION), model)
-    if not n:
+    parts = _normal_equations(labelled, model)
+    if not parts:
         return model
-    weights = np.linalg.solve(gram + RIDGE * n * np.eye(len(gram)), target)
+    weights = _ridge(parts.values())
+    without = {number: [part for other, part in parts.items() if other != number] for number in parts}
+    crossed = {number: _ridge(others) if others else weights for number, others in without.items()}
     model = Model(mean, scale, directions, phases, weights, model.knots, half)
-    knots, values = _calibrate(labelled.filter(F.col("fold") == CALIBRATION), model)
-    return Model(mean, scale, directions, phases, weights, knots, values) if len(knots) else model
+    return Model(mean, scale, directions, phases, weights, *_calibrate(labelled, model, crossed))
 
 
-def _calibrate(rows: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
+def _calibrate(rows: DataFrame, model: Model, weights: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Knots of the isotonic scale, from counts by cell of the grid."""
 
     def cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if len(batch):
-                raw = np.clip(model.raw(np.stack(batch["stats"].to_numpy())), GRID_LOW, GRID_HIGH)
+            for number, part in batch.groupby("fold"):
+                found = model.features(np.stack(part["stats"].to_numpy())) @ weights[int(number)]
+                raw = np.clip(found, GRID_LOW, GRID_HIGH)
                 cell = ((raw - GRID_LOW) / (GRID_HIGH - GRID_LOW) * GRID).astype(np.int64)
-                yield pd.DataFrame({"cell": cell, "label": batch["label"]})
+                yield pd.DataFrame({"cell": cell, "label": part["label"].to_numpy()})
 
     counted = (
-        rows.select("stats", "label")
+        rows.select("fold", "stats", "label")
         .mapInPandas(cells, "cell bigint, label double")
         .groupBy("cell")
         .agg(F.count("*").alias("n"), F.avg("label").alias("mean"))

@@ -143,15 +143,19 @@ def near_duplicates(documents: DataFrame, radius: int = RADIUS, chunk: int = CHU
     """doc_id, fingerprint (hex), component_id: one row per document.
 
     Equal fingerprints are one node, so copies cost nothing. A null text is empty.
-    Rows with equal doc_id are one document each; a null doc_id never names a
-    class that holds others. An empty table gives no row.
+    Rows with equal doc_id are one document each. Rows without doc_id link like any
+    other but name no class; one of such rows alone has none. Texts are whole; a
+    task's memory grows with its longest text. An empty table gives no row.
     """
     prints = staged(fingerprints(documents), "fingerprints")
     reps = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "fingerprint-classes")
-    joined = components(links(reps.filter("rep IS NOT NULL"), radius, chunk), "simhash-components")
-    classed = reps.join(joined, reps.rep == joined.node, "left").select(
-        "fp", F.coalesce("component", "rep").alias("component_id")
-    )
+    # Fingerprints link, whoever has them; the class is named by the least id in it.
+    linked = components(links(reps.select("fp", F.col("fp").alias("rep")), radius, chunk), "simhash-components")
+    members = linked.join(reps, linked.node == reps.fp).select("fp", "component", "rep")
+    names = members.groupBy("component").agg(F.min("rep").alias("component_id"))
+    named = members.select("fp", "component").join(names, "component").select("fp", "component_id", F.lit(True).alias("linked"))
+    component = F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("rep")).alias("component_id")
+    classed = reps.join(named, "fp", "left").select("fp", component)
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return prints.join(classed, "fp").select("doc_id", hexed, "component_id")
 

@@ -33,16 +33,18 @@ def test_normal_equations_are_those_of_all_rows(spark):
     random = np.random.default_rng(5)
     stats = random.normal(size=(300, len(quality.STATISTICS)))
     labels = random.integers(0, 2, 300).astype(float)
-    rows = [([float(x) for x in s], float(y)) for s, y in zip(stats, labels, strict=True)]
-    frame = spark.createDataFrame(rows, "stats array<double>, label double").repartition(7)
+    rows = [([float(x) for x in s], float(y), k % 3) for k, (s, y) in enumerate(zip(stats, labels, strict=True))]
+    frame = spark.createDataFrame(rows, "stats array<double>, label double, fold int").repartition(7)
     size = 16
     model = quality.Model(
         np.zeros(stats.shape[1]), np.ones(stats.shape[1]), random.normal(size=(stats.shape[1], size)),
         random.uniform(size=size), np.zeros(size + 1), np.array([0.0, 1.0]), np.array([0.5, 0.5]),
     )
-    gram, target, n = quality._normal_equations(frame, model)
-    z = model.features(stats)
-    assert np.allclose(gram, z.T @ z) and np.allclose(target, z.T @ labels) and n == 300
+    found = quality._normal_equations(frame, model)
+    assert sorted(found) == [0, 1, 2]
+    for k, (gram, target, n) in found.items():
+        z = model.features(stats[k::3])
+        assert np.allclose(gram, z.T @ z) and np.allclose(target, z.T @ labels[k::3]) and n == 100
 
 
 def test_cosines_approximate_a_gaussian_kernel():
@@ -89,3 +91,52 @@ def test_odd_rows(spark):
         assert quality.keep_good(documents, given_labels).columns == documents.columns
     assert quality.classify(documents.limit(0), labels).count() == 0
     assert quality.keep_good(documents.limit(0), labels.limit(0)).count() == 0
+
+
+def brute_scores(stats, folds, labels):
+    """Scores by plain least squares over all rows, and by isotonic cells."""
+    mean, scale = stats.mean(axis=0), stats.std(axis=0)
+    random = np.random.default_rng(7)
+    directions = random.normal(size=(stats.shape[1], quality.FEATURES)) / quality.WIDTH
+    phases = random.uniform(0, 2 * np.pi, quality.FEATURES)
+    scaled = np.clip((stats - mean) / np.where(scale > 1e-9, scale, 1.0), -6, 6)
+    z = np.hstack([np.cos(scaled @ directions + phases) * np.sqrt(2 / quality.FEATURES), np.ones((len(stats), 1))])
+
+    def ridge(rows):
+        return np.linalg.solve(z[rows].T @ z[rows] + quality.RIDGE * len(rows) * np.eye(z.shape[1]), z[rows].T @ labels[rows])
+
+    learnt = np.flatnonzero(~np.isnan(labels) & (folds != quality.HELD_OUT))
+    crossed = np.zeros(len(stats))
+    for k in np.unique(folds[learnt]):
+        others = learnt[folds[learnt] != k]
+        crossed[learnt[folds[learnt] == k]] = z[learnt[folds[learnt] == k]] @ ridge(others if len(others) else learnt)
+    width = (quality.GRID_HIGH - quality.GRID_LOW) / quality.GRID
+    cell = ((np.clip(crossed[learnt], quality.GRID_LOW, quality.GRID_HIGH) - quality.GRID_LOW) / width).astype(int)
+    cells = np.unique(cell)
+    values = quality.isotonic(np.array([np.sum(cell == c) for c in cells], float), np.array([labels[learnt][cell == c].mean() for c in cells]))
+    return np.interp(z @ ridge(learnt), quality.GRID_LOW + (cells + 0.5) * width, values)
+
+
+@pytest.mark.parametrize("only", [None, (2, 3, 4), (3,), (1,)])
+def test_scores_against_plain_least_squares(spark, tmp_path, only):
+    """The registered query, with labels in some folds only."""
+    from firstseen.llm.queries import QUERIES
+
+    small_batches(spark)
+    documents = table(spark, SF_DIR, "documents").filter("doc_id < 400")
+    ids = [r.doc_id for r in documents.select("doc_id").collect()]
+    folds = {d: zlib.crc32(str(d).encode()) % 5 for d in ids}
+    marked = [(d, int(d % 3 > 0)) for d in ids if d % 2 and (only is None or folds[d] in (*only, 0))]
+    labels = spark.createDataFrame(marked, "doc_id bigint, quality int")
+    documents.write.parquet(str(tmp_path / "documents.parquet"))
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    result = QUERIES["op1_quality"](spark, str(tmp_path))
+    assert result.columns == ["doc_id", "held_out", "score", "predicted"]
+    found = {r.doc_id: r.score for r in result.collect()}
+    texts = {r.doc_id: r.text or "" for r in documents.collect()}
+    order = sorted(texts)
+    stats = np.array([quality.statistics(texts[d]) for d in order], float)
+    known = dict(marked)
+    expected = brute_scores(stats, np.array([folds[d] for d in order]), np.array([known.get(d, np.nan) for d in order], float))
+    assert np.allclose([found[d] for d in order], expected, atol=1e-6)
+    assert only == (1,) or len(set(np.round(expected, 6))) > 3

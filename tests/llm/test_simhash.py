@@ -82,6 +82,15 @@ def test_near_duplicates(spark, rows, chunk):
     assert found == sorted((d, f"{p:016x}", int(c)) for (d, p), c in zip(known, labels, strict=True))
 
 
+@pytest.mark.parametrize("middle", [None, 3])
+def test_rows_without_id_link_others(spark, monkeypatch, middle):
+    """Fingerprints 1 - middle - 2 in a chain of which the ends are too far apart."""
+    prints = [(1, 0), (middle, 0b1111), (2, 0b11111111), (None, 1 << 40 | 0xFFFFF << 20)]
+    monkeypatch.setattr(simhash, "fingerprints", lambda documents: spark.createDataFrame(prints, "doc_id bigint, fp bigint"))
+    found = {(r.doc_id, r.fingerprint): r.component_id for r in simhash.near_duplicates(None).collect()}
+    assert found == {(d, f"{p:016x}"): None if k == 3 else 1 for k, (d, p) in enumerate(prints)}
+
+
 def test_first_of_each_class_stays(spark, rows):
     small_batches(spark)
     frame = spark.createDataFrame(rows, "doc_id bigint, text string, first string")
