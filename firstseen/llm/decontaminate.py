@@ -10,7 +10,8 @@ Blocks whose summed maxima stay below their least threshold are passed over for
 many texts at a time; in the others the pointer algorithm runs. What it retrieves is
 verified by the five-word shingles of the whole text, of the item and of its
 question (up to its first line break, else its first half) and its answer (the
-rest).
+rest). An item of fewer words is one shingle of its own length. In scripts that
+are written without spaces each character is a word.
 """
 
 from __future__ import annotations
@@ -44,19 +45,33 @@ PASS_BYTES = 32 << 20
 # Terms of texts whose bounds are computed together; a text with more goes alone.
 TERMS_TOGETHER = 50_000
 
-_words = re.compile(r"\w+").findall
+# Ranges of characters that are written without spaces between words
+# (Thai and Lao, Burmese, Khmer, kana, Han).
+UNSPACED = (
+    (0x0E00, 0x0EFF),
+    (0x1000, 0x109F),
+    (0x1780, 0x17FF),
+    (0x3040, 0x30FF),
+    (0x3400, 0x4DBF),
+    (0x4E00, 0x9FFF),
+    (0xF900, 0xFAFF),
+    (0x20000, 0x3FFFF),
+)
+_alone = "".join(f"{chr(a)}-{chr(b)}" for a, b in UNSPACED)
+_words = re.compile(rf"[{_alone}]|[^\W{_alone}]+").findall
 
 
 def words(text: str) -> list[str]:
     return _words(text.lower())
 
 
-def shingles(sequence: list[str]) -> set[str]:
-    """Five-word shingles; of fewer words the whole; of none nothing."""
-    return set(_shingles(sequence))
+def shingles(sequence: list[str], width: int = SHINGLE_WORDS) -> set[str]:
+    """The shingles of a text for items of that width; of fewer words none."""
+    return {" ".join(sequence[k : k + width]) for k in range(len(sequence) - width + 1)}
 
 
 def _shingles(sequence: list[str]) -> Iterator[str]:
+    """An item's shingles: of five words, or the whole of a shorter one."""
     if sequence:
         for k in range(max(1, len(sequence) - SHINGLE_WORDS + 1)):
             yield " ".join(sequence[k : k + SHINGLE_WORDS])
@@ -67,6 +82,7 @@ class Item:
     """What verifying an item needs."""
 
     item_id: int | None
+    width: int
     whole: frozenset
     question: frozenset
     answer: frozenset
@@ -78,7 +94,8 @@ class Item:
         cut = line if 0 < line < len(sequence) else (len(sequence) + 1) // 2
         # Shingles that reach into a part stand for it; a part may be shorter than one.
         question, answer = sequence[: cut + SHINGLE_WORDS - 1], sequence[max(0, cut - SHINGLE_WORDS + 1) :]
-        return Item(item_id, *(frozenset(shingles(part)) for part in (sequence, question, answer)))
+        parts = (frozenset(_shingles(part)) for part in (sequence, question, answer))
+        return Item(item_id, min(SHINGLE_WORDS, len(sequence)), *parts)
 
     def overlaps(self, found: set[str]) -> tuple[float, float, float]:
         return tuple(len(part & found) / len(part) for part in (self.whole, self.question, self.answer))
@@ -236,7 +253,8 @@ def matches(indexes: list[Index], texts: list[str]) -> list[dict]:
             continue
         for row, hits in _retrieved(index, sequences):
             wanted = set().union(*(index.items[number].whole for number, _ in hits))
-            have = wanted.intersection(_shingles(sequences[row]))
+            widths = {index.items[number].width for number, _ in hits}
+            have = set().union(*(wanted.intersection(shingles(sequences[row], width)) for width in widths))
             for number, score in hits:
                 whole, question, answer = index.items[number].overlaps(have)
                 if whole >= OVERLAP and min(question, answer) >= PART_OVERLAP:
@@ -261,7 +279,8 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     One row per row of ``documents`` and test item found in its text; clean texts
     give none. Null or wordless texts and items match nothing. Items or documents
-    that repeat are reported each. Empty tables give no row.
+    that repeat are reported each. Empty tables give no row. Texts are whole; a
+    task's memory grows with its longest text.
     """
     schema = "doc_id bigint, item_id bigint, score double, overlap double, question_overlap double, answer_overlap double"
     result = None

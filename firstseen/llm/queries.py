@@ -132,6 +132,13 @@ QUERIES: dict[str, Query] = {
     "op13_periodic": op13_periodic,
 }
 
+def _words_sql(expression: str) -> str:
+    """The words of decontamination in SQL: characters without spaces around stand alone."""
+    alone = "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in decontaminate.UNSPACED)
+    spaced = rf"regexp_replace(lower({expression}), '([{alone}])', ' \1 ', 'g')"
+    return rf"regexp_extract_all({spaced}, '[\p{{L}}\p{{N}}_]+|[{alone}]')"
+
+
 ORACLES: dict[str, str] = {
     "op6_vectors": """
         WITH RECURSIVE usable AS (
@@ -150,8 +157,8 @@ ORACLES: dict[str, str] = {
     """,
     "op8_decontaminate": r"""
         WITH items AS (
-            SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w,
-                len(regexp_extract_all(lower(split_part(regexp_replace(text, '^\s+', ''), chr(10), 1)), '[\p{L}\p{N}_]+')) AS line
+            SELECT item_id, @words(text) AS w,
+                len(@words(line)) AS line
             FROM benchmark
         ), cut AS (
             SELECT item_id, w, CASE WHEN line > 0 AND line < len(w) THEN line ELSE (len(w) + 1) // 2 END AS cut
@@ -159,15 +166,16 @@ ORACLES: dict[str, str] = {
         ), placed AS (
             SELECT item_id, w, cut, unnest(range(0, greatest(len(w) - 4, 1))) AS i FROM cut
         ), wanted AS (
-            SELECT item_id, array_to_string(w[i + 1:i + 5], ' ') AS shingle,
+            SELECT item_id, array_to_string(w[i + 1:i + 5], ' ') AS shingle, least(len(w), 5) AS width,
                 bool_or(i < cut) AS question, bool_or(i >= cut - 4) AS answer
             FROM placed GROUP BY ALL
         ), words AS (
-            SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM documents
+            SELECT doc_id, @words(text) AS w FROM documents
         ), starts AS (
-            SELECT doc_id, w, unnest(range(0, greatest(len(w) - 4, 1))) AS i FROM words WHERE len(w) > 0
+            SELECT doc_id, w, unnest(range(0, len(w))) AS i FROM words WHERE len(w) > 0
         ), held AS (
-            SELECT DISTINCT doc_id, array_to_string(w[i + 1:i + 5], ' ') AS shingle FROM starts
+            SELECT DISTINCT doc_id, array_to_string(w[i + 1:i + width], ' ') AS shingle
+            FROM starts, (SELECT DISTINCT width FROM wanted) WHERE i + width <= len(w)
         ), sizes AS (
             SELECT item_id, count(*) AS n, count(*) FILTER (question) AS nq, count(*) FILTER (answer) AS na
             FROM wanted GROUP BY item_id
@@ -178,7 +186,9 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, item_id, k::DOUBLE / n AS overlap, kq::DOUBLE / nq AS question_overlap, ka::DOUBLE / na AS answer_overlap
         FROM hits JOIN sizes USING (item_id)
         WHERE k >= 0.8 * n AND kq >= 0.25 * nq AND ka >= 0.25 * na
-    """,
+    """.replace("@words(text)", _words_sql("text")).replace(
+        "@words(line)", _words_sql(r"split_part(regexp_replace(text, '^\s+', ''), chr(10), 1)")
+    ),
     "op9_chat_format": r"""
         WITH rows AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

@@ -57,9 +57,10 @@ def test_parts_of_an_item():
 def brute(tests, documents):
     out = set()
     for doc_id, text in documents:
-        have = d.shingles(d.words(text or ""))
         for item_id, item in tests:
-            if d.words(item or ""):
+            if width := min(5, len(d.words(item or ""))):
+                sequence = d.words(text or "")
+                have = {" ".join(sequence[k : k + width]) for k in range(len(sequence) - width + 1)}
                 whole, question, answer = d.Item.of(item_id, item).overlaps(have)
                 if whole >= 0.8 and min(question, answer) >= 0.25:
                     out.add((doc_id, item_id))
@@ -90,6 +91,37 @@ def test_several_passes_and_indexes(spark, monkeypatch):
     assert {r.doc_id for r in d.keep_clean(docs, bench).collect()} == expected
 
 
+SHORT = [(1, "capital of\nFrance"), (2, "yes"), (3, "zwei\nWörter"), (4, "a b\nc d"), (5, "法国的首都是哪里？巴黎"), (6, "เมืองหลวง ปารีส"), (7, "東京"), (8, "a b c d e f\ng h")]
+HOLDERS = [
+    (1, "The capital of France is known."), (2, "the capital of all France"), (3, "capital of France"), (4, "Yes"), (5, "yesterday"),
+    (6, "x a b c d y"), (7, "a b c e d"), (8, "请问法国的首都是哪里？答案是巴黎。法国的首都是哪里？巴黎"), (9, "法国的首都"), (10, "zwei wörter und zwei"),
+    (11, "เมืองหลวง ปารีส คือ"), (12, "今日は東京へ"), (13, "京東"), (14, "東 京 yes"), (15, None), (16, ""), (17, "a b c d e f g h"), (18, "of France the capital"),
+]
+
+
+def test_short_items_and_scripts_without_spaces(spark, tmp_path):
+    """The operator, all shingles and the SQL agree."""
+    import duckdb
+
+    from firstseen.llm.queries import ORACLES, QUERIES
+
+    expected = brute(SHORT, HOLDERS)
+    assert {(1, 1), (3, 1), (4, 2), (6, 4), (8, 5), (10, 3), (12, 7), (14, 2), (14, 7), (17, 4), (17, 8)} <= expected
+    assert not expected & {(2, 1), (5, 2), (7, 4), (9, 5), (13, 7), (18, 1)}
+    spark.createDataFrame(HOLDERS, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(SHORT, "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    result = QUERIES["op8_decontaminate"](spark, str(tmp_path))
+    base = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        base.sql(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    by_sql = base.sql(ORACLES["op8_decontaminate"])
+    assert {(r.doc_id, r.item_id) for r in result.collect()} == expected
+    assert sorted(map(tuple, result.select(*by_sql.columns).collect())) == sorted(by_sql.fetchall())
+    docs = spark.createDataFrame(HOLDERS, "doc_id bigint, text string")
+    kept = d.keep_clean(docs, spark.createDataFrame(SHORT, "item_id bigint, text string"))
+    assert {r.doc_id for r in kept.collect()} == {k for k, _ in HOLDERS} - {k for k, _ in expected}
+
+
 def test_question_and_answer_far_apart(spark):
     """A worksheet: questions first, the key to them at the end."""
     question, other, answer = ([f"{c}{k}" for k in range(n)] for c, n in (("q", 30), ("o", 200), ("a", 20)))
@@ -120,7 +152,7 @@ def test_least_share_against_all_choices():
     for _ in range(60):
         words = [f"w{k}" for k in random.integers(0, 14, int(random.integers(1, 14)))]
         impacts = {w: float(random.random()) for w in words}
-        names, whole, least = list(impacts), d.shingles(words), 1.0
+        names, whole, least = list(impacts), d.shingles(words, min(5, len(words))), 1.0
         for chosen in range(2 ** len(names)):
             lost = {w for k, w in enumerate(names) if chosen >> k & 1}
             if sum(not lost & set(s.split()) for s in whole) / len(whole) >= d.OVERLAP:

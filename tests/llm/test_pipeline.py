@@ -115,6 +115,9 @@ COLUMNS_OF = {
     "op8_decontaminate": "doc_id item_id",
     "op9_chat_format": "conv_id n_turns turns_sha256 loss_chars loss_sha256 formatted_chars",
     "op10_simhash": "doc_id fingerprint component_id",
+    "op11_licenses": "doc_id n_words n_base first_word last_word base_labels labels score",
+    "op12_alignment": "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256",
+    "op13_periodic": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
 }
 
 
