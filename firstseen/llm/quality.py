@@ -3,8 +3,8 @@
 Each text becomes a fixed number of statistics. Random cosines of these
 approximate a Gaussian kernel. Labelled rows give each partition's part of the
 normal equations; the parts are summed by row of the matrix, so the driver gets
-one matrix whatever the size. Rows set apart calibrate the ridge output by
-pooling adjacent violators over counts on a fixed grid.
+one matrix a fold whatever the size. Outputs by the weights of other folds calibrate
+the scale, by pooling adjacent violators over counts on a fixed grid.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from firstseen.llm.frames import fresh_names, staged
 
@@ -31,8 +31,8 @@ WIDTH = 6.0
 GRID = 2000
 GRID_LOW, GRID_HIGH = -1.0, 2.0
 THRESHOLD = 0.3
-# Of five parts by checksum: 0 is never learnt from, 1 calibrates, the rest fit.
-HELD_OUT, CALIBRATION = 0, 1
+# Of five parts by checksum, the one that is never learnt from.
+HELD_OUT = 0
 
 STATISTICS = (
     "log_chars log_words mean_word upper digit space line stop_mark other_mark symbol beyond_ascii "
@@ -245,15 +245,27 @@ def classify(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``documents``, all columns, whose text scores the threshold or more."""
-    model = fit(staged(document_statistics(documents), "statistics"), labels)
-    (name,) = fresh_names(documents, "score")
+    """The rows of ``documents``, all columns, whose text scores the threshold or more.
 
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Rows are staged with their statistics, so each text is read for them once. Null
+    texts, repeated rows and empty tables are as in ``classify``.
+    """
+    (name,) = fresh_names(documents, "stats")
+
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [statistics(text or "") for text in batch.column("text").to_pylist()]
+            yield batch.append_column(name, pa.array(rows, pa.list_(pa.float64())))
+
+    schema = StructType([*documents.schema.fields, StructField(name, ArrayType(DoubleType()))])
+    held = staged(documents.mapInArrow(measured, schema), "measured-documents")
+    model = fit(held.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(name).alias("stats")), labels)
+
+    def good(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                found = model.score(np.stack([statistics(text or "") for text in batch.column("text").to_pylist()]))
-                yield batch.append_column(name, pa.array(found))
+                matrix = np.array(batch.column(name).flatten()).reshape(batch.num_rows, -1)
+                kept = batch.filter(pa.array(model.score(matrix) >= threshold))
+                yield kept.select([field for field in kept.schema.names if field != name])
 
-    schema = StructType([*documents.schema.fields, StructField(name, DoubleType())])
-    return documents.mapInArrow(scored, schema).filter(F.col(name) >= threshold).drop(name)
+    return held.mapInArrow(good, documents.schema)
