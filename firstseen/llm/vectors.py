@@ -8,12 +8,14 @@ share ``SHARED`` pivots. Such a pair shares one of the first
 ``NEAREST - SHARED + 1`` pivots of either, rarest first, so a vector is only
 posted there. Candidates are verified by cosine in double precision in the list of
 the rarest pivot they share, and each list returns counts per vector and a root
-per class, never pairs.
+per class, never pairs. Vectors of each number of components have pivots and
+lists of their own, all in the same jobs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -38,25 +40,43 @@ CHUNK = 2048
 BLOCK = 512
 
 
-def _usable(embedding, dimension: int):
+@dataclass(frozen=True)
+class Pivots:
+    """Unit reference points of one number of components; they are numbered from ``first``."""
+
+    first: int
+    points: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.points)
+
+
+def _usable(embedding, dimension: int | None):
     whole = F.forall(embedding, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    return (F.size(embedding) == dimension) & whole & F.exists(embedding, lambda x: x != 0)
+    usable = whole & F.exists(embedding, lambda x: x != 0)
+    return usable if dimension is None else (F.size(embedding) == dimension) & usable
 
 
-def _matrix(column: pa.Array, dimension: int) -> np.ndarray:
+def _unit(rows: np.ndarray) -> np.ndarray:
     """Unit rows in double precision; scaled first, so tiny and huge ones survive."""
-    rows = np.asarray(column.flatten(), dtype=np.float64).reshape(-1, dimension)
     rows = rows / np.abs(rows).max(axis=1, keepdims=True)
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
-def _pivots(reps: DataFrame, dimension: int) -> np.ndarray:
-    count = int(PIVOTS_PER_ROOT * reps.count() ** 0.5)
-    count = min(MAX_PIVOTS, max(MIN_PIVOTS, count))
-    chosen = reps.orderBy(F.xxhash64("rep"), "rep").limit(count).select("embedding").toPandas()["embedding"]
-    rows = np.array([np.asarray(x, np.float64) for x in chosen]).reshape(-1, dimension)
-    rows = rows / np.abs(rows).max(axis=1, keepdims=True)
-    rows = rows / np.linalg.norm(rows, axis=1, keepdims=True)
+def _matrix(column: pa.Array, dimension: int) -> np.ndarray:
+    return _unit(np.asarray(column.flatten(), dtype=np.float64).reshape(-1, dimension))
+
+
+def _by_dimension(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """The rows of a batch apart by their number of components."""
+    sizes = np.asarray(batch.column("embedding").value_lengths())
+    for dimension in np.unique(sizes).tolist():
+        rows = np.flatnonzero(sizes == dimension)
+        yield dimension, batch if len(rows) == batch.num_rows else batch.take(pa.array(rows))
+
+
+def _apart(rows: np.ndarray) -> np.ndarray:
+    """The rows in turn, without those close to one taken before."""
     closest, kept = np.full(len(rows), -1.0), []
     for k, row in enumerate(rows):
         if closest[k] < PIVOTS_APART:
@@ -65,15 +85,41 @@ def _pivots(reps: DataFrame, dimension: int) -> np.ndarray:
     return rows[kept]
 
 
-def describe(reps: DataFrame, pivots: np.ndarray) -> DataFrame:
+def _pivots(reps: DataFrame) -> dict[int, Pivots]:
+    """Pivots by number of components.
+
+    Of each number those with the least hashes are taken. The rows that can be
+    among them pass a bound on the hash, twice as wide as the share wanted, so one
+    job without a sort serves all. The driver holds one count and at most
+    ``MAX_PIVOTS`` points for each number of components that occurs.
+    """
+    sizes = reps.groupBy(F.size("embedding").alias("size")).count().collect()
+    wanted = {row.size: min(MAX_PIVOTS, max(MIN_PIVOTS, int(PIVOTS_PER_ROOT * row["count"] ** 0.5))) for row in sizes}
+    # Hashes are even over 2**64 values; below the bound lie about twice the wanted ones.
+    bounds = [(row.size, min(2**63 - 1, int(-(2**63) + 2**65 * wanted[row.size] / row["count"]))) for row in sizes]
+    bounded = reps.sparkSession.createDataFrame(bounds, "size int, bound bigint")
+    hashed = reps.select("rep", "embedding", F.size("embedding").alias("size"), F.xxhash64("rep").alias("hash"))
+    chosen = hashed.join(F.broadcast(bounded), "size").filter("hash <= bound").select("size", "hash", "rep", "embedding")
+    rows: dict[int, list] = {}
+    for row in sorted(chosen.collect(), key=lambda row: (row.size, row.hash, row.rep)):
+        rows.setdefault(row.size, []).append(row.embedding)
+    found, first = {}, 0
+    for dimension, points in rows.items():
+        found[dimension] = Pivots(first, _apart(_unit(np.array(points[: wanted[dimension]], np.float64))))
+        first += len(found[dimension])
+    return found
+
+
+def describe(reps: DataFrame, pivots: dict[int, Pivots]) -> DataFrame:
     """Add ``nearest``: the numbers of the nearest pivots, nearest first."""
-    dimension, kept = pivots.shape[1], min(NEAREST, len(pivots))
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                order = np.argsort(-(_matrix(batch.column("embedding"), dimension) @ pivots.T), axis=1, kind="stable")
-                yield batch.append_column("nearest", pa.array(list(order[:, :kept].astype(np.int32)), pa.list_(pa.int32())))
+            for dimension, rows in _by_dimension(batch):
+                own = pivots[dimension]
+                order = np.argsort(-(_matrix(rows.column("embedding"), dimension) @ own.points.T), axis=1, kind="stable")
+                numbers = (own.first + order[:, :NEAREST]).astype(np.int32)
+                yield rows.append_column("nearest", pa.array(list(numbers), pa.list_(pa.int32())))
 
     schema = f"rep bigint, copies bigint, embedding array<{reps.schema['embedding'].dataType.elementType.simpleString()}>"
     return reps.select("rep", "copies", "embedding").mapInArrow(nearest, schema + ", nearest array<int>")
@@ -86,20 +132,21 @@ def _list_sizes(described: DataFrame, count: int) -> np.ndarray:
     return sizes
 
 
-def _post(described: DataFrame, sizes: np.ndarray, chunk: int) -> DataFrame:
+def _post(described: DataFrame, pivots: dict[int, Pivots], sizes: np.ndarray, chunk: int) -> DataFrame:
     """One row per list and pair of its chunks that a vector belongs to.
 
-    ``ranks`` are the pivots of the vector by rarity; a list is named by its rank.
+    ``ranks`` are the pivots of the vector by rarity among those of its number of
+    components; a list is named by its rank after the lists of other numbers.
     """
+    order = np.concatenate([p.first + np.argsort(sizes[p.first : p.first + len(p)], kind="stable") for p in pivots.values()])
     rank = np.empty(len(sizes), np.int64)
-    rank[np.argsort(sizes, kind="stable")] = np.arange(len(sizes))
-    chunks = np.maximum(1, -(-sizes // chunk))[np.argsort(sizes, kind="stable")]
+    rank[order] = np.arange(len(sizes))
+    chunks = np.maximum(1, -(-sizes // chunk))[order]
+    first = {dimension: p.first for dimension, p in pivots.items()}
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in described.drop("nearest").schema.fields)
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for dimension, batch in (part for batch in batches for part in _by_dimension(batch)):
             nearest = np.asarray(batch.column("nearest").flatten()).reshape(batch.num_rows, -1)
             ranks = np.sort(rank[nearest], axis=1)
             posted = max(1, ranks.shape[1] - SHARED + 1)
@@ -109,7 +156,7 @@ def _post(described: DataFrame, sizes: np.ndarray, chunk: int) -> DataFrame:
             row, lists, own = (np.repeat(x, times) for x in (row, lists, own))
             other = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
             plain = batch.select(["rep", "copies", "embedding"]).take(pa.array(row))
-            columns = [pa.array(list(ranks[row].astype(np.int32)), pa.list_(pa.int32())), *map(pa.array, (lists, np.minimum(own, other), np.maximum(own, other), own))]
+            columns = [pa.array(list((ranks[row] - first[dimension]).astype(np.int32)), pa.list_(pa.int32())), *map(pa.array, (lists, np.minimum(own, other), np.maximum(own, other), own))]
             yield pa.RecordBatch.from_arrays(
                 [*plain.columns, *columns], names=["rep", "copies", "embedding", "ranks", "list", "i", "j", "own"]
             )
@@ -125,15 +172,19 @@ def _bitmaps(ranks: np.ndarray, count: int) -> np.ndarray:
     return maps
 
 
-def _verify(count: int, dimension: int, cosine: float):
+def _verify(pivots: dict[int, Pivots], cosine: float):
     """Compare the vectors of one list, or of two chunks of it."""
+    places = {dimension: (p.first, len(p)) for dimension, p in pivots.items()}
 
     def verify(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
+        dimension = len(group.column("embedding")[0])
+        first, count = places[dimension]
         unit = _matrix(group.column("embedding").combine_chunks(), dimension)
         rep, copies, own = (group.column(c).to_numpy() for c in ("rep", "copies", "own"))
         ranks = np.asarray(group.column("ranks").combine_chunks().flatten()).reshape(len(rep), -1)
         number, i, j = (group.column(c)[0].as_py() for c in ("list", "i", "j"))
+        number -= first
         maps = _bitmaps(ranks, count)
         # Pivots rarer than this list: a pair that shares one is met there.
         rarer = np.zeros(maps.shape[1], np.uint64)
@@ -146,13 +197,13 @@ def _verify(count: int, dimension: int, cosine: float):
             for b in range(a if i == j else 0, len(right), BLOCK):
                 columns = right[b : b + BLOCK]
                 shared = np.zeros((len(rows), len(columns)), np.uint8)
-                first = np.ones(shared.shape, bool)
+                here = np.ones(shared.shape, bool)
                 for word in range(maps.shape[1]):
                     both = maps[rows, word][:, None] & maps[columns, word][None, :]
                     shared += np.bitwise_count(both)
                     if rarer[word]:
-                        first &= (both & rarer[word]) == 0
-                near = first & (shared >= min(SHARED, ranks.shape[1]))
+                        here &= (both & rarer[word]) == 0
+                near = here & (shared >= min(SHARED, ranks.shape[1]))
                 if i == j and a == b:
                     near &= rows[:, None] < columns[None, :]
                 if not near.any():
@@ -174,25 +225,21 @@ def near_duplicates(
     """vec_id, n_links, component_id, kept: one row per vector.
 
     A vector that is null, zero or has null or non-finite components, or not
-    ``dimension`` of them (the most frequent number unless given), links with
-    nothing. Equal vectors are one node and count as links of each other, as rows
-    of one vec_id do. A null vec_id has no component. An empty table gives none.
+    ``dimension`` of them where that is given, links with nothing; others link with
+    vectors of as many components. Equal vectors are one node and count as links of
+    each other, as rows of one vec_id do. A null vec_id has no component. An empty
+    table gives none.
     """
     rows = embeddings.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding")
-    if dimension is None:
-        common = rows.filter(F.size("embedding") > 0).groupBy(F.size("embedding").alias("n")).count()
-        found = common.orderBy(F.desc("count"), "n").first()
-        dimension = found.n if found else 1
     usable = rows.filter(_usable(F.col("embedding"), dimension) & F.col("vec_id").isNotNull())
     reps = usable.groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
     reps = staged(reps, "vectors")
-    pivots = _pivots(reps, dimension)
-    if len(pivots):
+    pivots = _pivots(reps)
+    if pivots:
         described = staged(describe(reps, pivots), "permutations")
-        posted = _post(described, _list_sizes(described, len(pivots)), chunk)
-        found = posted.groupBy("list", "i", "j").applyInArrow(
-            _verify(len(pivots), dimension, cosine), "rep bigint, links bigint, root bigint"
-        )
+        sizes = _list_sizes(described, sum(map(len, pivots.values())))
+        posted = _post(described, pivots, sizes, chunk)
+        found = posted.groupBy("list", "i", "j").applyInArrow(_verify(pivots, cosine), "rep bigint, links bigint, root bigint")
         found = staged(found, "vector-links")
         joined = components(found.select("rep", "root"), "vector-components")
         counted = found.groupBy("rep").agg(F.sum("links").alias("links")).join(

@@ -78,3 +78,32 @@ def test_empty_and_few(spark):
     found = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_duplicates(few).collect()}
     assert found == {2: (2, 1), 1: (2, 1), 9: (2, 1), None: (0, None)}
     assert small_batches(spark) is spark
+
+
+@pytest.mark.parametrize("chunk", [2048, 16])
+def test_each_number_of_components_is_compared(spark, chunk):
+    random = np.random.default_rng(8)
+    given, expected = [], {}
+    for number, (dimension, count) in enumerate([(4, 10), (2, 3), (24, 120), (16, 60)]):
+        base = unit(random.normal(size=(count // 2 + 1, dimension)))
+        every = np.vstack([base, near(random, base, 0.98)])[:count] if dimension > 2 else np.array([[1, 0], [1, 0.01], [1, 0.02]])
+        ids = 100 + 1000 * number + np.arange(len(every))
+        part = [(int(i), [float(x) for x in v], 0) for i, v in zip(ids, every, strict=True)]
+        given += part
+        for i, v, _ in part:
+            expected[i] = (i, v)
+    frame = spark.createDataFrame(given, "vec_id bigint, embedding array<double>, copies int")
+    found = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_duplicates(frame, chunk=chunk).collect()}
+    wanted = {}
+    for dimension in (2, 4, 16, 24):
+        units = unit(np.array([v for _, v in expected.values() if len(v) == dimension]))
+        ids = np.array([i for i, v in expected.values() if len(v) == dimension])
+        link = units @ units.T >= 0.95
+        np.fill_diagonal(link, False)
+        wanted |= {int(i): int(n) for i, n in zip(ids, link.sum(axis=1), strict=True)}
+    assert found.keys() == wanted.keys()
+    assert [found[1100 + k] for k in range(3)] == [(2, 1100)] * 3
+    assert all(found[i][0] <= wanted[i] for i in wanted)
+    assert sum(n for n, _ in found.values()) >= 0.97 * sum(wanted.values())
+    only = {r.vec_id: r.n_links for r in vectors.near_duplicates(frame, dimension=4).collect()}
+    assert only.keys() == wanted.keys() and all(not n or i < 1000 for i, n in only.items())
