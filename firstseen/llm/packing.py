@@ -16,6 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +28,8 @@ WINDOW = 2048
 SHARD_PIECES = 16_384
 
 PIECE_SCHEMA = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
+# Where a piece was cut: the task, and the number of the piece there.
+PLACE_SCHEMA = "task bigint, piece bigint"
 
 
 def fill(counts: np.ndarray, capacity: int) -> dict[int, int]:
@@ -93,10 +96,11 @@ def pack_shard(lengths: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray
 
 
 def pieces(documents: DataFrame, vocabulary: str | None = None, window: int = WINDOW) -> DataFrame:
-    """The pieces of every document: full windows and a remainder."""
+    """The pieces of every document, full windows and a remainder, and where they were cut."""
     vocabulary = vocabulary or default_vocabulary()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, done = TaskContext.get().partitionId(), 0
         for batch in batches:
             found: list[list] = [[], [], [], [], []]
             ids = document_ids(vocabulary, batch.column("text").to_pylist())
@@ -107,12 +111,15 @@ def pieces(documents: DataFrame, vocabulary: str | None = None, window: int = WI
                     row = (doc_id, start, end - start, zlib.crc32(raw[4 * start : 4 * end]), total)
                     for column, value in zip(found, row, strict=True):
                         column.append(value)
+            count = len(found[0])
+            place = [np.full(count, task, np.int64), np.arange(done, done + count, dtype=np.int64)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(column, pa.int64()) for column in found],
-                names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"],
+                [pa.array(column, pa.int64()) for column in (*found, *place)],
+                names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "task", "piece"],
             )
+            done += count
 
-    return texts(documents).mapInArrow(cut, PIECE_SCHEMA)
+    return texts(documents).mapInArrow(cut, f"{PIECE_SCHEMA}, {PLACE_SCHEMA}")
 
 
 def pack(
@@ -120,8 +127,11 @@ def pack(
 ) -> DataFrame:
     """One row per piece with its sequence and its offset there.
 
-    A null text is empty and still has its end id. Rows that repeat are packed
-    each. ``sequence_tokens`` counts a sequence's ids; ``padded_to`` is the
+    A null text is empty and still has its end id; a long one is cut into as many
+    pieces as it fills. Rows that repeat are packed each: pieces are dealt over
+    shards by where they were cut, so rows that are wholly equal spread as any
+    others do, and which pieces share a sequence depends on how the table is split
+    into tasks. ``sequence_tokens`` counts a sequence's ids; ``padded_to`` is the
     window, or that count where it is a power of two. An empty table gives none.
     """
     cut = staged(pieces(documents, vocabulary, window), "pieces")
@@ -136,7 +146,7 @@ def pack(
             sequence_id=sequence * shards + rows["shard"], offset=offset, sequence_tokens=filled, padded_to=whole
         ).drop(columns="shard")
 
-    dealt = cut.withColumn("shard", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(shards)))
+    dealt = cut.withColumn("shard", F.pmod(F.xxhash64("task", "piece"), F.lit(shards))).drop("task", "piece")
     return dealt.groupBy("shard").applyInPandas(
         packed, PIECE_SCHEMA + ", sequence_id bigint, offset bigint, sequence_tokens bigint, padded_to bigint"
     )

@@ -133,9 +133,11 @@ def write_token_files(
 ) -> None:
     """Encode every whole text and write the ids in ascending doc_id order.
 
-    Texts are ranged by doc_id, so part k of the output holds smaller ids than
-    part k + 1. A null text is empty; a null doc_id comes first; rows of one
-    doc_id follow each other by text. An empty table gives no segment.
+    Texts are ranged by doc_id, so no id of part k of the output is above one of
+    part k + 1. A null text is empty; a null doc_id comes first; rows of one doc_id
+    follow each other in the order of the table, and many of them spread over parts.
+    A text is one task's, however long; a segment is closed after the text that
+    fills it. An empty table gives no segment.
     """
     if planes not in ("bit", "byte"):
         raise ValueError(f"unknown planes {planes!r}")
@@ -165,7 +167,10 @@ def write_token_files(
         if ids:
             yield closed()
 
-    ordered = texts(documents).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # Ranges are cut by the place in the table too, or rows without id would be one task.
+    # It is the same whenever a task reads its part of the files again.
+    placed = texts(documents).withColumn("place", F.monotonically_increasing_id())
+    ordered = placed.repartitionByRange("doc_id", "place").sortWithinPartitions("doc_id", "place").drop("place")
     ordered.mapInArrow(encode, SEGMENT_SCHEMA).write.parquet(path)
 
 

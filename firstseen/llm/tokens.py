@@ -1,12 +1,15 @@
-"""Token ids of whole texts, word by word.
+"""Token ids of whole texts.
 
-The vocabulary never joins characters across a space, so a text's ids are those
-of its space-separated words. Each distinct word goes through the tokenizer once
-per worker; ``tests/llm`` holds that against encoding whole texts.
+Where a vocabulary file says that characters are never joined across a space and
+that spaces leave no trace, as the default one does, a text's ids are those of its
+space-separated words. Each distinct word then goes through the tokenizer once per
+worker; ``tests/llm`` holds that against encoding whole texts. With any other
+vocabulary whole texts are encoded.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from array import array
 from collections.abc import Sequence
@@ -22,6 +25,13 @@ WORDS_KEPT = 350_000
 # closing marks: the tokenizer cuts such words just there.
 _PLAIN = re.compile(r"""([A-Za-zÀ-ÖØ-öø-ÿ]+)([-.,!|*$#%&;:?"()=]*)""")
 
+# Fixed value: how the default vocabulary cuts a text that is in lower case.
+_CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# Normalising that acts alike on a text and on its words.
+_WORDWISE = ("NFC", "NFD", "NFKC", "NFKD", "Lowercase")
+# Cutting that drops white space, whatever else it does.
+_DROPS_SPACE = ("Whitespace", "WhitespaceSplit", "BertPreTokenizer")
+
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
@@ -39,6 +49,35 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in printable else chr(256 + others.index(b)) for b in range(256)]
 
 
+def _steps(part: dict | None, inner: str) -> list[dict]:
+    """A component of a vocabulary file as the list of its steps."""
+    if part is None:
+        return []
+    return part[inner] if part["type"] == "Sequence" else [part]
+
+
+def _cuts_by_letters(spec: dict) -> bool:
+    """Whether cutting is just that of the default vocabulary."""
+    steps = _steps(spec.get("pre_tokenizer"), "pretokenizers")
+    if len(steps) != 2 or steps[0]["type"] != "Split" or steps[1]["type"] != "ByteLevel":
+        return False
+    split, letters = steps
+    plain = split["pattern"] == {"Regex": _CUT} and split["behavior"] == "Removed" and split["invert"]
+    return plain and not letters["add_prefix_space"] and not letters["use_regex"]
+
+
+def cuts_at_spaces(spec: dict) -> bool:
+    """Whether a vocabulary file's ids of a text are known to be those of its words."""
+    for step in _steps(spec.get("normalizer"), "normalizers"):
+        spaces = step["type"] == "Replace" and step["pattern"] == {"Regex": r"\s+"} and step["content"] == " "
+        if not spaces and step["type"] not in _WORDWISE:
+            return False
+    if any(t["lstrip"] or t["rstrip"] or t["single_word"] or re.search(r"\s", t["content"]) for t in spec["added_tokens"]):
+        return False
+    steps = _steps(spec.get("pre_tokenizer"), "pretokenizers")
+    return _cuts_by_letters(spec) or (len(steps) == 1 and steps[0]["type"] in _DROPS_SPACE)
+
+
 class WordEncoder:
     """Encodes texts to little-endian unsigned 32-bit ids, as bytes."""
 
@@ -49,7 +88,16 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        self.by_words = cuts_at_spaces(spec)
+        self._by_letters = self.by_words and _cuts_by_letters(spec) and any(
+            step["type"] == "Lowercase" for step in _steps(spec.get("normalizer"), "normalizers")
+        )
         self._tokenizer = Tokenizer.from_file(path)
+        # Whole texts, whatever the file says.
+        self._tokenizer.no_truncation()
+        self._tokenizer.no_padding()
         self._model = self._tokenizer.model
         letters = byte_letters()
         self._letters = {code: "".join(letters[b] for b in chr(code).encode()) for code in range(256)}
@@ -77,13 +125,15 @@ class WordEncoder:
         for word in words:
             if word in self._old:
                 self._young[word] = self._old[word]
-            elif match := _PLAIN.fullmatch(word):
+            elif self._by_letters and (match := _PLAIN.fullmatch(word)):
                 stem, marks = match.groups()
                 self._young[word] = self._part(stem.lower(), self._stem) + self._part(marks, self._whole)
             else:
                 self._young[word] = self._whole(word)
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
+        if not self.by_words:
+            return [self._whole(text) for text in texts]
         split = [text.replace("\n", " ").split(" ") for text in texts]
         words: set[str] = set()
         for one in split:

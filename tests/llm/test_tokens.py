@@ -8,7 +8,8 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from tokenizers import Tokenizer
+from pyspark.sql import functions as F
+from tokenizers import AddedToken, Tokenizer
 
 from firstseen.llm import packing, token_files
 from firstseen.llm.frames import small_batches
@@ -40,6 +41,36 @@ def test_words_give_the_ids_of_the_text(tokenizer):
 ENCODER, WHOLE = WordEncoder(default_vocabulary()), Tokenizer.from_file(default_vocabulary())
 
 
+def other_vocabulary(folder, name):
+    """Vocabularies that cut otherwise: tokens with their space, word by word, cut short."""
+    import public_tokenizers
+    from tokenizers import pre_tokenizers
+
+    spaced = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    if name == "words":
+        spaced.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    elif name == "short":
+        spaced.enable_truncation(3)
+    elif name == "strips":
+        spaced.add_special_tokens([AddedToken("<x>", lstrip=True)])
+    spaced.save(str(folder / f"{name}.json"))
+    return str(folder / f"{name}.json")
+
+
+@pytest.mark.parametrize("name, by_words", [("spaced", False), ("words", True), ("short", False), ("strips", False)])
+def test_other_vocabularies_give_the_ids_of_the_text(tmp_path, name, by_words):
+    path = other_vocabulary(tmp_path, name)
+    found, plain = WordEncoder(path), Tokenizer.from_file(path)
+    plain.no_truncation()
+    given_texts = [*ODD, "Two  words, a <x> mark\n and Ends.", " led by a space"]
+    assert found.by_words == by_words
+    assert found.encode(given_texts) == [whole(plain, text) for text in given_texts]
+
+
+def test_default_vocabulary_goes_by_words():
+    assert ENCODER.by_words
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(st.characters(blacklist_categories=["Cs"]), max_size=40))
 def test_any_text(text):
@@ -126,3 +157,26 @@ def test_packed_sequences_are_gapless(documents, rows, tokenizer):
         assert (sequence["sequence_tokens"] == ends[-1]).all()
     sizes = found.groupby("sequence_id")["length"].sum()
     assert (64 * len(sizes) - sizes.sum()) / sizes.sum() < 0.05
+
+
+def test_equal_rows_spread(spark, documents, tmp_path):
+    """Rows without id and text are no task's burden: not in packing, not in files."""
+    equal = spark.range(0, 6000, 1, 6).select(
+        F.lit(None).cast("bigint").alias("doc_id"), F.lit(None).cast("string").alias("text")
+    )
+    found = packing.pack(equal, window=64, shard_pieces=500).toPandas()
+    assert len(found) == 6000 and found["length"].eq(1).all()
+    # Sequence numbers tell the shard: twelve of them.
+    shards = found["sequence_id"] % 12
+    assert shards.nunique() == 12 and shards.value_counts().max() < 700
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        token_files.write_token_files(equal, str(tmp_path / "equal"))
+    finally:
+        spark.conf.set(name, before)
+    parts = spark.read.parquet(str(tmp_path / "equal")).groupBy("part").agg(F.sum("n_ids").alias("n")).collect()
+    assert len(parts) > 2 and max(row.n for row in parts) < 3000
+    back = token_files.read_token_files(spark, str(tmp_path / "equal")).toPandas()
+    assert sorted(back["start"]) == list(range(6000)) and back["doc_id"].isna().all()
