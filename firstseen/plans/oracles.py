@@ -390,3 +390,4 @@ FROM ({_SUMMARY_ROWS})"""),
 # The same results by other routes.
 ORACLES["prefiltered_anti_join"] = ORACLES["baseline_anti_join"]
 ORACLES["kept_baseline_run"] = ORACLES["publish_merge"]
+ORACLES["stream_publish"] = ORACLES["publish_merge"]

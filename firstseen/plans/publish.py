@@ -164,8 +164,14 @@ def finish_open(storage: Storage, output_dir: str) -> int:
     return len(intents)
 
 
-def publish(survivors: DataFrame, output_dir: str, config: DedupConfig, run_id: str) -> list[Published]:
-    """Write, then move in. Tables without survivors are left as they are."""
+def publish(
+    survivors: DataFrame, output_dir: str, config: DedupConfig, run_id: str, note: tuple[str, str] | None = None
+) -> list[Published]:
+    """Write, then move in. Tables without survivors are left as they are.
+
+    ``note`` is the path and text of a small file that is put in place by the same
+    intent: once no intent is open, it is there if and only if the lines are.
+    """
     storage = Storage(survivors.sparkSession, output_dir)
     root = output_dir.rstrip("/")
     survivors = with_output_table(survivors, spellings(storage, output_dir))
@@ -190,6 +196,9 @@ def publish(survivors: DataFrame, output_dir: str, config: DedupConfig, run_id:
         moves += zip(new, targets, strict=True)
         if config.publish_mode == "replace" or config.single_file:
             removals += sorted(set(old) - set(targets))
+    if note is not None:
+        storage.write_text(f"{staging}/_note", note[1])
+        moves.append((f"{staging}/_note", note[0]))
     intent = f"{root}/{WORK}/{name}.json"
     storage.write_text(f"{intent}.new", json.dumps({"staging": staging, "moves": moves, "removals": removals}))
     # The intent is there whole or not at all.

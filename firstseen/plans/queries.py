@@ -509,6 +509,17 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is published after the written feed went through a stream that publishes."""
+    published = b.change_published(spark, sf_dir)
+    state = shared_folder(spark, "stream")
+    for _ in range(2):
+        # The second start finds nothing new and adds nothing.
+        job = IncrementalDedup(spark, b.change_feed(spark, sf_dir), state, b.CHANGE_CONFIG, published, publish=True)
+        job.start().awaitTermination()
+    return _published_lines(spark, published)
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -560,5 +571,6 @@ QUERIES: dict[str, Query] = {
         detail_report,
         summary_report,
         stream_dedup,
+        stream_publish,
     )
 }

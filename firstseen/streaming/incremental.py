@@ -13,13 +13,21 @@ State folder::
     duplicates/batch=<n>/    what it dropped, and why
     rejects/batch=<n>/       malformed lines
     work/                    staged lines, a new folder for every attempt
+    stream.id                the name this state publishes by
 
 A batch that died is replayed by Spark with the same number and the same files,
 and overwrites its own folders only: nothing is lost or kept twice.
+
+With ``publish=True`` each batch also publishes what it kept, as a daily run does.
+The number of the last batch published lies below the output root and is put in
+place by the intent that moves the batch's files, so it tells the truth whatever
+died: a replayed batch that is published already is not published again, and one
+that is not takes along what batches before it have left unpublished.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +40,7 @@ from firstseen.operators.first_seen import SURVIVOR, classify, duplicates, survi
 from firstseen.operators.prepare import RECORD, REJECT, records
 from firstseen.operators import counts
 from firstseen.plans.daily import PLACE, check_rejects, numbered_keys, stage_lines, staged
+from firstseen.plans.publish import finish_open, publish
 from firstseen.sources.feeds import (
     UNNUMBERED,
     _keep_today,
@@ -57,6 +66,9 @@ COMPACT_BATCHES = 8
 # Spark then remembers the names of all files it has read.
 MAX_FILE_AGE = "36500d"
 
+# Below the output root: a file per stream with the number of the batch published last.
+PUBLISHED = "_firstseen_batches"
+
 KEY_COLUMNS = ["dedup_key", "scope_table", *POSITION, "table_name", "file_date"]
 KEY_SCHEMA = (
     "dedup_key BINARY, scope_table STRING, role_rank INT, sequence INT, file_path STRING, line_no BIGINT, "
@@ -81,12 +93,18 @@ class IncrementalDedup:
         state_dir: str,
         config: DedupConfig,
         output_dir: str | None = None,
+        publish: bool = False,
     ):
+        if publish and output_dir is None:
+            raise ValueError("publish needs an output folder")
+        if publish and config.publish_mode != "merge":
+            raise ValueError("a stream can only merge: a batch would replace the one before it")
         self.spark = spark
         self.input_dir = input_dir
         self.state = state_dir.rstrip("/")
         self.config = config
         self.output_dir = output_dir
+        self.publishes = publish
         self.tables = resolve_tables(spark, config.tables, config.tables_file)
         self.keys = KeyIndex(spark, f"{self.state}/keys", KEY_SCHEMA, COMPACT_BATCHES)
 
@@ -110,6 +128,9 @@ class IncrementalDedup:
     def start(self, max_files: int | None = None) -> StreamingQuery:
         """Process everything that is there, then stop; call again for more."""
         refuse_hidden(self.spark, self.input_dir, self.tables, self.config.run_dates)
+        if self.publishes:
+            # What a run that died was about to publish is baseline, or a batch of this stream.
+            finish_open(Storage(self.spark, self.output_dir), self.output_dir)
         self._load_baseline()
         return (
             self.read(max_files)
@@ -142,6 +163,8 @@ class IncrementalDedup:
         rejects = number_lines(written.filter(F.col("line_kind") == REJECT), offsets)
         self._append("rejects", rejects.select("table_name", "file_date", "file_path", "line_no", "raw_line", "reason"), number)
         self.keys.add(new_keys, number)
+        if self.publishes:
+            self._publish(number)
 
     def survivors(self) -> DataFrame:
         """Everything kept so far."""
@@ -153,6 +176,35 @@ class IncrementalDedup:
     def rejects(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.state}/rejects")
 
+    def _stream_id(self) -> str:
+        """The name of this state: a new state folder at an old path is another stream."""
+        storage, path = Storage(self.spark, self.state), f"{self.state}/stream.id"
+        if not storage.exists(path):
+            new = f"{path}.{uuid.uuid4().hex}"
+            storage.write_text(new, uuid.uuid4().hex)
+            storage.move(new, path)
+        return storage.read_text(path)
+
+    def published_through(self) -> int:
+        """The last batch whose lines are published; -1 if none is."""
+        storage, path = Storage(self.spark, self.output_dir), self._note_path()
+        return json.loads(storage.read_text(path))["batch"] if storage.exists(path) else -1
+
+    def _note_path(self) -> str:
+        return f"{self.output_dir.rstrip('/')}/{PUBLISHED}/{self._stream_id()}.json"
+
+    def _publish(self, number: int) -> None:
+        """Publish the batches that are not yet, up to this one."""
+        finish_open(Storage(self.spark, self.output_dir), self.output_dir)
+        done = self.published_through()
+        if done >= number:
+            return
+        # Line numbers stand for places: both run up within a file.
+        kept = self._survivor_table().filter(F.col("batch").between(done + 1, number))
+        kept = kept.withColumns({"split_start": F.lit(0).cast("bigint"), "row_id": F.col("line_no")})
+        run_id = f"{self._stream_id()[:8]}-batch{number:08d}"
+        publish(kept, self.output_dir, self.config, run_id, (self._note_path(), json.dumps({"batch": number})))
+
     def _append(self, name: str, rows: DataFrame, number: int) -> None:
         rows.write.mode("overwrite").parquet(f"{self.state}/{name}/batch={number}")
 
