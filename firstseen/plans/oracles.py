@@ -357,6 +357,17 @@ WHERE role = 'PRIOR' AND skipped_count > 0"""),
 SELECT table_name, file_date, row_number() OVER (PARTITION BY table_name, file_date
          ORDER BY sequence, file_path, line_no) AS merge_position, raw_line
 FROM kept"""),
+    "even_parts": _events("""
+, sized AS (
+  SELECT table_name, file_date, role, file_path, line_no, strlen(raw_line) + 1 AS size,
+         coalesce(sum(strlen(raw_line) + 1) OVER (ORDER BY table_name, file_date, role, file_path, line_no
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead,
+         sum(strlen(raw_line) + 1) OVER () AS total
+  FROM e)
+SELECT CAST(ahead // ((total + 15) // 16) AS INTEGER) AS part, count(*) AS line_count,
+       CAST(sum(size) AS BIGINT) AS byte_count,
+       arg_min(file_path, ahead) AS file_path, arg_min(line_no, ahead) AS line_no
+FROM sized GROUP BY ALL"""),
     "publish_replace": _changes("SELECT table_name, file_date, raw_line FROM kept"),
     "publish_merge": _changes("""
 SELECT table_name, file_date, raw_line FROM kept

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from firstseen.config import DedupConfig
+from firstseen.plans.even_parts import in_even_parts
 from firstseen.sources.feeds import baseline_lines
 from firstseen.storage import Storage
 
@@ -65,14 +66,13 @@ def with_output_table(survivors: DataFrame, published: dict[str, str]) -> DataFr
     return survivors.join(F.broadcast(names), ["scope_table", "file_date"])
 
 
-def in_merge_order(survivors: DataFrame) -> DataFrame:
-    """Range-partitioned and sorted: table, date, sequence, path, place in the file.
+def in_merge_order(survivors: DataFrame, scratch: str) -> DataFrame:
+    """In ranges of even size, each sorted: table, date, sequence, path, place in the file.
 
     Ranges are cut by the whole position, so one big table spreads over many
     tasks and the part numbers run in merge order.
     """
-    order = ["output_table", "file_date", *ORDER]
-    return survivors.repartitionByRange(*order).sortWithinPartitions(*order)
+    return in_even_parts(survivors, ["output_table", "file_date", *ORDER], scratch)
 
 
 def _write_text(lines: DataFrame, staging: str) -> None:
@@ -180,7 +180,9 @@ def publish(
     if config.single_file:
         _write_text(single_file_lines(survivors, output_dir, config), staging)
     else:
-        _write_text(in_merge_order(survivors), staging)
+        # Dropped with the work folder by the next run if this one dies.
+        _write_text(in_merge_order(survivors, f"{staging}-parts"), staging)
+        storage.remove_folder(f"{staging}-parts")
 
     outputs = sorted(_parts(storage, staging).items())
     folders = [f"{root}/{table}/{date}" for (table, date), _ in outputs]

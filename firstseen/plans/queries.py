@@ -16,6 +16,7 @@ from firstseen.operators.prepare import prepare, records, rejects
 from firstseen.plans import bindings as b
 from firstseen.plans import reports
 from firstseen.plans.daily import run_daily
+from firstseen.plans.even_parts import in_even_parts
 from firstseen.plans.kept_baseline import KeptBaseline
 from firstseen.sources import feeds
 from firstseen.sources.generate import feed_path, generate_records, write_feed
@@ -448,6 +449,16 @@ def kept_baseline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _published_lines(spark, published)
 
 
+def even_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event lines in 16 output ranges: lines, bytes and first line of each."""
+    order = ["table_name", "file_date", "role", "file_path", "line_no"]
+    placed = in_even_parts(b.event_lines(spark, sf_dir), order, shared_folder(spark, "parts"), 16)
+    first = F.min(F.struct(*order))
+    size = F.sum(F.octet_length("raw_line") + F.lit(1))
+    parts = placed.groupBy("part").agg(F.count("*").alias("line_count"), size.alias("byte_count"), first.alias("first"))
+    return parts.select("part", "line_count", "byte_count", "first.file_path", "first.line_no")
+
+
 def publish_single_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One file per table and date, old lines first; their place in it."""
     root = _run(spark, sf_dir, publish_mode="merge", single_file=True)
@@ -565,6 +576,7 @@ QUERIES: dict[str, Query] = {
         publish_replace,
         publish_merge,
         kept_baseline_run,
+        even_parts,
         publish_single_merge,
         mixed_case_run,
         completion_manifest,
