@@ -402,3 +402,4 @@ FROM ({_SUMMARY_ROWS})"""),
 ORACLES["prefiltered_anti_join"] = ORACLES["baseline_anti_join"]
 ORACLES["kept_baseline_run"] = ORACLES["publish_merge"]
 ORACLES["stream_publish"] = ORACLES["publish_merge"]
+ORACLES["snapshot_read"] = ORACLES["publish_merge"]

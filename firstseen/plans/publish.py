@@ -164,13 +164,13 @@ def finish_open(storage: Storage, output_dir: str) -> int:
     return len(intents)
 
 
-def publish(
+def propose(
     survivors: DataFrame, output_dir: str, config: DedupConfig, run_id: str, note: tuple[str, str] | None = None
-) -> list[Published]:
-    """Write, then move in. Tables without survivors are left as they are.
+) -> tuple[str, list[tuple[str, str]]]:
+    """Write survivors and the intent to move them in; its path, and the tables and dates.
 
-    ``note`` is the path and text of a small file that is put in place by the same
-    intent: once no intent is open, it is there if and only if the lines are.
+    From then on the run is published for readers of snapshots, and the next run
+    carries out what this one did not.
     """
     storage = Storage(survivors.sparkSession, output_dir)
     root = output_dir.rstrip("/")
@@ -205,11 +205,24 @@ def publish(
     storage.write_text(f"{intent}.new", json.dumps({"staging": staging, "moves": moves, "removals": removals}))
     # The intent is there whole or not at all.
     storage.move(f"{intent}.new", intent)
+    return intent, [output for output, _ in outputs]
+
+
+def publish(
+    survivors: DataFrame, output_dir: str, config: DedupConfig, run_id: str, note: tuple[str, str] | None = None
+) -> list[Published]:
+    """Write, then move in. Tables without survivors are left as they are.
+
+    ``note`` is the path and text of a small file that is put in place by the same
+    intent: once no intent is open, it is there if and only if the lines are.
+    """
+    intent, outputs = propose(survivors, output_dir, config, run_id, note)
+    storage = Storage(survivors.sparkSession, output_dir)
     _carry_out(storage, intent)
-    listed = storage.each(storage.names, folders)
+    listed = storage.each(storage.names, [f"{output_dir.rstrip('/')}/{table}/{date}" for table, date in outputs])
     return [
         Published(table, date, tuple(n for n in names if n.endswith(".json")))
-        for ((table, date), _), names in zip(outputs, listed, strict=True)
+        for (table, date), names in zip(outputs, listed, strict=True)
     ]
 
 

@@ -15,9 +15,12 @@ from firstseen.operators import counts, first_seen, prefilter
 from firstseen.operators.prepare import prepare, records, rejects
 from firstseen.plans import bindings as b
 from firstseen.plans import reports
-from firstseen.plans.daily import run_daily
+from firstseen.plans.daily import PLACE as RUN_PLACE
+from firstseen.plans.daily import run_daily, staged
 from firstseen.plans.even_parts import in_even_parts
 from firstseen.plans.kept_baseline import KeptBaseline
+from firstseen.plans.publish import propose
+from firstseen.plans.snapshot import settled, snapshot_lines
 from firstseen.sources import feeds
 from firstseen.sources.generate import feed_path, generate_records, write_feed
 from firstseen.sources.ndjson import scan_numbered
@@ -449,6 +452,17 @@ def kept_baseline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _published_lines(spark, published)
 
 
+def snapshot_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published lines as readers see them while a run has not moved in a single file."""
+    root, config = b.change_published(spark, sf_dir), b.CHANGE_CONFIG
+    today = feeds.today_lines(spark, b.change_feed(spark, sf_dir), TABLES, numbered=False)
+    lines = today.unionByName(feeds.baseline_lines(spark, root, TABLES, numbered=False))
+    kept = staged(first_seen.survivors(prepare(lines, config), place=RUN_PLACE), shared_folder(spark, "survivors"))
+    propose(kept, root, config, "waiting")
+    lines = snapshot_lines(spark, root, settled(spark, root, TABLES), TABLES)
+    return lines.select("table_name", "file_date", "raw_line")
+
+
 def even_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event lines in 16 output ranges: lines, bytes and first line of each."""
     order = ["table_name", "file_date", "role", "file_path", "line_no"]
@@ -577,6 +591,7 @@ QUERIES: dict[str, Query] = {
         publish_merge,
         kept_baseline_run,
         even_parts,
+        snapshot_read,
         publish_single_merge,
         mixed_case_run,
         completion_manifest,

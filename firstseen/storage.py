@@ -39,6 +39,10 @@ class Storage:
         """The absolute path without scheme and authority, encoded as in a URI."""
         return self._fs.makeQualified(self._path(path)).toUri().getRawPath()
 
+    def uri(self, path: str) -> str:
+        """The path with scheme, encoded as in a URI: what ``_metadata.file_path`` holds."""
+        return self._fs.makeQualified(self._path(path)).toUri().toString()
+
     def glob(self, pattern: str) -> list[str]:
         found = self._fs.globStatus(self._path(pattern))
         return [] if found is None else [status.getPath().toString() for status in found]
