@@ -63,6 +63,12 @@ def file_counts_of(classified: DataFrame) -> DataFrame:
     )
 
 
+def skipped_counts(prepared: DataFrame) -> DataFrame:
+    """Malformed lines of every file, from lines that have no status yet."""
+    malformed = F.count_if(F.col("line_kind") == REJECT)
+    return prepared.groupBy("role", *FILE).agg(malformed.alias("skipped_count"))
+
+
 def file_summary(counts: DataFrame) -> DataFrame:
     """Today's files: read (malformed lines excluded), written, filtered, skipped."""
     return counts.filter(F.col("role") == "TODAY").select(

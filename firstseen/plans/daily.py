@@ -1,6 +1,7 @@
 """The daily run: raw feed and published files in, new records and reports out.
 
-The raw text is read once. Parsed, keyed lines are staged as Parquet in the
+What is published is read first, so a file there that breaks the limits ends the
+run before the feed is touched. The raw text is read once. Parsed, keyed lines are staged as Parquet in the
 shared folder; later stages read only the columns they need from there, and a
 lost executor costs a re-read of staged files, not of the feed. The text itself
 goes through one shuffle by key, with the survivors, and one by output order.
@@ -14,6 +15,8 @@ import time
 import uuid
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,26 +74,52 @@ class DailyResult:
 PLACE = ["role_rank", "sequence", "file_path", "split_start", "row_id"]
 
 
+# What a malformed line says where none is allowed; the path follows.
+MALFORMED = "malformed line in "
+
+
 def staged(frame: DataFrame, path: str, *partition_by: str) -> DataFrame:
     """Write a frame and read it back. The schema is given: there may be no rows."""
     frame.write.partitionBy(*partition_by).parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
-def stage_lines(lines: DataFrame, config: DedupConfig, staging: str) -> tuple[DataFrame, DataFrame]:
-    """Prepare unnumbered lines and write them; the lines and their splits' offsets.
+def write_lines(lines: DataFrame, config: DedupConfig, path: str, strict: bool = False) -> DataFrame:
+    """Prepare unnumbered lines and write them.
 
     Published lines only compete by key, so their text stays behind unless it is
-    malformed. Split offsets come from three columns of the staged files, and are
-    staged as well: their size is then known, and Spark broadcasts them only
-    while they are below ``spark.sql.autoBroadcastJoinThreshold``.
+    malformed. ``strict`` lets the first malformed line end the job that writes.
     """
     text_needed = (F.col("role_rank") == 1) | (F.col("line_kind") == REJECT)
     prepared = prepare(lines, config).withColumn("raw_line", F.when(text_needed, F.col("raw_line")))
-    written = staged(prepared, f"{staging}/lines")
+    if not strict:
+        return staged(prepared, path)
+    wrong = F.raise_error(F.concat(F.lit(MALFORMED), F.col("file_path"))).cast("string")
+    kind = F.when(F.col("line_kind") == REJECT, wrong).otherwise(F.col("line_kind"))
+    try:
+        return staged(prepared.withColumn("line_kind", kind), path)
+    except (PySparkException, Py4JError) as error:
+        named = re.search(rf"{MALFORMED}\S+", str(error))
+        if named is None:
+            raise
+        raise TooManyRejects(named[0]) from error
+
+
+def with_offsets(written: DataFrame, staging: str) -> tuple[DataFrame, DataFrame]:
+    """Written lines, and the offsets of their splits.
+
+    Split offsets come from three columns of the staged files, and are staged as
+    well: their size is then known, and Spark broadcasts them only while they are
+    below ``spark.sql.autoBroadcastJoinThreshold``.
+    """
     return written, staged(split_offsets(written), f"{staging}/offsets")
 
 
+def stage_lines(lines: DataFrame, config: DedupConfig, staging: str) -> tuple[DataFrame, DataFrame]:
+    """Prepare unnumbered lines and write them; the lines and their splits' offsets."""
+    return with_offsets(write_lines(lines, config, f"{staging}/lines"), staging)
+
+
 def numbered_keys(written: DataFrame, offsets: DataFrame) -> DataFrame:
     """Staged lines with their numbers, without their text."""
     return number_lines(written.drop("raw_line"), offsets)
@@ -128,7 +157,6 @@ def _against_kept(
 
     Only the kept places of keys that today has as well take part.
     """
-    baseline.refresh(config.run_dates)
     prepared = numbered_keys(written, offsets)
     wanted = records(prepared).select(*GROUP).distinct()
     known = staged(baseline.matching(wanted), f"{staging}/known")
@@ -158,11 +186,18 @@ def run_daily(
     # A run that died while it published is completed first: its files are baseline.
     finish_open(Storage(spark, output_dir), output_dir)
     staging = shared_folder(spark, "run")
-    lines = today_lines(spark, input_dir, tables, config.run_dates, numbered=False)
     baseline = KeptBaseline(spark, output_dir, config, tables) if config.keep_baseline else None
+    folders = [f"{staging}/lines/today"]
     if baseline is None:
-        lines = lines.unionByName(baseline_lines(spark, output_dir, tables, config.run_dates, numbered=False))
-    written, offsets = stage_lines(lines, config, staging)
+        prior = baseline_lines(spark, output_dir, tables, config.run_dates, numbered=False)
+        folders.append(f"{staging}/lines/published")
+        check_rejects(counts.skipped_counts(write_lines(prior, config, folders[-1])), config)
+    else:
+        baseline.refresh(config.run_dates)
+        check_rejects(baseline.file_counts(config.run_dates), config)
+    lines = today_lines(spark, input_dir, tables, config.run_dates, numbered=False)
+    written = write_lines(lines, config, folders[0], strict=not config.skip_malformed)
+    written, offsets = with_offsets(spark.read.schema(written.schema).parquet(*folders), staging)
     if baseline is None:
         # Foldered by status: every sink reads just its part.
         classified = staged(classify(numbered_keys(written, offsets), config), f"{staging}/classified", "status")

@@ -1,0 +1,57 @@
+"""Files that break the limits end a run early, and nothing is published."""
+
+from dataclasses import replace
+
+import pytest
+
+from firstseen.plans import daily
+from firstseen.plans.daily import TooManyRejects
+from tests.conftest import DAY
+from tests.test_daily import CONFIG, feed, keys_of, lines, run
+
+
+@pytest.mark.parametrize("keep", [False, True])
+def test_a_bad_published_file_stops_before_the_feed(spark, write, monkeypatch, keep):
+    feed(write, "account", 1, "a1")
+    write(f"out/account/{DAY}/old.json", lines("o1") + "bad\nbad\n")
+    written, original = [], daily.staged
+    monkeypatch.setattr(daily, "staged", lambda frame, path, *by: written.append(path) or original(frame, path, *by))
+    config = replace(CONFIG, prior_reject_limit=1, keep_baseline=keep, baseline_buckets=2)
+    with pytest.raises(TooManyRejects, match="2 malformed lines in .*old.json"):
+        run(spark, write, config)
+    assert not [path for path in written if path.endswith("/today")]
+    run(spark, write, replace(config, prior_reject_limit=2))
+    assert [path for path in written if path.endswith("/today")]
+
+
+def test_the_first_malformed_line_ends_a_strict_run(spark, write):
+    """One bad file among 200, a task each: most tasks never run."""
+    for number in range(1, 201):
+        feed(write, "account", number, *[f"{number}-{n}" for n in range(3)])
+    write(f"in/{DAY}/account/account-{DAY}-77.json", lines("x") + "bad\n" + "y" * 2000 + "\n")
+    strict = replace(CONFIG, skip_malformed=False)
+    context, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2500")
+    spark.conf.set("spark.sql.files.minPartitionNum", "200")
+    context.setJobGroup("strict", "a strict run")
+    try:
+        with pytest.raises(TooManyRejects, match=f"malformed line in file:.*account-{DAY}-77.json"):
+            run(spark, write, strict)
+        infos = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("strict") for s in tracker.getJobInfo(j).stageIds]
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for name in ("openCostInBytes", "maxPartitionBytes", "minPartitionNum"):
+            spark.conf.unset(f"spark.sql.files.{name}")
+    # The job that parses; listings read no file.
+    scans = [info for info in infos if info is not None and info.numTasks >= 100 and "parquet" in info.name]
+    assert scans and all(info.numCompletedTasks < info.numTasks / 2 for info in scans)
+    assert not (write.root / "out" / "account").exists()
+
+
+def test_a_strict_run_without_malformed_lines(spark, write):
+    feed(write, "account", 1, "a1", "a1", "a2")
+    write(f"in/{DAY}/account/account-{DAY}-2.json", "\n  \n" + lines("a3"))
+    write(f"out/account/{DAY}/old.json", lines("o1") + '{"k":"o2"\n')
+    run(spark, write, replace(CONFIG, skip_malformed=False))
+    assert sorted(keys_of(write.root / f"out/account/{DAY}")) == ["a1", "a2", "a3", "o1", "o2"]
