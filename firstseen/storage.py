@@ -43,6 +43,11 @@ class Storage:
         """The path with scheme, encoded as in a URI: what ``_metadata.file_path`` holds."""
         return self._fs.makeQualified(self._path(path)).toUri().toString()
 
+    def mounted(self, path: str) -> str | None:
+        """The path as every process of the machine sees it; None in other stores."""
+        uri = self._fs.makeQualified(self._path(path)).toUri()
+        return uri.getPath() if uri.getScheme() == "file" else None
+
     def glob(self, pattern: str) -> list[str]:
         found = self._fs.globStatus(self._path(pattern))
         return [] if found is None else [status.getPath().toString() for status in found]
