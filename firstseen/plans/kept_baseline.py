@@ -91,7 +91,11 @@ class KeptBaseline:
         )
 
     def anti_join(self, today: DataFrame) -> DataFrame:
-        """Prepared records whose key is not kept. A key with many records is looked up once."""
+        """Prepared records whose key is not kept. A key with many records is looked up once.
+
+        They are read several times, so they are staged: a feed is parsed once.
+        """
+        today = self._staged(today, shared_folder(self.spark, "wanted"))
         known = self.matching(today.select(*GROUP).distinct())
         both = today.unionByName(known, allowMissingColumns=True)
         return first_seen.baseline_anti_join(both, self.config).select(*today.columns)
@@ -173,21 +177,24 @@ class KeptBaseline:
         both = listed.join(known, ["file_date", "file_path"], "full")
         added = F.col("known_bytes").isNull()
         changed = F.col("file_bytes").isNull() | (F.col("file_bytes") != F.col("known_bytes")) | (F.col("modified") != F.col("known_time"))
-        per_date = both.groupBy("file_date").agg(F.count_if(added).alias("added"), F.count_if(~added & changed).alias("changed"))
+        per_date = both.groupBy("file_date").agg(F.count_if(added).alias("added"), F.count_if(~added & changed).alias("changed"), F.count("known_bytes").alias("known"))
         # One row per date.
         rows = per_date.filter("added > 0 OR changed > 0").collect()
         stale = [row.file_date for row in rows if row.changed]
-        grown = [row.file_date for row in rows if not row.changed]
+        fresh = [row.file_date for row in rows if not row.known]
+        grown = [row.file_date for row in rows if row.known and not row.changed]
         for date in stale:
             self._forget(date)
-        if stale:
-            there = listed.filter(F.col("file_date").isin(*stale))
-            self._add(feeds.baseline_lines(self.spark, self.output_dir, self.tables, stale), there)
+        if stale or fresh:
+            # All files of a date: by its folders, as a path for each file costs a task each.
+            whole = [*stale, *fresh]
+            there = listed.filter(F.col("file_date").isin(*whole))
+            self._add(feeds.baseline_lines(self.spark, self.output_dir, self.tables, whole), there)
         if grown:
             new = both.filter(added & F.col("file_date").isin(*grown)).select(*listed.columns)
             paths = [row.file_path for row in new.select("file_path").collect()]
             self._add(feeds.lines_of_published(self.spark, self.output_dir, paths), new)
-        return dict.fromkeys(stale, "stale") | dict.fromkeys(grown, "grown")
+        return dict.fromkeys(stale, "stale") | dict.fromkeys([*fresh, *grown], "grown")
 
     def _forget(self, date: dt.date) -> None:
         """Drop what is kept of a date; the list of files first."""

@@ -219,3 +219,35 @@ def test_kept_keys_may_be_thrown_away(write, keep):
     shutil.rmtree(write.root / f"out/{KEPT}")
     feed(write, "account", 2, "a1", "a2")
     assert keep() == ["a2"]
+
+
+def test_dates_without_kept_keys_are_read_by_folder(spark, write, monkeypatch):
+    for number in range(3):
+        old(write, f"f{number}", lines(f"p{number}"))
+    write(f"out/award/{DAY}/f.json", lines("w"))
+
+    def refused(*args):
+        raise AssertionError("a path for each file")
+
+    monkeypatch.setattr(feeds, "lines_of_published", refused)
+    baseline = KeptBaseline(spark, str(write.root / "out"), KEEP, ["account"])
+    assert baseline.refresh() == {DAY: "grown"} and baseline.refresh() == {}
+    assert [r.output_count for r in baseline.published_counts([DAY]).collect()] == [3]
+
+
+def test_an_anti_join_parses_the_feed_once(spark, write):
+    old(write, "old", lines("p1"))
+    baseline = KeptBaseline(spark, str(write.root / "out"), KEEP, ["account"])
+    baseline.refresh()
+    feed(write, "account", 1, "p1", "a1")
+    parsed = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            parsed.add(batch.num_rows)
+            yield batch
+
+    today = records(prepare(feeds.today_lines(spark, str(write.root / "in"), ["account"]), KEEP))
+    today = today.mapInArrow(seen, today.schema)
+    assert [r.raw_line for r in baseline.anti_join(today).collect()] == ['{"k":"a1"}']
+    assert parsed.value == 2
