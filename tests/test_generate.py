@@ -76,3 +76,17 @@ def test_a_file_that_is_there_is_kept(spark, tmp_path):
         write_feed(odd_records(spark), str(tmp_path))
     assert target.read_text() == "other\n"
     assert not [name for _, _, names in os.walk(tmp_path) for name in names if name.endswith(".writing")]
+
+
+def test_names_of_a_folder_are_a_few_calls(spark, tmp_path, monkeypatch):
+    expected = sorted([*(f"f {k}.json" for k in range(60)), "a, b", "\u00e9%3A"])
+    for name in expected:
+        (tmp_path / name).touch()
+    storage, calls = Storage(spark, str(tmp_path)), []
+    client = spark.sparkContext._gateway._gateway_client
+    real = client.send_command
+    monkeypatch.setattr(client, "send_command", lambda *args, **more: calls.append(args) or real(*args, **more))
+    assert storage.names(str(tmp_path)) == expected
+    assert len(storage.glob(f"{tmp_path}/f*")) == 60
+    # Py4J asks for a name of Java's packages step by step.
+    assert len(calls) < 60
